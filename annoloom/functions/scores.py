@@ -13,8 +13,7 @@ from annoloom.functions.text import col, strip, text_or_empty
 
 def score_digit(label: Column | str) -> Column:
     """Leading digit 0-9 of a score label as int, null when there is none."""
-    first = F.substring(strip(col(label).cast("string")), 1, 1)
-    return F.when(first.between("0", "9"), first).cast("int")
+    return F.substring(strip(col(label).cast("string")), 1, 1).try_cast("int")
 
 
 def score_text(label: Column | str) -> Column:
@@ -24,9 +23,8 @@ def score_text(label: Column | str) -> Column:
 
 def score_band(score: Column | str) -> Column:
     """low 1-2, medium 3, high 4-5, null outside that scale."""
-    s = col(score)
-    return (F.when(s.between(1, 2), "low").when(s == 3, "medium")
-            .when(s.between(4, 5), "high"))
+    bands = F.array(*[F.lit(b) for b in ("low", "low", "medium", "high", "high")])
+    return F.get(bands, col(score).cast("int") - 1)
 
 
 def quality_band(label: Column | str) -> Column:
@@ -34,17 +32,24 @@ def quality_band(label: Column | str) -> Column:
     return F.coalesce(score_band(score_digit(label)), F.nullif(col(label), F.lit("")))
 
 
+def _is_marker(text: Column, markers: Sequence[str]) -> Column:
+    """Lower-cased text is a marker. A text with more bytes than the longest marker could
+    take (four per character) is none, and is not lower-cased to find out."""
+    longest = 4 * max(len(m) for m in markers)
+    return (F.octet_length(text) <= longest) & F.lower(text).isin(*markers)
+
+
 def uncorrected(corrected: Column | str, target: Column | str,
                 markers: Sequence[str] = S.NO_CORRECTION_MARKERS) -> Column:
     """No correction was made: a marker text, or the machine translation unchanged."""
     text = strip(text_or_empty(corrected))
-    return F.lower(text).isin(*markers) | (text == strip(text_or_empty(target)))
+    return _is_marker(text, markers) | (text == strip(text_or_empty(target)))
 
 
 def accepted_legacy(corrected: Column | str,
                     markers: Sequence[str] = S.LEGACY_NO_CORRECTION_MARKERS) -> Column:
     """First-generation rule: marker texts only, an unchanged text counts as modified."""
-    return F.lower(strip(text_or_empty(corrected))).isin(*markers)
+    return _is_marker(strip(text_or_empty(corrected)), markers)
 
 
 def contradiction(score: Column | str, no_correction: Column | str,

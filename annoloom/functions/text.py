@@ -66,14 +66,27 @@ def seeded_key(item_id: Column | str, seed: int) -> Column:
 
 
 def edit_distance(left: Column | str, right: Column | str,
-                  bands: tuple[int, ...] = (32, 512)) -> Column:
+                  bands: tuple[int, ...] = (8, 64, 512)) -> Column:
     """Exact Levenshtein distance, cheap when the texts are close.
 
     With a threshold Spark walks only a band around the diagonal and answers -1 past
     it, so a long text with a local correction costs (band x length) instead of
     (length x length). Each band that answers is exact; only pairs further apart than
-    the widest band pay for the whole matrix.
+    the widest band pay for the whole matrix. A band that would cover the matrix of a
+    short text anyway is skipped.
     """
     lt, rt = col(left), col(right)
-    banded = [F.when(d >= 0, d) for d in (F.levenshtein(lt, rt, b) for b in bands)]
-    return F.coalesce(*banded, F.levenshtein(lt, rt))
+    whole = F.levenshtein(lt, rt)
+    shorter = F.least(F.char_length(lt), F.char_length(rt))
+    distance = whole
+    for band in sorted(bands, reverse=True):
+        banded = _else_if_negative(F.levenshtein(lt, rt, band), distance)
+        distance = F.when(shorter <= 4 * band, whole).otherwise(banded)
+    return F.when(lt == rt, 0).otherwise(distance)
+
+
+def _else_if_negative(value: Column, other: Column) -> Column:
+    """``value``, or ``other`` where it is negative. A one-element array binds the value
+    to a name, so that it is computed once."""
+    chosen = F.transform(F.array(value), lambda v: F.when(v >= 0, v).otherwise(other))
+    return F.get(chosen, F.lit(0))

@@ -7,10 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annoloom.functions import text as TX
-from annoloom.sources.texts import latest_texts
+from annoloom.sources.texts import KEYS, latest_texts
 
 MAX_POSITIVES = 10
 
+# Keys are listed with the most distinct one first: Spark's sorts compare an eight-byte
+# prefix of the first key before anything else, and a benchmark name alone decides little.
+
 
 # ---- relevance ----
 
@@ -19,7 +22,7 @@ def flatten_relevance(lists: DataFrame) -> DataFrame:
 
     Columns in: benchmark, query_id, positive_ids, seq. ``seq`` out is the list position.
     """
-    w = W.partitionBy("benchmark", "query_id").orderBy(F.col("seq").desc())
+    w = W.partitionBy("query_id", "benchmark").orderBy(F.col("seq").desc())
     last = lists.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1)
     return last.select("benchmark", "query_id",
                        F.posexplode("positive_ids").alias("pos", "corpus_id")) \
@@ -33,7 +36,7 @@ def cap_positives(relevance: DataFrame, max_positives: int = MAX_POSITIVES) -> D
     The rank filter keeps at most that many rows per query in each map task before the
     shuffle, so a query with very many positives moves only its head.
     """
-    w = W.partitionBy("benchmark", "query_id").orderBy("seq")
+    w = W.partitionBy("query_id", "benchmark").orderBy("seq")
     return (relevance.withColumn("position", F.row_number().over(w))
             .filter(F.col("position") <= max_positives))
 
@@ -75,9 +78,9 @@ def _candidates(targets: DataFrame, sources: DataFrame, relevance: DataFrame,
     """Wanted ids of both kinds with their formatted source and their target text.
 
     Queries and passages of all benchmarks go through one pair of joins on
-    (benchmark, config, id). Wanted ids come first and prune both text tables.
+    (id, benchmark, config). Wanted ids come first and prune both text tables.
     """
-    keys = ["benchmark", "config", "id"]
+    keys = KEYS
     queries = (targets.filter(F.col("config") == "queries").select(*keys).distinct())
     passages = needed_passages(relevance, max_positives) \
         .select("benchmark", F.lit("corpus").alias("config"), "id")

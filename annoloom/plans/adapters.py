@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _doc_target() -> Column:
     """A "translation" of the whole text; very short documents have none."""
     return F.when(F.col("n_chars") < 120, "").otherwise(
-        F.translate("text", "aeiou0123456789", "eioua##########"))
+        F.concat(F.lit("[sr] "), "text"))
 
 
 def _record_id(doc: Column) -> Column:
@@ -57,11 +57,9 @@ def _answers(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     status = (F.when(F.col("event_type") == "error", "discarded")
               .when(F.col("event_type") == "view", "draft").otherwise("submitted"))
-    step = k % 7
-    score = F.when(step == 0, F.lit(None).cast("string"))
-    for i, label in enumerate(S.SCORE_LABELS, start=1):
-        score = score.when(step == i, F.lit(label))
-    score = score.otherwise("n/a")
+    labels = F.array(F.lit(None).cast("string"), *[F.lit(c) for c in S.SCORE_LABELS],
+                     F.lit("n/a"))
+    score = F.get(labels, k % 7)
     names = F.array(*[F.lit(c) for c in S.ERROR_CATEGORIES])
     categories = F.when(k % 10 == 9, F.array(F.lit(S.NO_ERROR_LABEL))).otherwise(
         F.array(F.get(names, k % 9), F.get(names, (k + 4) % 9)))

@@ -18,8 +18,7 @@ def strip(expr: str) -> str:
     return f"trim({expr}, {lit(WHITESPACE)})"
 
 
-_TARGET = ("CASE WHEN n_chars < 120 THEN '' ELSE "
-           "translate(text, 'aeiou0123456789', 'eioua##########') END")
+_TARGET = "CASE WHEN n_chars < 120 THEN '' ELSE '[sr] ' || text END"
 _KIND = "CASE WHEN n_chars < 800 THEN 'query' ELSE 'passage' END"
 _FLAGS = "unnest(['A', 'N', 'R'])"
 _LABELS = "[" + ", ".join(lit(c) for c in S.ERROR_CATEGORIES) + "]"

@@ -1,4 +1,4 @@
-"""Text tables by (benchmark, config, id): reading, lookup by needed ids, coverage."""
+"""Text tables by (id, benchmark, config): reading, lookup by needed ids, coverage."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from annoloom.functions import text as TX
 
-KEYS = ["benchmark", "config", "id"]
+KEYS = ["id", "benchmark", "config"]     # most distinct first, for sorts and joins
 
 
 def read_texts(spark: SparkSession, paths: Mapping[tuple[str, str], str],
@@ -41,7 +41,7 @@ def read_texts(spark: SparkSession, paths: Mapping[tuple[str, str], str],
 
 
 def latest_texts(texts: DataFrame) -> DataFrame:
-    """One row per (benchmark, config, id): the last one wins."""
+    """One row per (id, benchmark, config): the last one wins."""
     w = W.partitionBy(*KEYS).orderBy(F.col("seq").desc())
     return (texts.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") <= 1).drop("_rn"))
