@@ -11,6 +11,9 @@ from annoloom import schema as S
 from annoloom.functions.text import col, strip, text_or_empty
 
 
+LOW_SCORE = 2     # a score up to this needs a correction
+
+
 def score_digit(label: Column | str) -> Column:
     """Leading digit 0-9 of a score label as int, null when there is none."""
     return F.substring(strip(col(label).cast("string")), 1, 1).try_cast("int")
@@ -32,7 +35,8 @@ def quality_band(label: Column | str) -> Column:
     return F.coalesce(score_band(score_digit(label)), F.nullif(col(label), F.lit("")))
 
 
-def _is_marker(text: Column, markers: Sequence[str]) -> Column:
+def is_marker(text: Column,
+              markers: Sequence[str] = S.NO_CORRECTION_MARKERS) -> Column:
     """Lower-cased text is a marker. A text with more bytes than the longest marker could
     take (four per character) is none, and is not lower-cased to find out."""
     longest = 4 * max(len(m) for m in markers)
@@ -43,19 +47,19 @@ def uncorrected(corrected: Column | str, target: Column | str,
                 markers: Sequence[str] = S.NO_CORRECTION_MARKERS) -> Column:
     """No correction was made: a marker text, or the machine translation unchanged."""
     text = strip(text_or_empty(corrected))
-    return _is_marker(text, markers) | (text == strip(text_or_empty(target)))
+    return is_marker(text, markers) | (text == strip(text_or_empty(target)))
 
 
 def accepted_legacy(corrected: Column | str,
                     markers: Sequence[str] = S.LEGACY_NO_CORRECTION_MARKERS) -> Column:
     """First-generation rule: marker texts only, an unchanged text counts as modified."""
-    return _is_marker(strip(text_or_empty(corrected)), markers)
+    return is_marker(strip(text_or_empty(corrected)), markers)
 
 
 def contradiction(score: Column | str, no_correction: Column | str,
                   categories: Column | str,
                   no_error_label: str = S.NO_ERROR_LABEL) -> Column:
     """Score of at most 2 although nothing was corrected or "no errors" was ticked."""
-    low = F.coalesce(col(score) <= 2, F.lit(False))
+    low = F.coalesce(col(score) <= LOW_SCORE, F.lit(False))
     no_error = F.coalesce(F.array_contains(col(categories), no_error_label), F.lit(False))
     return low & (col(no_correction) | no_error)

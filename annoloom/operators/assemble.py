@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annoloom.functions import text as TX
-from annoloom.sources.texts import KEYS, latest_texts
+from annoloom.sources.texts import KEYS, corpus_lookup, latest_texts
 
 MAX_POSITIVES = 10
 
@@ -73,52 +73,57 @@ def relevance_stats(relevance: DataFrame) -> DataFrame:
 
 # ---- pairs ----
 
-def _candidates(targets: DataFrame, sources: DataFrame, relevance: DataFrame,
-                max_positives: int) -> DataFrame:
-    """Wanted ids of both kinds with their formatted source and their target text.
+def candidates(needed: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
+    """Every target query and every needed passage with its formatted source text and its
+    target text, empty when absent.
 
-    Queries and passages of all benchmarks go through one pair of joins on
-    (id, benchmark, config). Wanted ids come first and prune both text tables.
+    ``needed`` is :func:`needed_passages`. It is narrow and meets both corpora, so stage
+    it as a table first (``sources.tables.stage``): Spark then knows its true size and,
+    when that is small enough, prunes the corpus scans by broadcast before any text is
+    shuffled. All benchmarks go through the same joins; the benchmark is part of the key.
     """
-    keys = KEYS
-    queries = (targets.filter(F.col("config") == "queries").select(*keys).distinct())
-    passages = needed_passages(relevance, max_positives) \
-        .select("benchmark", F.lit("corpus").alias("config"), "id")
-    wanted = queries.unionByName(passages)
-    target = latest_texts(targets).select(*keys, F.col("text").alias("target_text"))
-    source = latest_texts(sources).select(
-        *keys, TX.format_source("title", "text").alias("source_text"))
-    record_type = F.when(F.col("config") == "queries", "query").otherwise("passage")
-    return (wanted.join(target, keys, "left").join(source, keys, "left")
-            .select("benchmark", record_type.alias("record_type"), "id",
-                    TX.text_or_empty("source_text").alias("source_text"),
-                    TX.text_or_empty("target_text").alias("target_text")))
+    in_queries, in_corpus = F.col("config") == "queries", F.col("config") == "corpus"
+    ids = needed.select("id", "benchmark", F.lit("corpus").alias("config"))
+    target_text = F.col("text").alias("target_text")
+    source_text = TX.format_source("title", "text").alias("source_text")
+
+    queries = latest_texts(targets.filter(in_queries)).select(*KEYS, target_text)
+    query_sources = corpus_lookup(sources.filter(in_queries), targets.filter(in_queries))
+    passages = ids.join(corpus_lookup(targets.filter(in_corpus), ids)
+                        .select(*KEYS, target_text), KEYS, "left")
+    passage_sources = corpus_lookup(sources.filter(in_corpus), ids)
+
+    both = (queries.join(query_sources.select(*KEYS, source_text), KEYS, "left")
+            .unionByName(passages.join(passage_sources.select(*KEYS, source_text),
+                                       KEYS, "left")))
+    record_type = F.when(in_queries, "query").otherwise("passage")
+    return both.select("benchmark", record_type.alias("record_type"), "id",
+                       TX.text_or_empty("source_text").alias("source_text"),
+                       TX.text_or_empty("target_text").alias("target_text"))
 
 
 def _complete() -> Column:
     return (F.col("source_text") != "") & (F.col("target_text") != "")
 
 
-def assemble_pairs(targets: DataFrame, sources: DataFrame, relevance: DataFrame,
-                   max_positives: int = MAX_POSITIVES) -> DataFrame:
-    """Records for all benchmarks: every target query and every needed passage whose
-    source and target text are both there. The target text is also the suggestion."""
-    rows = _candidates(targets, sources, relevance, max_positives).filter(_complete())
-    return rows.select(
+def assemble_pairs(needed: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
+    """Records for all candidates whose source and target text are both there.
+
+    The target text is also the suggested correction.
+    """
+    return candidates(needed, targets, sources).filter(_complete()).select(
         TX.record_key("benchmark", "record_type", "id").alias("record_id"),
         "benchmark", "record_type", TX.task_key("record_type", "id").alias("task_id"),
         "source_text", "target_text", F.col("target_text").alias("suggested_text"),
         F.lit("pending").alias("status"))
 
 
-def pair_skips(targets: DataFrame, sources: DataFrame, relevance: DataFrame,
-               max_positives: int = MAX_POSITIVES) -> DataFrame:
+def pair_skips(needed: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
     """Wanted, built and skipped records per benchmark and type."""
-    return (_candidates(targets, sources, relevance, max_positives)
-            .groupBy("benchmark", "record_type").agg(
-                F.count(F.lit(1)).alias("wanted"),
-                F.count_if(_complete()).alias("built"),
-                F.count_if(~_complete()).alias("skipped")))
+    return candidates(needed, targets, sources).groupBy("benchmark", "record_type").agg(
+        F.count(F.lit(1)).alias("wanted"),
+        F.count_if(_complete()).alias("built"),
+        F.count_if(~_complete()).alias("skipped"))
 
 
 def query_pairs(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -48,44 +48,68 @@ def done_responses(records: DataFrame, responses: DataFrame) -> DataFrame:
             .join(done, "record_id", "left_semi"))
 
 
-def annotation_facts(records: DataFrame, responses: DataFrame,
-                     users: DataFrame) -> DataFrame:
-    """One row per submitted or discarded response on a completed or discarded record."""
-    done = (records.filter(F.col("status").isin(*S.DONE_STATUSES))
-            .select("record_id",
-                    F.coalesce("benchmark", F.lit("Unknown")).alias("benchmark"),
-                    F.coalesce("record_type", F.lit("unknown")).alias("record_type"),
-                    TX.text_or_empty("task_id").alias("task_id"),
-                    TX.text_or_empty("source_text").alias("source_text"),
-                    TX.text_or_empty("target_text").alias("target_text")))
-    given = responses.filter(F.col("status").isin("submitted", "discarded"))
-    joined = resolve_annotators(given.join(done, "record_id"), users)
-
+def annotation_facts(records: DataFrame, responses: DataFrame, users: DataFrame,
+                     texts: bool = True) -> DataFrame:
+    """One row per submitted or discarded response on a completed or discarded record.
+
+    Everything that depends on one side only is worked out before the join. With
+    ``texts=False`` the rows carry no texts: whether a correction repeats the machine
+    translation is then told by a digest of each, so a roll-up shuffles a few bytes per
+    response however long the texts are.
+    """
+    joined = _answers(responses, texts).join(_done_records(records, texts), "record_id")
+    repeats = (F.col("_stripped") == TX.strip("target_text") if texts
+               else F.col("_digest") == F.col("_target_digest"))
+    flagged = F.col("_suspect") & (F.col("_excused") | F.coalesce(repeats, F.lit(False)))
+    names = ["response_id", "record_id", "annotator", "benchmark", "record_type", "task_id",
+             "status", "score", "score_text", "score_label", "quality_score"]
+    if texts:
+        names += ["source_text", "target_text", "correction", "comment"]
+    return resolve_annotators(joined, users).select(
+        *names, "categories", "date", flagged.alias("flagged"))
+
+
+def _answers(responses: DataFrame, texts: bool) -> DataFrame:
+    """Response side of the facts; ``_suspect`` rows are low scores that may be flagged,
+    ``_excused`` of them already contradict themselves without a look at the record."""
     submitted = F.col("status") == "submitted"
 
     def if_submitted(value: Column, otherwise: Column) -> Column:
         return F.when(submitted, value).otherwise(otherwise)
 
     label = F.coalesce(F.nullif("quality_score", F.lit("")), F.lit("?"))
-    facts = joined.select(
-        "response_id", "record_id", "annotator", "benchmark", "record_type", "task_id",
-        "status",
+    correction = if_submitted(TX.text_or_empty("corrected_text"), F.lit(""))
+    given = responses.filter(F.col("status").isin("submitted", "discarded")).select(
+        "response_id", "record_id", "user_id", "status", "quality_score",
         if_submitted(SC.score_digit("quality_score"), F.lit(None)).alias("score"),
         if_submitted(SC.score_text("quality_score"), F.lit("-")).alias("score_text"),
         if_submitted(TX.strip(label), F.lit("Discarded")).alias("score_label"),
-        "quality_score",
-        "source_text", "target_text",
-        if_submitted(TX.text_or_empty("corrected_text"), F.lit("")).alias("correction"),
-        if_submitted(TX.text_or_empty("comment"), F.lit("")).alias("comment"),
         if_submitted(category_list("error_categories"),
                      F.array().cast("array<string>")).alias("categories"),
         F.coalesce(F.date_format("updated_at", "yyyy-MM-dd HH:mm"), F.lit("")).alias("date"),
-    )
-    no_correction = SC.uncorrected("correction", "target_text")
-    return facts.withColumn(
-        "flagged",
-        (F.col("status") == "submitted")
-        & SC.contradiction("score", no_correction, "categories"))
+        correction.alias("correction"),
+        if_submitted(TX.text_or_empty("comment"), F.lit("")).alias("comment"))
+    stripped = TX.strip("correction")
+    suspect = F.coalesce(F.col("score") <= SC.LOW_SCORE, F.lit(False))
+    excused = SC.is_marker(stripped) | F.array_contains("categories", S.NO_ERROR_LABEL)
+    out = given.withColumns({"_suspect": suspect, "_excused": suspect & excused})
+    open_case = F.col("_suspect") & ~F.col("_excused")
+    if texts:
+        return out.withColumn("_stripped", F.when(open_case, stripped))
+    return (out.withColumn("_digest", F.when(open_case, F.md5(stripped)))
+            .drop("correction", "comment"))
+
+
+def _done_records(records: DataFrame, texts: bool) -> DataFrame:
+    target = TX.text_or_empty("target_text")
+    content = ([TX.text_or_empty("source_text").alias("source_text"),
+                target.alias("target_text")] if texts
+               else [F.md5(TX.strip(target)).alias("_target_digest")])
+    return (records.filter(F.col("status").isin(*S.DONE_STATUSES))
+            .select("record_id",
+                    F.coalesce("benchmark", F.lit("Unknown")).alias("benchmark"),
+                    F.coalesce("record_type", F.lit("unknown")).alias("record_type"),
+                    TX.text_or_empty("task_id").alias("task_id"), *content))
 
 
 def newest_first(facts: DataFrame) -> DataFrame:

@@ -14,12 +14,13 @@ SMALL_SAMPLE = 10_000     # rows the driver-side merge of orderBy().limit() may
 
 
 def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
-                   digits: int = ORDER_DIGITS) -> DataFrame:
-    """Add ``position`` 1..n of a repeatable random order.
+                   digits: int = ORDER_DIGITS, first: int | None = None) -> DataFrame:
+    """Add ``position`` 1..n of a repeatable random order, of the ``first`` rows if given.
 
     The order is that of an md5 key, so its leading digits cut the rows into even buckets.
     A row's position is the number of rows in earlier buckets plus its rank inside its
-    own. Only the bucket counts, 16 ** digits rows, are brought together.
+    own. Only the bucket counts, 16 ** digits rows, are brought together; buckets past
+    the ``first`` rows are dropped before the shuffle.
     """
     keyed = df.withColumn("_key", TX.seeded_key(item_id, seed)) \
         .withColumn("_bucket", F.substring("_key", 1, digits))
@@ -27,11 +28,13 @@ def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
     offsets = (keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
                .drop("_n"))
+    if first is not None:
+        offsets = offsets.filter(F.col("_before") < first)
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_key", item_id))
-    return (keyed.withColumn("_rank", rank)
-            .join(F.broadcast(offsets), "_bucket")      # at most 16 ** digits rows
-            .withColumn("position", (F.col("_before") + F.col("_rank")).cast("long"))
-            .drop("_key", "_bucket", "_rank", "_before"))
+    placed = (keyed.join(F.broadcast(offsets), "_bucket")      # at most 16 ** digits rows
+              .withColumn("position", (F.col("_before") + rank).cast("long"))
+              .drop("_key", "_bucket", "_before"))
+    return placed if first is None else placed.filter(F.col("position") <= first)
 
 
 def sample_n(df: DataFrame, item_id: str, n: int, seed: int = 42) -> DataFrame:
@@ -43,8 +46,7 @@ def sample_n(df: DataFrame, item_id: str, n: int, seed: int = 42) -> DataFrame:
     if n <= SMALL_SAMPLE:
         return (df.withColumn("_key", TX.seeded_key(item_id, seed))
                 .orderBy("_key", item_id).limit(n).drop("_key"))
-    return (shuffled_order(df, item_id, seed)
-            .filter(F.col("position") <= n).drop("position"))
+    return shuffled_order(df, item_id, seed, first=n).drop("position")
 
 
 def _pending(records: DataFrame, benchmarks: DataFrame) -> DataFrame:

@@ -39,8 +39,9 @@ def joined(c: str) -> Column:
     return F.array_join(c, "|").alias(c)
 
 
-def _facts(spark: SparkSession, d: str) -> DataFrame:
-    return facts.annotation_facts(A.records(spark, d), A.responses(spark, d), A.users(spark, d))
+def _facts(spark: SparkSession, d: str, with_texts: bool = False) -> DataFrame:
+    return facts.annotation_facts(A.records(spark, d), A.responses(spark, d), A.users(spark, d),
+                                  texts=with_texts)
 
 
 # ---- sources and sinks ----
@@ -95,7 +96,9 @@ def ingest_csv(spark, d):
 
 
 def _needed(spark: SparkSession, d: str) -> DataFrame:
-    return A.needed_corpus(assemble.needed_passages(A.relevance(spark, d), 3))
+    """Needed passage ids, staged so that the corpus scan can be pruned by their size."""
+    needed = A.needed_corpus(assemble.needed_passages(A.relevance(spark, d), 3))
+    return tables.stage(needed, "needed")
 
 
 @query
@@ -132,12 +135,12 @@ def upsert_records(spark, d):
 
 @query
 def annotation_facts(spark, d):
-    return facts.newest_first(_facts(spark, d).withColumn("categories", joined("categories")))
+    return facts.newest_first(_facts(spark, d, True).withColumn("categories", joined("categories")))
 
 
 @query
 def annotation_search(spark, d):
-    found = facts.search_annotations(_facts(spark, d), record_type="passage",
+    found = facts.search_annotations(_facts(spark, d, True), record_type="passage",
                                      flagged_only=True, query=" Grešaka ")
     return found.select("response_id", "record_id", "annotator", "benchmark", "score_text")
 
@@ -273,23 +276,24 @@ def export_legacy(spark, d):
 
 # ---- assembly ----
 
-def _retrieval(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return A.target_texts(spark, d), A.source_texts(spark, d), A.relevance(spark, d)
+def _retrieval(spark: SparkSession, d: str, cap: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    needed = tables.stage(assemble.needed_passages(A.relevance(spark, d), cap), "needed")
+    return needed, A.target_texts(spark, d), A.source_texts(spark, d)
 
 
 @query
 def assemble_pairs(spark, d):
-    return assemble.assemble_pairs(*_retrieval(spark, d), max_positives=3)
+    return assemble.assemble_pairs(*_retrieval(spark, d, 3))
 
 
 @query
 def pair_skips(spark, d):
-    return assemble.pair_skips(*_retrieval(spark, d), max_positives=3)
+    return assemble.pair_skips(*_retrieval(spark, d, 3))
 
 
 @query
 def build_counts(spark, d):
-    return progress.build_counts(assemble.assemble_pairs(*_retrieval(spark, d)))
+    return progress.build_counts(assemble.assemble_pairs(*_retrieval(spark, d, 10)))
 
 
 @query

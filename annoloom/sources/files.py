@@ -55,33 +55,37 @@ def parse_pairs(lines: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their file and line number.
-
-    Files are read in splits. Within a split the generated row ids are consecutive, and a
-    table with one row per split holds how many lines come before it, so numbering needs
-    no sort and no shuffle of the lines themselves.
-    """
-    raw = spark.read.text(path).select(
+    """Text lines with their file, the split they were read in and a row id."""
+    return spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"))
+
+
+def number_lines(some: DataFrame, every: DataFrame) -> DataFrame:
+    """Replace split and row id of ``some`` lines by their line number in the file.
+
+    Row ids are consecutive within a split, and a table with one row per split of
+    ``every`` line tells how many lines come before it. So only the lines that are to be
+    numbered are joined; the others are merely counted where they are read.
+    """
     before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    splits = (raw.groupBy("file", "split")
+    splits = (every.groupBy("file", "split")
               .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
               .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
               .select("file", "split", "first", "offset"))
-    return (raw.join(splits, ["file", "split"])
-            .select("value", "file",
-                    (F.col("offset") + F.col("row") - F.col("first") + 1).alias("line_no")))
+    number = F.col("offset") + F.col("row") - F.col("first") + 1
+    return (some.join(splits, ["file", "split"]).withColumn("line_no", number)
+            .drop("split", "row", "first", "offset"))
 
 
 def ingest_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected lines with file, line number and reason)."""
-    checked = check_lines(read_lines(spark, path))
-    good = parse_pairs(checked.filter(F.col("reason").isNull()))
-    rejects = (checked.filter(F.col("reason").isNotNull())
-               .select("file", "line_no", "reason", "value"))
-    return good, rejects
+    lines = read_lines(spark, path)
+    checked = check_lines(lines)
+    good = parse_pairs(checked.filter(F.col("reason").isNull()).drop("split", "row"))
+    rejects = number_lines(checked.filter(F.col("reason").isNotNull()), lines)
+    return good, rejects.select("file", "line_no", "reason", "value")
 
 
 def ingest_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -32,6 +32,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For a narrow result that several steps use: it is computed once, survives the loss of
+    an executor, and as a table it has a known size that join planning can go by.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "create",
                 partition_by: tuple[str, ...] = ()) -> None:
     """Write Parquet; ``recreate`` replaces the whole table, never only partitions of it."""

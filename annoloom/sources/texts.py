@@ -50,11 +50,12 @@ def latest_texts(texts: DataFrame) -> DataFrame:
 def corpus_lookup(corpus: DataFrame, needed: DataFrame) -> DataFrame:
     """Rows of ``corpus`` whose key is in ``needed``; only id, title and text are read.
 
-    A semi-join keeps the corpus side streaming: Spark broadcasts the ids when they are
-    small, and otherwise shuffles behind a run-time Bloom filter on the corpus scan.
+    A semi-join on the scan: with a needed table that is small enough for a broadcast no
+    other corpus row leaves the scan, otherwise both sides are shuffled by id once and
+    the last-row window and later joins on the same keys reuse that partitioning.
     """
-    wanted = needed.select(*KEYS).distinct()
-    kept = corpus.select(*KEYS, "title", "text", "seq").join(wanted, KEYS, "left_semi")
+    kept = corpus.select(*KEYS, "title", "text", "seq").join(
+        needed.select(*KEYS), KEYS, "left_semi")
     return latest_texts(kept).select(
         *KEYS, TX.text_or_empty("title").alias("title"), TX.text_or_empty("text").alias("text"))
 
