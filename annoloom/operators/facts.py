@@ -57,7 +57,8 @@ def annotation_facts(records: DataFrame, responses: DataFrame, users: DataFrame,
     translation is then told by a digest of each, so a roll-up shuffles a few bytes per
     response however long the texts are.
     """
-    joined = _answers(responses, texts).join(_done_records(records, texts), "record_id")
+    named = resolve_annotators(_answers(responses, texts), users)
+    joined = named.join(_done_records(records, texts), "record_id")
     repeats = (F.col("_stripped") == TX.strip("target_text") if texts
                else F.col("_digest") == F.col("_target_digest"))
     flagged = F.col("_suspect") & (F.col("_excused") | F.coalesce(repeats, F.lit(False)))
@@ -65,8 +66,7 @@ def annotation_facts(records: DataFrame, responses: DataFrame, users: DataFrame,
              "status", "score", "score_text", "score_label", "quality_score"]
     if texts:
         names += ["source_text", "target_text", "correction", "comment"]
-    return resolve_annotators(joined, users).select(
-        *names, "categories", "date", flagged.alias("flagged"))
+    return joined.select(*names, "categories", "date", flagged.alias("flagged"))
 
 
 def _answers(responses: DataFrame, texts: bool) -> DataFrame:

@@ -24,7 +24,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     A machine-local folder is used only on a local master without that setting.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir())
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -70,6 +71,13 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "record_id",
     return untouched.unionByName(new, allowMissingColumns=True)
 
 
+def only_benchmark(df: DataFrame, benchmark: str, benchmarks: DataFrame) -> DataFrame:
+    """Rows of one benchmark; a name that is not listed is an error, not an empty result."""
+    if benchmarks.filter(F.col("benchmark") == benchmark).isEmpty():
+        raise ValueError(f"unknown benchmark {benchmark!r}")
+    return df.filter(F.col("benchmark") == benchmark)
+
+
 def upsert_benchmark(spark: SparkSession, path: str, new: DataFrame, benchmark: str,
                      benchmarks: DataFrame) -> str:
     """Rerun one benchmark of a table partitioned by ``benchmark``.
@@ -77,9 +85,7 @@ def upsert_benchmark(spark: SparkSession, path: str, new: DataFrame, benchmark:
     Only that partition is read. The merged partition is written next to the table first,
     then put in its place, so a failed job leaves the table as it was.
     """
-    if benchmarks.filter(F.col("benchmark") == benchmark).isEmpty():
-        raise ValueError(f"unknown benchmark {benchmark!r}")
-    existing = spark.read.parquet(path).filter(F.col("benchmark") == benchmark)
+    existing = only_benchmark(spark.read.parquet(path), benchmark, benchmarks)
     merged = upsert(existing, new.filter(F.col("benchmark") == benchmark))
     staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
     merged.write.partitionBy("benchmark").parquet(staged)
