@@ -66,12 +66,15 @@ def rating_pairs(rated: DataFrame, raters_per_cell: int = RATERS_PER_CELL) -> Da
     pairs any task makes for one record by ``raters_per_cell`` times its raters. Records
     up to that size keep a single cell and are not repeated.
     """
+    # Adaptive execution merges partitions by their input bytes, but this join multiplies
+    # its input; an explicit count keeps the pairs spread over that many tasks.
+    tasks = int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = F.ceil(F.col("raters") / raters_per_cell).cast("int")
     sized = co_rated(rated).withColumn("cells", cells).drop("raters")
     left = sized.select(
         "record_id", F.pmod(F.xxhash64("annotator"), F.col("cells")).cast("int").alias("cell"),
         F.col("annotator").alias("annotator_a"), F.col("score").alias("score_a"),
-        F.col("labels").alias("labels_a"))
+        F.col("labels").alias("labels_a")).repartition(tasks, "record_id", "cell")
     right = sized.select(
         F.col("record_id"), F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
         F.col("annotator").alias("annotator_b"), F.col("score").alias("score_b"),
