@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from annoloom import schema as S
 from annoloom.functions import text as TX
@@ -15,8 +16,14 @@ from annoloom.functions import text as TX
 FLAGS = ("A", "N", "R")          # the benchmarks of the retrieval views
 
 
+_SCHEMAS: dict[str, StructType] = {}      # read from each table's files once
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # ---- annotation tables ----

@@ -83,9 +83,15 @@ def materialised_lookup(spark: SparkSession, path: str, corpus: DataFrame,
     return typed.join(wanted, KEYS, "left_semi")
 
 
+def _found(needed: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Needed keys that ``lookup`` has. The lookup is cut to the needed keys where it is
+    read, so its other ids take no part in the distinct or in later joins."""
+    return lookup.select(*KEYS).join(needed.select(*KEYS), KEYS, "left_semi").distinct()
+
+
 def lookup_coverage(needed: DataFrame, lookup: DataFrame) -> DataFrame:
     """Needed, found and missing ids per benchmark and config."""
-    found = lookup.select(*KEYS).distinct().withColumn("_hit", F.lit(1))
+    found = _found(needed, lookup).withColumn("_hit", F.lit(1))
     return (needed.select(*KEYS).distinct().join(found, KEYS, "left")
             .groupBy("benchmark", "config").agg(
                 F.count(F.lit(1)).alias("needed"), F.count("_hit").alias("found"),
@@ -94,4 +100,4 @@ def lookup_coverage(needed: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def missing_ids(needed: DataFrame, lookup: DataFrame) -> DataFrame:
     """Needed ids without a source text."""
-    return needed.select(*KEYS).distinct().join(lookup.select(*KEYS), KEYS, "left_anti")
+    return needed.select(*KEYS).distinct().join(_found(needed, lookup), KEYS, "left_anti")
