@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from annoloom import schema as S
 from annoloom.functions import text as TX
 
 KEYS = ["id", "benchmark", "config"]     # most distinct first, for sorts and joins
@@ -40,6 +41,13 @@ def read_texts(spark: SparkSession, paths: Mapping[tuple[str, str], str],
     return union, failed
 
 
+def benchmark_table(spark: SparkSession,
+                    names: tuple[str, ...] = S.BENCHMARKS) -> DataFrame:
+    """The listed benchmarks in their order; progress tables show exactly these."""
+    return spark.createDataFrame(list(zip(names, range(len(names)))),
+                                 "benchmark string, position int")
+
+
 def latest_texts(texts: DataFrame) -> DataFrame:
     """One row per (id, benchmark, config): the last one wins."""
     w = W.partitionBy(*KEYS).orderBy(F.col("seq").desc())

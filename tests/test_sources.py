@@ -172,3 +172,16 @@ def test_stage_round_trip(spark):
 def test_pair_records(spark):
     df = spark.createDataFrame([("1", None, "y")], "id string, source_text string, target_text string")
     assert rows(files.pair_records(df, "batch")) == [("1", "1", "batch", "", "y", "pending")]
+
+
+def test_benchmark_table(spark):
+    from annoloom.operators import progress
+    from tests.test_operators import make_records
+
+    dim = texts.benchmark_table(spark)
+    assert dim.count() == 13
+    records = make_records(spark, [("a", "NanoNQ", "query", "t", "completed"), ("b", "Else", "query", "t", "pending")])
+    got = progress.benchmark_progress(records, dim).collect()
+    assert [r["position"] for r in got] == [*range(13), None]
+    assert (got[4]["benchmark"], got[4]["pct"]) == ("NanoNQ", 100)
+    assert (got[13]["benchmark"], got[13]["total"]) == ("TOTAL", 1)
