@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annoloom.llm import chat_format, packing, quality_rules, token_counts
+from annoloom.llm import (
+    chat_format, ngram_join, packing, quality_rules, secret_scan, substring_dedup, token_counts,
+)
 from annoloom.llm.rows import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
 CONTROL_CASE = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -54,6 +61,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), keep_text=False)
+    return substring_dedup.digests(result)
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
