@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoloom.llm import (
-    chat_format, ngram_join, packing, quality_rules, secret_scan, substring_dedup, token_counts,
+    chat_format, decontaminate, language_id, ngram_join, packing, quality_rules, secret_scan,
+    substring_dedup, token_counts, toxicity,
 )
 from annoloom.llm.rows import table
 
@@ -61,11 +62,39 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+TOXIC_CHAIN = ("low_quality", "toxic")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label table has two columns; poor quality comes first in the chain."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    return toxicity.toxicity(docs, toxicity.train_chain(docs, labels, TOXIC_CHAIN), TOXIC_CHAIN)
+
+
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+HELD_OUT = 2
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    model = language_id.train(docs, part != HELD_OUT)
+    return language_id.predict(docs, model).select(
+        "doc_id", F.coalesce(part == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), keep_text=False)
