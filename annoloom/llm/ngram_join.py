@@ -7,8 +7,9 @@
    only the first ``n - ceil(t * n) + 1`` shingles can be the first common one of a link (prefix filter);
    shingles of one class take places there but lead nowhere.
 3. In a first round each prefix shingle pairs its classes with one leader, the one with the largest
-   shared part. In a second, classes that are still in different components are paired, unless their
-   sizes and shared counts already rule a link out. Both rounds together test every pair that could
+   shared part, and the overlaps are counted. In a second, classes that are still in different
+   components are paired, unless sizes, shared counts or the partial overlaps with the leader
+   (a common shingle is inside its set or outside) already rule a link out. Both rounds together test every pair that could
    join two components, and never all pairs within a group.
 4. Pairs are verified by vertical partitions: the global order is cut into ``FRAGMENTS``, the partial
    overlap of a pair is counted in each fragment on its own and summed per pair.
@@ -28,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annoloom.llm.blocks import DOCS_PER_BLOCK, Grams, block_answers, gathered, with_blocks
@@ -84,19 +85,29 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
         lambda ours, theirs: finish(ours, theirs), _SETS)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold."""
-    bits = fragments.bit_length() - 1
-    parts = (sets.select("rep", "n", F.explode("shingles").alias("h"))
-             .groupBy("rep", "n", F.shiftrightunsigned("h", 64 - bits).alias("fragment"))
-             .agg(F.collect_list("h").alias("part")))
-    left = parts.select(F.col("rep").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
-    right = parts.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "fragment", F.col("part").alias("pb"))
-    overlap = F.sum(F.size(F.array_intersect("pa", "pb")))
+def fragment_of(h: Column) -> Column:
+    """The part of the global order that a shingle is in."""
+    return F.shiftrightunsigned(h, 64 - (FRAGMENTS.bit_length() - 1))
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, o, parts): set sizes and overlap of the pairs (a, b), in all and by fragment."""
+    cut = (sets.select("rep", "n", F.explode("shingles").alias("h"))
+           .groupBy("rep", "n", fragment_of(F.col("h")).alias("fragment"))
+           .agg(F.collect_list("h").alias("part")))
+    left = cut.select(F.col("rep").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
+    right = cut.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "fragment", F.col("part").alias("pb"))
+    partial = F.size(F.array_intersect("pa", "pb"))
     return (pairs.join(left, "a").join(right, ["b", "fragment"])
-            .groupBy("a", "b", "na", "nb").agg(overlap.alias("o"))
-            .filter((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb")))
-            .select("a", "b"))
+            .groupBy("a", "b", "na", "nb")
+            .agg(F.sum(partial).alias("o"), *[F.sum(F.when(F.col("fragment") == f, partial).otherwise(0)).cast("int")
+                                              .alias(f"o{f}") for f in range(FRAGMENTS)])
+            .select("a", "b", "na", "nb", "o", F.array(*[f"o{f}" for f in range(FRAGMENTS)]).alias("parts")))
+
+
+def linked(counted: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose Jaccard similarity reaches the threshold."""
+    return counted.filter((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -131,10 +142,14 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
               .withColumn("s", F.size("order").cast("long"))
               .filter(100 * F.col("s") >= percent * F.col("n")))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("s"))
+    # shared shingles of each class by fragment
+    cut = F.transform("order", lambda t: fragment_of(t["h"]).cast("int"))
+    shared = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
+                         lambda f: F.size(F.filter("cut", lambda c: c == f)))
     entries = tables.stage(
-        ranked.filter(prefix > 0)
-        .select("rep", "n", "s", F.explode(F.slice("order", F.lit(1), prefix.cast("int"))).alias("t"))
-        .select("rep", "n", "s", F.col("t.h").alias("h")), "prefixes")
+        ranked.filter(prefix > 0).withColumn("cut", cut).withColumn("parts", shared)
+        .select("rep", "n", "s", "parts", F.explode(F.slice("order", F.lit(1), prefix.cast("int"))).alias("t"))
+        .select("rep", "n", "s", "parts", F.col("t.h").alias("h")), "prefixes")
     sets = tables.stage(sets.join(entries.select("rep").distinct(), "rep", "left_semi"), "sets")
 
     def possible(n_a, s_a, n_b, s_b):
@@ -150,11 +165,18 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
              .filter(F.col("rep") != F.col("lead"))
              .filter(possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls")))
              .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
-    links = tables.stage(verified(first, sets, percent), "links")
+    counted = tables.stage(overlaps(first, sets), "overlaps")
+    links = linked(counted, percent)
     labels = components(sets, links)
 
+    # each entry with its partial overlaps with the leader of its shingle, where they were counted
+    with_leader = counted.select("a", "b", F.col("parts").alias("inner")) \
+        .union(counted.select(F.col("b"), F.col("a"), "parts")).toDF("lead", "rep", "inner")
+    inner = F.when(F.col("lead") == F.col("rep"), F.col("parts")).otherwise(F.col("inner"))
     labelled = tables.stage(
-        entries.join(labels, "rep", "left").select("rep", "n", "s", "h", F.coalesce("label", "rep").alias("label")),
+        entries.join(lead.select("h", (-F.col("l.rep")).alias("lead")), "h").join(with_leader, ["lead", "rep"], "left")
+        .join(labels, "rep", "left")
+        .select("rep", "n", "s", "parts", "h", inner.alias("inner"), F.coalesce("label", "rep").alias("label")),
         "labelled")
     # of a shingle's classes, those outside its largest component are paired with all others
     sizes = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
@@ -166,14 +188,19 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     small = here.filter((F.col("label") != F.col("big"))
                         & ((100 + percent) * F.col("s") >= percent * (F.col("n") + F.col("least"))))
     other = here.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("s").alias("s2"),
-                        F.col("label").alias("label2"))
+                        F.col("parts").alias("parts2"), F.col("inner").alias("inner2"), F.col("label").alias("label2"))
+    # in each fragment, what two sets share is inside the leader's set, or outside and shared with some class
+    around = sum((F.least(F.col("inner")[f], F.col("inner2")[f])
+                  + F.least(F.col("parts")[f] - F.col("inner")[f], F.col("parts2")[f] - F.col("inner2")[f])
+                  for f in range(FRAGMENTS)), F.lit(0))
     second = (small.join(other, "h")
               .filter((F.col("label") != F.col("label2"))
                       & ((F.col("label2") == F.col("big")) | (F.col("rep") < F.col("rep2")))
-                      & possible(F.col("n"), F.col("s"), F.col("n2"), F.col("s2")))
+                      & possible(F.col("n"), F.col("s"), F.col("n2"), F.col("s2"))
+                      & F.coalesce((100 + percent) * around >= percent * (F.col("n") + F.col("n2")), F.lit(True)))
               .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-              .join(first, ["a", "b"], "left_anti"))
-    more = tables.stage(verified(second, sets, percent), "links")
+              .join(counted, ["a", "b"], "left_anti"))
+    more = tables.stage(linked(overlaps(second, sets), percent), "links")
     if more.isEmpty():
         return labels
     return components(sets, links.union(more))

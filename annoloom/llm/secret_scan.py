@@ -99,10 +99,12 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
     def step(a: Column, i: Column) -> Column:
         before = F.substring(value, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
         entering = F.substring(value, i, F.lit(1))
-        leaving = F.when(i > window, F.substring(value, i - window, F.lit(1)))
-        gone = count(leaving, before)
-        here = count(entering, before) - F.when(leaving == entering, 1).otherwise(0)
-        total = (a["total"] + F.coalesce(term(gone - 1) - term(gone), F.lit(0.0)) + term(here + 1) - term(here))
+        leaving = F.substring(value, F.greatest(i - window, F.lit(1)), F.lit(1))
+        full = i > window
+        gone = F.when(full, count(leaving, before)).otherwise(1)
+        here = count(entering, before) - F.when(full & (leaving == entering), 1).otherwise(0)
+        total = (a["total"] + F.when(full, term(gone - 1) - term(gone)).otherwise(0.0)
+                 + term(here + 1) - term(here))
         return F.struct(total.alias("total"), F.when((i >= window) & (total < a["least"]), total)
                         .otherwise(a["least"]).alias("least"))
 
@@ -178,9 +180,10 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
                 a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
                 F.lit(MASK))).otherwise(a["out"]).alias("out")),
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
-    clean = F.when(F.size(spans) > 0, walked).otherwise(text)
-    changed = {text_col: clean}
+    clean, masked = F.when(F.size(spans) > 0, walked).otherwise(text), f"{prefix}clean"
+    out = found.withColumn(masked, clean)       # a step of its own: nothing below may see the new text as the old
+    changed = {text_col: F.col(masked)}
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType
-        changed[size_col] = F.when(F.size(spans) > 0, F.length(clean).cast(kind)).otherwise(F.col(size_col))
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+        changed[size_col] = F.when(F.size(spans) > 0, F.length(masked).cast(kind)).otherwise(F.col(size_col))
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
