@@ -48,11 +48,11 @@ def record_key(benchmark: Column | str, record_type: Column | str,
 
 
 def content_hash(c: Column | str) -> Column:
-    return F.md5(col(c))
+    return F.md5(text_or_empty(c))
 
 
 def pair_hash(source: Column | str, target: Column | str) -> Column:
-    return F.md5(F.concat(col(source), F.lit("\x00"), col(target)))
+    return F.md5(F.concat(text_or_empty(source), F.lit("\x00"), text_or_empty(target)))
 
 
 def preview(c: Column | str, length: int) -> Column:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annoloom import schema as S
 from annoloom.functions import agreement as AG
 from annoloom.functions import scores as SC
 from annoloom.functions.values import category_list
@@ -15,32 +14,22 @@ from annoloom.operators.facts import latest_response, resolve_annotators
 
 RATERS_PER_CELL = 256     # raters of one record that meet all its others in one task
 ANNOTATOR_BLOCKS = 16     # side of the grid that spreads "every pair of annotators"
-MAX_LABELS = 62           # labels of a form that fit the bits of a long
 
 
-def label_mask(categories: str, labels: Sequence[str]):
-    """Set of chosen labels as the bits of one long, so pairs never carry arrays."""
-    if len(labels) > MAX_LABELS:
-        raise ValueError(f"a form has at most {MAX_LABELS} labels, got {len(labels)}")
-    chosen = category_list(categories)
-    bits = [F.when(F.array_contains(chosen, label), F.lit(1 << i)).otherwise(F.lit(0))
-            .cast("long") for i, label in enumerate(labels)]
-    mask = F.lit(0).cast("long")
-    for bit in bits:
-        mask = mask + bit
-    return mask
+def label_set(categories: str) -> Column:
+    """The distinct labels chosen, in order; nulls inside a list do not count."""
+    return F.array_sort(F.array_distinct(F.array_compact(category_list(categories))))
 
 
-def ratings(responses: DataFrame, users: DataFrame,
-            labels: Sequence[str] = S.ERROR_CATEGORIES) -> DataFrame:
+def ratings(responses: DataFrame, users: DataFrame) -> DataFrame:
     """Last submitted rating per record and annotator, whatever the record's status.
 
-    The rows are narrowed to a score and a label mask before they are shuffled.
+    The rows are narrowed to a score and the set of chosen labels before they are shuffled.
     """
     narrow = (responses.filter(F.col("status") == "submitted")
               .select("record_id", "user_id", "seq",
                       SC.score_digit("quality_score").alias("score"),
-                      label_mask("error_categories", labels).alias("labels")))
+                      label_set("error_categories").alias("labels")))
     return latest_response(resolve_annotators(narrow, users), ["record_id", "annotator"]) \
         .select("record_id", "annotator", "score", "labels")
 
@@ -99,32 +88,54 @@ def pairwise_agreement(rated: DataFrame, k: int = 5) -> DataFrame:
                     (F.col("apart") / F.col("k_n")).alias("mean_diff")))
 
 
-def annotator_pairs(annotators: DataFrame, blocks: int = ANNOTATOR_BLOCKS) -> DataFrame:
-    """Every two annotators, a before b.
+def asked_pairs(asked: DataFrame, annotators: DataFrame,
+                blocks: int = ANNOTATOR_BLOCKS) -> DataFrame:
+    """Every annotator of ``asked`` with every other, a before b, once.
 
-    The result is quadratic in the annotators by definition. Each annotator belongs to
-    one block and meets the others in a grid of block pairs, so the work is an ordinary
-    equi-join spread over ``blocks`` squared keys.
+    Those asked about are dealt over blocks and all annotators are repeated in each block, so
+    the work is an equi-join of that many keys for each hash of the other side.
     """
-    block = F.pmod(F.xxhash64("annotator"), F.lit(blocks)).cast("int")
+    key = F.pmod(F.xxhash64("annotator"), F.lit(blocks)).cast("int")
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = annotators.select(F.col("annotator").alias("annotator_a"),
-                             block.alias("row"), F.explode(every).alias("column"))
-    right = annotators.select(F.col("annotator").alias("annotator_b"),
-                              block.alias("column"), F.explode(every).alias("row"))
-    return (left.join(right, ["row", "column"])
-            .filter(F.col("annotator_a") < F.col("annotator_b"))
-            .select("annotator_a", "annotator_b"))
-
-
-def pairs_without_overlap(rated: DataFrame) -> DataFrame:
-    """Annotator pairs with no record that both have scored."""
-    overlapping = (rating_pairs(rated)
-                   .filter(F.col("score_a").isNotNull() & F.col("score_b").isNotNull())
-                   .select("annotator_a", "annotator_b").distinct())
+    left = asked.select(F.col("annotator").alias("one"), key.alias("row"), F.explode(every).alias("column"))
+    right = annotators.select(F.col("annotator").alias("other"), key.alias("column"), F.explode(every).alias("row"))
+    return (left.join(right, ["row", "column"]).filter(F.col("one") != F.col("other"))
+            .select(F.least("one", "other").alias("annotator_a"), F.greatest("one", "other").alias("annotator_b"))
+            .distinct())
+
+
+def _scored_pairs(rated: DataFrame) -> DataFrame:
+    """Distinct annotator pairs with a record that both have scored."""
+    return (rating_pairs(rated)
+            .filter(F.col("score_a").isNotNull() & F.col("score_b").isNotNull())
+            .select("annotator_a", "annotator_b").distinct())
+
+
+def overlap_counts(rated: DataFrame) -> DataFrame:
+    """For each annotator, how many others share a scored record with them and how many do not.
+
+    One row per annotator: the pairs without overlap are counted, not listed.
+    """
+    annotators = co_rated(rated).select("annotator").distinct()
+    both = F.array("annotator_a", "annotator_b")
+    peers = (_scored_pairs(rated).select(F.explode(both).alias("annotator"))
+             .groupBy("annotator").agg(F.count(F.lit(1)).alias("n")))
+    others = annotators.agg(F.count(F.lit(1)) - 1).scalar()
+    n = F.coalesce("n", F.lit(0))
+    return (annotators.join(peers, "annotator", "left").withColumn("others", others)
+            .select("annotator", n.alias("with_overlap"), (F.col("others") - n).alias("without_overlap")))
+
+
+def pairs_without_overlap(rated: DataFrame, asked: DataFrame) -> DataFrame:
+    """Annotator pairs with no record that both have scored, for the annotators ``asked`` about.
+
+    Of all annotators there are quadratically many such pairs; :func:`overlap_counts` has their
+    numbers. Here each one asked about is listed with the others, a before b.
+    """
     annotators = co_rated(rated).select("annotator").distinct()
-    return annotator_pairs(annotators).join(
-        overlapping, ["annotator_a", "annotator_b"], "left_anti")
+    wanted = annotators.join(asked.select("annotator").distinct(), "annotator", "left_semi")
+    return asked_pairs(wanted, annotators).join(
+        _scored_pairs(rated), ["annotator_a", "annotator_b"], "left_anti")
 
 
 def calibration_distribution(rated: DataFrame) -> DataFrame:
@@ -135,30 +146,30 @@ def calibration_distribution(rated: DataFrame) -> DataFrame:
         F.avg("score").alias("avg_score")).orderBy("annotator"))
 
 
-def category_agreement(rated: DataFrame,
-                       labels: Sequence[str] = S.ERROR_CATEGORIES) -> DataFrame:
+def category_agreement(rated: DataFrame) -> DataFrame:
     """Share of the shared records on which a pair agrees about each label seen.
 
-    Agreeing means both chose the label or neither did. One aggregation counts the
-    records per pair and the differing bit of every label; labels nobody used on a
-    co-rated record are left out at the end.
+    Agreeing means both chose the label or neither did. The labels are those of the co-rated
+    records. Every pair and record gives one row and one more for each label that only one of
+    the two chose; these are counted in one aggregation, map-side first, and labels on which a
+    pair never differs are filled in from the list of all labels.
     """
-    differ = F.col("labels_a").bitwiseXOR(F.col("labels_b"))
-    sums = rating_pairs(rated).groupBy("annotator_a", "annotator_b").agg(
-        F.count(F.lit(1)).alias("shared"),
-        *[F.count_if(differ.bitwiseAND(F.lit(1 << i).cast("long")) == 0).alias(f"l{i}")
-          for i in range(len(labels))])
-    seen_mask = co_rated(rated).agg(F.bit_or("labels")).scalar()
-    rows = F.array(*[F.struct(F.lit(label).alias("category"),
-                              F.lit(1 << i).cast("long").alias("bit"),
-                              F.col(f"l{i}").alias("agreed"))
-                     for i, label in enumerate(labels)])
-    return (sums.withColumn("seen", seen_mask)
-            .select("annotator_a", "annotator_b", "shared", "seen",
-                    F.explode(rows).alias("r"))
-            .filter(F.col("seen").bitwiseAND(F.col("r.bit")) != 0)
-            .select("annotator_a", "annotator_b", "r.category", "shared", "r.agreed",
-                    (F.col("r.agreed") * 100.0 / F.col("shared")).alias("agreement_pct")))
+    differ = F.concat(F.array_except("labels_a", "labels_b"), F.array_except("labels_b", "labels_a"))
+    counts = (rating_pairs(rated)
+              .select("annotator_a", "annotator_b",
+                      F.explode(F.array_append(differ, F.lit(None).cast("string"))).alias("label"))
+              .groupBy("annotator_a", "annotator_b", "label").agg(F.count(F.lit(1)).alias("n")))
+    of_label = F.struct("label", "n")
+    per_pair = counts.groupBy("annotator_a", "annotator_b").agg(
+        F.max(F.when(F.col("label").isNull(), F.col("n"))).alias("shared"),
+        F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), of_label))).alias("apart"))
+    seen = (co_rated(rated).select(F.explode("labels").alias("label")).distinct()
+            .agg(F.collect_list("label")).scalar())         # the labels of a form, not of the data's size
+    agreed = F.col("shared") - F.coalesce(F.try_element_at("apart", F.col("category")), F.lit(0))
+    return (per_pair.withColumn("seen", seen)
+            .select("annotator_a", "annotator_b", "shared", "apart", F.explode("seen").alias("category"))
+            .select("annotator_a", "annotator_b", "category", "shared", agreed.alias("agreed"),
+                    (agreed * 100.0 / F.col("shared")).alias("agreement_pct")))
 
 
 def kappa_by(ratings_df: DataFrame, a: str, b: str, keys: Sequence[str] = (),

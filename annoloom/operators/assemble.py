@@ -41,6 +41,13 @@ def cap_positives(relevance: DataFrame, max_positives: int = MAX_POSITIVES) -> D
             .filter(F.col("position") <= max_positives))
 
 
+def relevance_lists(relevance: DataFrame) -> DataFrame:
+    """Flat form to one row per query with all its positives in order, repeats included."""
+    items = F.sort_array(F.collect_list(F.struct("seq", "corpus_id")))
+    return (relevance.groupBy("benchmark", "query_id")
+            .agg(F.transform(items, lambda x: x["corpus_id"]).alias("positive_ids")))
+
+
 def capped_lists(relevance: DataFrame, max_positives: int = MAX_POSITIVES) -> DataFrame:
     """Flat form to one row per query with its first positives in order.
 

@@ -14,13 +14,20 @@ from annoloom.functions.values import category_list
 SHORT_ID = 8      # characters of a user id shown for an unknown user
 
 
+def one_per_user(users: DataFrame) -> DataFrame:
+    """(user_id, username), once per id: the last row by ``seq`` if there is one, else the
+    largest name. A repeated id must not repeat its responses."""
+    name = F.max_by("username", "seq") if "seq" in users.columns else F.max("username")
+    return users.groupBy("user_id").agg(name.alias("username"))
+
+
 def resolve_annotators(responses: DataFrame, users: DataFrame,
                        short: bool = True) -> DataFrame:
     """Add ``annotator``: the user's name, else the id (its first 8 characters if short).
 
     A response without a user id is ``unknown`` in the long form.
     """
-    names = users.select("user_id", "username")
+    names = one_per_user(users)
     fallback = F.col("user_id")
     fallback = (F.substring(fallback, 1, SHORT_ID) if short
                 else F.coalesce(F.nullif(fallback, F.lit("")), F.lit("unknown")))

@@ -78,7 +78,9 @@ def score_by_annotator(responses: DataFrame, users: DataFrame,
 
 
 def dashboard_stats(records: DataFrame, responses: DataFrame) -> DataFrame:
-    """Distinct tasks with a submission, all submissions, completion and modification."""
+    """Distinct tasks with a submission, all submissions, completion and modification.
+
+    Percentages are not rounded; that is a matter of display."""
     modified = ~SC.accepted_legacy("corrected_text")
     # One row per record before the join, so a busy record joins as a single row.
     per_record = submitted(responses).groupBy("record_id").agg(
@@ -91,11 +93,10 @@ def dashboard_stats(records: DataFrame, responses: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_annotations"),
         F.coalesce(F.sum("m"), F.lit(0)).alias("modified"))
         .withColumn("accepted", F.col("total_annotations") - F.col("modified"))
-        .withColumn("completion_pct", F.coalesce(F.bround(
-            F.try_divide("completed_records", "total_records") * 100, 1), F.lit(0.0)))
-        .withColumn("modification_pct", F.bround(
-            F.col("modified") / F.greatest("total_annotations", F.lit(1)) * 100)
-            .cast("long")))
+        .withColumn("completion_pct", F.coalesce(
+            F.try_divide("completed_records", "total_records") * 100, F.lit(0.0)))
+        .withColumn("modification_pct", 
+            F.col("modified") / F.greatest("total_annotations", F.lit(1)) * 100))
 
 
 def dashboard_per_annotator(responses: DataFrame, users: DataFrame,

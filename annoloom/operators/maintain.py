@@ -21,22 +21,29 @@ def discards_applied(responses: DataFrame) -> DataFrame:
     return responses.filter(~F.coalesce(F.col("status") == "discarded", F.lit(False)))
 
 
-def _matched(responses: DataFrame, users: DataFrame, targets: DataFrame,
-             how: str) -> DataFrame:
+def _reopened(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
+    """Response ids that ``targets`` names, with annotator.
+
+    Two equi-joins on distinct targets: whole records by id, and single annotators by record
+    and name. Neither compares every response of a record with every target of it.
+    """
     named = resolve_annotators(responses, users)
-    wanted = targets.select(F.col("record_id").alias("_record"),
-                            F.col("annotator").alias("_annotator"))
-    condition = (named["record_id"] == wanted["_record"]) & (
-        wanted["_annotator"].isNull() | (wanted["_annotator"] == named["annotator"]))
-    return named.join(wanted, condition, how)
+    everyone = targets.filter(F.col("annotator").isNull()).select("record_id").distinct()
+    single = targets.filter(F.col("annotator").isNotNull()).select("record_id", "annotator").distinct()
+    whole = named.join(everyone, "record_id", "left_semi")
+    rest = named.join(everyone, "record_id", "left_anti")
+    return whole.unionByName(rest.join(single, ["record_id", "annotator"], "left_semi"))
 
 
 def reopen_preview(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
     """Responses that reopening ``targets`` (record_id, annotator or null for all) removes."""
-    return _matched(responses, users, targets, "left_semi") \
+    return _reopened(responses, users, targets) \
         .select("annotator", "record_id", "response_id", "status", "quality_score")
 
 
 def reopen_applied(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
     """Responses that stay after reopening ``targets``."""
-    return _matched(responses, users, targets, "left_anti").select(*responses.columns)
+    everyone = targets.filter(F.col("annotator").isNull()).select("record_id").distinct()
+    single = targets.filter(F.col("annotator").isNotNull()).select("record_id", "annotator").distinct()
+    return (resolve_annotators(responses, users).join(everyone, "record_id", "left_anti")
+            .join(single, ["record_id", "annotator"], "left_anti").select(*responses.columns))

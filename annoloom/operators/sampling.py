@@ -10,7 +10,7 @@ from annoloom import schema as S
 from annoloom.functions import text as TX
 
 ORDER_DIGITS = 3          # leading hex digits of the seeded key: 16 ** 3 order buckets
-SMALL_SAMPLE = 10_000     # rows the driver-side merge of orderBy().limit() may carry
+MAX_DIGITS = 4            # 16 ** 4 bucket counts are the most that is ever broadcast
 
 
 def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
@@ -22,6 +22,8 @@ def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
     own. Only the bucket counts, 16 ** digits rows, are brought together; buckets past
     the ``first`` rows are dropped before the shuffle.
     """
+    if not 1 <= digits <= MAX_DIGITS:
+        raise ValueError(f"digits must be 1 to {MAX_DIGITS}, got {digits}")
     keyed = df.withColumn("_key", TX.seeded_key(item_id, seed)) \
         .withColumn("_bucket", F.substring("_key", 1, digits))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -40,13 +42,11 @@ def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
 def sample_n(df: DataFrame, item_id: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the same ones for the same seed.
 
-    Small samples take the head of the seeded order; large ones keep the rows up to
-    position n, which never gathers the sample in one place. Both pick the same rows.
+    The ids are put in the seeded order and cut at position n, which never gathers the sample in
+    one place; the rows themselves are only filtered by the chosen ids. Ids are distinct.
     """
-    if n <= SMALL_SAMPLE:
-        return (df.withColumn("_key", TX.seeded_key(item_id, seed))
-                .orderBy("_key", item_id).limit(n).drop("_key"))
-    return shuffled_order(df, item_id, seed, first=n).drop("position")
+    chosen = shuffled_order(df.select(item_id), item_id, seed, first=n)
+    return df.join(chosen.select(item_id), item_id, "left_semi")
 
 
 def _pending(records: DataFrame, benchmarks: DataFrame) -> DataFrame:
@@ -60,13 +60,22 @@ def calibration_sample(records: DataFrame, benchmarks: DataFrame, k: int = 1,
                        seed: int = 42) -> DataFrame:
     """``k`` pending records per benchmark and type, drawn by seed.
 
-    The rank filter keeps k rows per stratum in every map task before the shuffle, so
-    one very large benchmark is no large group.
+    Only ids are ranked. The leading digits of the seeded key cut a stratum into even buckets;
+    from their counts it is known which ones hold the first k, and ranks are taken inside these.
+    So neither a large stratum nor a large k is one group, and texts are read for the chosen ids.
     """
-    w = (W.partitionBy("benchmark", "record_type")
-         .orderBy(TX.seeded_key("record_id", seed), "record_id"))
-    return (_pending(records, benchmarks).withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= k).drop("_rn"))
+    stratum = ["benchmark", "record_type"]
+    keyed = (_pending(records, benchmarks).select("record_id", *stratum)
+             .withColumn("_key", TX.seeded_key("record_id", seed))
+             .withColumn("_bucket", F.substring("_key", 1, ORDER_DIGITS)))
+    before = W.partitionBy(*stratum).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    needed = (keyed.groupBy(*stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .filter(F.col("_before") < k).drop("_n"))
+    rank = F.row_number().over(W.partitionBy(*stratum, "_bucket").orderBy("_key", "record_id"))
+    chosen = (keyed.join(needed, [*stratum, "_bucket"]).withColumn("_rank", F.col("_before") + rank)
+              .filter(F.col("_rank") <= k))
+    return records.join(chosen.select("record_id"), "record_id", "left_semi")
 
 
 def calibration_records(sampled: DataFrame) -> DataFrame:

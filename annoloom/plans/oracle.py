@@ -170,8 +170,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                                   ORDER BY l_linenumber, l_partkey, l_suppkey) AS position
         FROM lineitem"""),
     "fx_needed": (("fx_capped",), """
-        SELECT DISTINCT benchmark, 'corpus' AS config, corpus_id AS id
-        FROM fx_capped WHERE position <= 3"""),
+        SELECT DISTINCT benchmark, 'corpus' AS config, corpus_id AS id FROM fx_capped"""),
     "fx_ratings": (("fx_cal", "fx_users"), f"""
         SELECT record_id, annotator, score, error_categories AS cats,
                count(*) OVER (PARTITION BY record_id) AS raters
@@ -186,6 +185,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                a.score AS sa, b.score AS sb, a.cats AS ca, b.cats AS cb
         FROM fx_ratings a JOIN fx_ratings b
              ON a.record_id = b.record_id AND a.annotator < b.annotator"""),
+    "fx_asked": (("fx_users", "fx_members"), """
+        SELECT username FROM fx_users SEMI JOIN fx_members USING (user_id) WHERE role <> 'owner'"""),
     "fx_hashes": (("fx_records",), """
         SELECT record_id, benchmark, md5(source_text) AS source_key, md5(target_text) AS target_key,
                md5(source_text || chr(0) || target_text) AS pair_key,
@@ -272,7 +273,10 @@ oracle("upsert_records", """
 SELECT record_id, CASE WHEN status = 'discarded' THEN 'rerun' ELSE benchmark END AS benchmark,
        record_type, task_id, source_text, target_text,
        CASE WHEN status = 'discarded' THEN 'pending' ELSE status END AS status
-FROM fx_records""", "fx_records")
+FROM fx_records
+UNION ALL
+SELECT 'new_' || record_id, benchmark, record_type, task_id, source_text, target_text, status
+FROM fx_records WHERE status = 'pending'""", "fx_records")
 
 # ---- facts ----
 
@@ -417,17 +421,21 @@ FROM lineitem GROUP BY 1""")
 
 oracle("relevance_lists", """
 SELECT benchmark, query_id, string_agg(corpus_id, '|' ORDER BY position) AS positive_ids
-FROM fx_capped WHERE position <= 10 GROUP BY ALL""", "fx_capped")
+FROM fx_capped GROUP BY ALL""", "fx_capped")
+
+oracle("capped_lists", """
+SELECT benchmark, query_id, string_agg(corpus_id, '|' ORDER BY position) AS positive_ids
+FROM fx_capped WHERE position <= 3 GROUP BY ALL""", "fx_capped")
 
 oracle("relevance_flat", """
-SELECT benchmark, query_id, corpus_id, position - 1 AS seq FROM fx_capped
-WHERE position <= 2""", "fx_capped")
+SELECT benchmark, query_id, corpus_id, position - 1 AS seq FROM fx_capped""", "fx_capped")
 
 oracle("cap_positives", """
 SELECT benchmark, query_id, corpus_id, CAST(position AS integer) AS position FROM fx_capped
 WHERE position <= 3""", "fx_capped")
 
-oracle("needed_passages", "SELECT benchmark, id FROM fx_needed", "fx_needed")
+oracle("needed_passages", """
+SELECT DISTINCT benchmark, corpus_id AS id FROM fx_capped WHERE position <= 3""", "fx_capped")
 
 oracle("query_pairs", """
 SELECT 'query_' || o_custkey AS id, o_orderstatus || ' ' || o_orderkey AS source_text,
@@ -509,7 +517,7 @@ FROM (SELECT count(*) AS total_records, count(*) FILTER (status <> 'pending') AS
       FROM fx_records SEMI JOIN fx_benchmarks USING (benchmark)),
      (SELECT count(DISTINCT annotator) AS annotators,
              count(*) FILTER (score BETWEEN 1 AND 5) AS submissions,
-             round_even(avg(score), 2) AS avg_score, count(*) FILTER (flagged) AS flags
+             round(avg(score), 6) AS avg_score, count(*) FILTER (flagged) AS flags
       FROM fx_facts)""", "fx_records", "fx_benchmarks", "fx_facts")
 
 oracle("access_roster", """
@@ -555,9 +563,8 @@ WHERE label IS NOT NULL GROUP BY 1""", *_RU)
 
 oracle("dashboard_stats", f"""
 SELECT total_records, completed_records, total_annotations, modified, accepted,
-       round_even(completed_records / total_records * 100, 1) AS completion_pct,
-       CAST(round_even(modified / greatest(total_annotations, 1) * 100, 0) AS bigint)
-           AS modification_pct
+       round(completed_records / total_records * 100, 6) AS completion_pct,
+       round(modified / greatest(total_annotations, 1) * 100, 6) AS modification_pct
 FROM (SELECT count(*) AS total_records FROM fx_records),
      (SELECT count(DISTINCT task_id) AS completed_records, count(*) AS total_annotations,
              count(*) FILTER (modified) AS modified, count(*) FILTER (NOT modified) AS accepted
@@ -622,8 +629,17 @@ oracle("pairs_without_overlap", f"""
 SELECT a.annotator AS annotator_a, b.annotator AS annotator_b
 FROM (SELECT DISTINCT annotator FROM fx_ratings WHERE raters >= 2) a
 JOIN (SELECT DISTINCT annotator FROM fx_ratings WHERE raters >= 2) b ON a.annotator < b.annotator
+     AND (a.annotator IN (FROM fx_asked) OR b.annotator IN (FROM fx_asked))
 ANTI JOIN {_BOTH} o ON o.annotator_a = a.annotator AND o.annotator_b = b.annotator""",
-       "fx_ratings", "fx_pairs")
+       "fx_ratings", "fx_pairs", "fx_asked")
+
+oracle("overlap_counts", f"""
+SELECT annotator, count(peer) AS with_overlap, any_value(n) - 1 - count(peer) AS without_overlap
+FROM (SELECT DISTINCT annotator FROM fx_ratings WHERE raters >= 2)
+LEFT JOIN (SELECT annotator_a AS annotator, annotator_b AS peer FROM {_BOTH}
+           UNION SELECT annotator_b, annotator_a FROM {_BOTH}) USING (annotator),
+     (SELECT count(DISTINCT annotator) AS n FROM fx_ratings WHERE raters >= 2)
+GROUP BY 1""", "fx_ratings", "fx_pairs")
 
 oracle("calibration_distribution", f"""
 SELECT annotator, count(*) AS n, {_SCORE_COUNTS}, round(avg(score), 6) AS avg_score

@@ -97,8 +97,8 @@ def ingest_csv(spark, d):
 
 def _needed(spark: SparkSession, d: str) -> DataFrame:
     """Needed passage ids, staged so that the corpus scan can be pruned by their size."""
-    needed = A.needed_corpus(assemble.needed_passages(A.relevance(spark, d), 3))
-    return tables.stage(needed, "needed")
+    ids = A.relevance(spark, d).select("benchmark", F.col("corpus_id").alias("id")).distinct()
+    return tables.stage(A.needed_corpus(ids), "needed")
 
 
 @query
@@ -124,11 +124,16 @@ def missing_ids(spark, d):
 
 @query
 def upsert_records(spark, d):
-    """Finished records are loaded again as new versions; the benchmark moves with them."""
+    """Discarded records are loaded again, twice each, and pending ones also under new ids."""
     old = A.records(spark, d)
-    new = (old.filter(F.col("status") == "discarded")
-           .withColumns({"status": F.lit("pending"), "benchmark": F.lit("rerun")}))
-    return tables.upsert(old, new)
+    again = old.filter(F.col("status") == "discarded")
+    fresh = (old.filter(F.col("status") == "pending")
+             .withColumn("record_id", F.concat(F.lit("new_"), "record_id")))
+    versions = [again.withColumns({"status": F.lit("pending"), "benchmark": F.lit("stale"), "version": F.lit(1)}),
+                again.withColumns({"status": F.lit("pending"), "benchmark": F.lit("rerun"), "version": F.lit(2)}),
+                fresh.withColumn("version", F.lit(1))]
+    new = versions[0].unionByName(versions[1]).unionByName(versions[2])
+    return tables.upsert(old, new, "version").drop("version")
 
 
 # ---- facts ----
@@ -303,15 +308,21 @@ def relevance_stats(spark, d):
 
 @query
 def relevance_lists(spark, d):
-    return assemble.capped_lists(A.relevance(spark, d)) \
+    return assemble.relevance_lists(A.relevance(spark, d)) \
+        .withColumn("positive_ids", joined("positive_ids"))
+
+
+@query
+def capped_lists(spark, d):
+    return assemble.capped_lists(A.relevance(spark, d), 3) \
         .withColumn("positive_ids", joined("positive_ids"))
 
 
 @query
 def relevance_flat(spark, d):
-    """Lists back to rows; the lists come from the capped flat form."""
-    lists = assemble.capped_lists(A.relevance(spark, d)).withColumn("seq", F.lit(0))
-    return assemble.flatten_relevance(assemble.cap_lists(lists, 2))
+    """Whole lists back to rows."""
+    lists = assemble.relevance_lists(A.relevance(spark, d)).withColumn("seq", F.lit(0))
+    return assemble.flatten_relevance(lists)
 
 
 @query
@@ -379,8 +390,8 @@ def category_by_annotator(spark, d):
 
 @query
 def report_summary(spark, d):
-    return progress.report_summary(A.records(spark, d), A.benchmarks(spark, d),
-                                   _facts(spark, d))
+    rows = progress.report_summary(A.records(spark, d), A.benchmarks(spark, d), _facts(spark, d))
+    return rows.withColumn("avg_score", r6("avg_score"))
 
 
 @query
@@ -418,7 +429,8 @@ def score_by_annotator(spark, d):
 
 @query
 def dashboard_stats(spark, d):
-    return legacy.dashboard_stats(A.records(spark, d), A.responses(spark, d))
+    rows = legacy.dashboard_stats(A.records(spark, d), A.responses(spark, d))
+    return rows.withColumns({c: r6(c) for c in ("completion_pct", "modification_pct")})
 
 
 @query
@@ -435,7 +447,7 @@ def sample_annotations(spark, d):
 # ---- agreement ----
 
 def _ratings(spark: SparkSession, d: str) -> DataFrame:
-    return agreement.ratings(A.calibration_responses(spark, d), A.users(spark, d))
+    return tables.stage(agreement.ratings(A.calibration_responses(spark, d), A.users(spark, d)), "ratings")
 
 
 @query
@@ -446,7 +458,14 @@ def pairwise_agreement(spark, d):
 
 @query
 def pairs_without_overlap(spark, d):
-    return agreement.pairs_without_overlap(_ratings(spark, d))
+    """For the members of the workspace, each with all others."""
+    asked = progress.access_roster(A.users(spark, d), A.members(spark, d)).filter("in_workspace")
+    return agreement.pairs_without_overlap(_ratings(spark, d), asked.select(F.col("username").alias("annotator")))
+
+
+@query
+def overlap_counts(spark, d):
+    return agreement.overlap_counts(_ratings(spark, d))
 
 
 @query

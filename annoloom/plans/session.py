@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rank filters cut each group to its first k rows in the map tasks; Spark stops doing so beyond
+    # this k.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 

@@ -95,6 +95,7 @@ def ingest_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
     Spark split a large file whose quoted fields hold no line breaks.
     """
     df = (spark.read.option("header", True).option("multiLine", multi_line)
+          .option("enforceSchema", False)       # a file with other columns is an error, not shifted fields
           .option("quote", '"').option("escape", '"').csv(path))
     absent = [k for k in S.PAIR_FILE_KEYS if k not in df.columns]
     if absent:

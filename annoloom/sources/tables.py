@@ -9,6 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # How a table is created: name here -> Spark save mode.
 WRITE_MODES = {
@@ -56,17 +57,14 @@ def write_table(df: DataFrame, path: str, mode: str = "create",
     writer.parquet(path)
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str = "record_id",
-           order: str | None = None) -> DataFrame:
+def upsert(existing: DataFrame, new: DataFrame, order: str, key: str = "record_id") -> DataFrame:
     """New ids added, same ids replaced, others untouched.
 
-    Within ``new`` the last row of an id by ``order`` wins. Write the result to a new
-    path: a table must not be overwritten while it is being read.
+    Within ``new`` the last row of an id by the column ``order`` wins, so an id is never there
+    twice. Write the result to a new path: a table must not be overwritten while it is read.
     """
-    if order:
-        w = W.partitionBy(key).orderBy(F.col(order).desc())
-        new = (new.withColumn("_rn", F.row_number().over(w))
-               .filter(F.col("_rn") <= 1).drop("_rn"))
+    w = W.partitionBy(key).orderBy(F.col(order).desc())
+    new = new.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
     untouched = existing.join(new.select(key), key, "left_anti")
     return untouched.unionByName(new, allowMissingColumns=True)
 
@@ -78,18 +76,25 @@ def only_benchmark(df: DataFrame, benchmark: str, benchmarks: DataFrame) -> Data
     return df.filter(F.col("benchmark") == benchmark)
 
 
+def as_named(schema: StructType, partition: str = "benchmark") -> StructType:
+    """The schema with a partition column that is read as text, however its values look."""
+    return StructType([StructField(f.name, StringType()) if f.name == partition else f for f in schema])
+
+
 def upsert_benchmark(spark: SparkSession, path: str, new: DataFrame, benchmark: str,
-                     benchmarks: DataFrame) -> str:
+                     benchmarks: DataFrame, order: str) -> str:
     """Rerun one benchmark of a table partitioned by ``benchmark``.
 
     Only that partition is read. The merged partition is written next to the table first,
     then put in its place, so a failed job leaves the table as it was.
     """
-    existing = only_benchmark(spark.read.parquet(path), benchmark, benchmarks)
-    merged = upsert(existing, new.filter(F.col("benchmark") == benchmark))
+    schema = as_named(spark.read.parquet(path).schema)
+    existing = only_benchmark(spark.read.schema(schema).parquet(path), benchmark, benchmarks)
+    merged = upsert(existing, new.filter(F.col("benchmark") == benchmark), order) \
+        .select(*existing.columns)
     staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
     merged.write.partitionBy("benchmark").parquet(staged)
-    (spark.read.parquet(staged).write.mode("overwrite")
+    (spark.read.schema(as_named(merged.schema)).parquet(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("benchmark").parquet(path))
     return staged

@@ -126,6 +126,32 @@ def test_category_frequency(small):
         (S.NO_ERROR_LABEL, 1, 4, 25), ("Pravopis", 3, 4, 75)], key=repr)
 
 
+def test_a_null_category_is_no_submission(spark):
+    records = make_records(spark, [("a", "A", "query", "t", "completed")])
+    responses = make_responses(spark, [("a", "u1", "submitted", "1", ["Pravopis", None], "")])
+    assert rows(progress.category_frequency(records, responses)) == [("Pravopis", 1, 1, 100)]
+
+
+def test_a_repeated_user_does_not_repeat_responses(spark):
+    responses = make_responses(spark, [("a", "u1", "submitted", "1", [], "")])
+    repeated = spark.createDataFrame([("u1", "old", 1), ("u1", "new", 2)], "user_id string, username string, seq long")
+    assert rows(facts.resolve_annotators(responses, repeated), "annotator") == [("new",)]
+
+
+def test_null_text_is_empty_text_in_duplicates(spark):
+    records = spark.createDataFrame(
+        [("a", "A", "query", "t", "s1", None, "pending"), ("b", "A", "query", "t", "s2", None, "pending"),
+         ("c", "A", "query", "t", "s3", "", "pending")], RECORDS)
+    assert quality.duplicate_groups(records, "pair").count() == 0
+    assert rows(quality.duplicate_groups(records, "target"), "copies", "first_id") == [(3, "a")]
+    assert quality.duplicate_members(records, "target").count() == 3
+
+
+def test_whole_lists_are_not_cut(spark):
+    rel = spark.createDataFrame([("b", "q", f"c{i}", i) for i in range(30)], REL)
+    assert assemble.relevance_lists(rel).first()["positive_ids"] == [f"c{i}" for i in range(30)]
+
+
 def test_report_summary(spark, small):
     dim = spark.createDataFrame([("A", 0)], "benchmark string, position int")
     row = progress.report_summary(small[0], dim, facts.annotation_facts(*small, texts=False)).first()
@@ -201,11 +227,11 @@ def test_long_fallback_keeps_the_whole_id(spark, users):
 
 def rating_rows(seed, records, annotators, share):
     rng = random.Random(seed)
-    return [(f"rec{r}", f"a{a:03d}", rng.choice([1, 2, 3, 4, 5, None]), rng.randrange(8))
+    return [(f"rec{r}", f"a{a:03d}", rng.choice([1, 2, 3, 4, 5, None]), rng.sample("xyz", rng.randrange(4)))
             for r in range(records) for a in range(annotators) if rng.random() < share]
 
 
-RATED = "record_id string, annotator string, score int, labels long"
+RATED = "record_id string, annotator string, score int, labels array<string>"
 
 
 def brute_pairs(data):
@@ -223,7 +249,7 @@ def brute_pairs(data):
 def test_rating_pairs_do_not_depend_on_the_split(spark, per_cell):
     """One record has every rater, as a hot record would; its pairs are still whole."""
     data = rating_rows(3, 12, 9, 0.4)
-    data = [d for d in data if d[0] != "rec0"] + [("rec0", f"a{a:03d}", 1 + a % 5, a) for a in range(40)]
+    data = [d for d in data if d[0] != "rec0"] + [("rec0", f"a{a:03d}", 1 + a % 5, ["x"]) for a in range(40)]
     rated = spark.createDataFrame(data, RATED)
     got = agreement.rating_pairs(rated, raters_per_cell=per_cell) \
         .groupBy("annotator_a", "annotator_b").count()
@@ -253,31 +279,40 @@ def test_pairwise_agreement_against_brute_force(spark):
 
 
 def test_category_agreement(spark):
-    data = [("r1", "a", 1, 0b011), ("r1", "b", None, 0b001), ("r2", "a", 2, 0b000),
-            ("r2", "b", 2, 0b000), ("r3", "c", 5, 0b100)]       # r3 has one rater only
-    got = rows(agreement.category_agreement(spark.createDataFrame(data, RATED), ["x", "y", "z"]))
-    assert got == [("a", "b", "x", 2, 2, 100.0), ("a", "b", "y", 2, 1, 50.0)]
+    data = [("r1", "a", 1, ["Stil X", "y"]), ("r1", "b", None, ["Stil X"]), ("r2", "a", 2, []),
+            ("r2", "b", 2, []), ("r3", "c", 5, ["z"])]       # r3 has one rater only
+    got = rows(agreement.category_agreement(spark.createDataFrame(data, RATED)))
+    assert got == [("a", "b", "Stil X", 2, 2, 100.0), ("a", "b", "y", 2, 1, 50.0)]
 
 
-def test_label_mask_keeps_sets(spark):
-    df = spark.createDataFrame([(["b", "a", "b"],), (None,), ([],), (["zz"],)], "c array<string>")
-    assert [r[0] for r in df.select(agreement.label_mask("c", ["a", "b"])).collect()] == [3, 0, 0, 0]
-    with pytest.raises(ValueError):
-        agreement.label_mask("c", [str(i) for i in range(63)])
+def test_category_agreement_over_many_labels(spark):
+    """Any number of labels, all of them from the data."""
+    names = [f"label {i:03d}" for i in range(150)]
+    data = [("r1", "a", 1, names), ("r1", "b", 1, names[:149]), ("r2", "a", 1, []), ("r2", "b", 1, names[:1])]
+    got = {r[2]: r[4] for r in rows(agreement.category_agreement(spark.createDataFrame(data, RATED)))}
+    assert got == {n: 2 - (n in (names[0], names[149])) for n in names}
+
 
+def test_label_set(spark):
+    df = spark.createDataFrame([(["b", "a", "b", None],), (None,), ([],), (["zz"],)], "c array<string>")
+    assert [r[0] for r in df.select(agreement.label_set("c")).collect()] == [["a", "b"], [], [], ["zz"]]
 
-def test_every_annotator_pair_once(spark):
+
+def test_asked_annotators_with_all_others_once(spark):
     names = [f"n{i}" for i in range(45)]
     df = spark.createDataFrame([(n,) for n in names], "annotator string")
-    got = rows(agreement.annotator_pairs(df, blocks=4))
-    assert got == sorted(combinations(sorted(names), 2), key=repr)
+    asked = df.filter("annotator in ('n3', 'n7')")
+    got = rows(agreement.asked_pairs(asked, df, blocks=4))
+    assert got == sorted((p for p in combinations(sorted(names), 2) if {"n3", "n7"} & set(p)), key=repr)
 
 
 def test_pairs_without_overlap(spark):
-    data = [("r1", "a", 1, 0), ("r1", "b", 1, 0), ("r2", "c", None, 0), ("r2", "a", 3, 0),
-            ("r3", "d", 2, 0)]
-    got = rows(agreement.pairs_without_overlap(spark.createDataFrame(data, RATED)))
-    assert got == [("a", "c"), ("b", "c")]
+    data = [("r1", "a", 1, []), ("r1", "b", 1, []), ("r2", "c", None, []), ("r2", "a", 3, []),
+            ("r3", "d", 2, [])]
+    rated = spark.createDataFrame(data, RATED)
+    asked = spark.createDataFrame([("c",), ("d",), ("c",)], "annotator string")
+    assert rows(agreement.pairs_without_overlap(rated, asked)) == [("a", "c"), ("b", "c")]
+    assert rows(agreement.overlap_counts(rated)) == [("a", 1, 1), ("b", 1, 1), ("c", 0, 2)]
 
 
 def test_last_rating_wins_and_drafts_do_not_count(spark, users):
@@ -371,13 +406,22 @@ def test_duplicates_with_one_hot_text(spark):
 
 # ---- sampling ----
 
-def test_sample_is_exact_seeded_and_the_same_both_ways(spark, monkeypatch):
-    df = spark.range(5000).select(F.col("id").cast("string").alias("id")).repartition(7)
-    small_way = rows(sampling.sample_n(df, "id", 300))
-    monkeypatch.setattr(sampling, "SMALL_SAMPLE", 10)
-    assert rows(sampling.sample_n(df, "id", 300)) == small_way and len(small_way) == 300
-    assert rows(sampling.sample_n(df, "id", 300, seed=1)) != small_way
+def test_sample_is_exact_and_seeded(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("id"), F.lit("t").alias("text")).repartition(7)
+    want = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), str(i)) for i in range(5000))[:300]
+    assert {r[0] for r in rows(sampling.sample_n(df, "id", 300))} == {i for _, i in want}
+    assert rows(sampling.sample_n(df, "id", 300, seed=1)) != rows(sampling.sample_n(df, "id", 300))
     assert sampling.sample_n(df, "id", 9000).count() == 5000
+    with pytest.raises(ValueError):
+        sampling.shuffled_order(df, "id", digits=6)
+
+
+def test_large_strata_are_cut_exactly(spark):
+    dim = spark.createDataFrame([("A", 0)], "benchmark string, position int")
+    records = make_records(spark, [(f"q{i}", "A", "query", "t", "pending") for i in range(3000)])
+    got = {r["record_id"] for r in sampling.calibration_sample(records, dim, k=1001).collect()}
+    want = sorted((hashlib.md5(f"42:q{i}".encode()).hexdigest(), f"q{i}") for i in range(3000))[:1001]
+    assert got == {i for _, i in want}
 
 
 def test_shuffled_order_is_the_md5_order(spark):

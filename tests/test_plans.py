@@ -32,13 +32,27 @@ def test_no_nested_loops_and_no_python_rows(spark, no_broadcast, key):
 
 
 def test_rank_filters_run_before_the_shuffle(spark, sf_dir):
-    records = A.records(spark, sf_dir)
     for df in (assemble.cap_positives(A.relevance(spark, sf_dir), 3),
-               facts.latest_response(A.calibration_responses(spark, sf_dir), ["record_id", "user_id"]),
-               sampling.calibration_sample(records, A.benchmarks(spark, sf_dir), 2)):
+               assemble.cap_positives(A.relevance(spark, sf_dir), 5000),
+               facts.latest_response(A.calibration_responses(spark, sf_dir), ["record_id", "user_id"])):
         assert "WindowGroupLimit" in plan(df) and "Partial" in plan(df)
 
 
+def test_samples_rank_ids_without_texts(spark, sf_dir, no_broadcast):
+    """Each text column goes through one exchange, that of the join by the chosen ids."""
+    drawn = sampling.calibration_sample(A.records(spark, sf_dir), A.benchmarks(spark, sf_dir), 1001)
+    text = plan(drawn)
+    ranked = text[text.index("Window"):]
+    assert "Window" in text and "source_text" not in ranked and "target_text" not in ranked
+
+
+def test_reopen_has_no_or_in_its_joins(spark, sf_dir, no_broadcast):
+    for key in ("reopen_preview", "reopen_applied"):
+        joins = [line for line in plan(QUERIES[key](spark, sf_dir)).splitlines()
+                 if "LeftSemi" in line or "LeftAnti" in line]
+        assert joins and not any(" OR " in line for line in joins)
+
+
 def test_roll_ups_read_no_texts(spark, sf_dir):
     text = plan(QUERIES["benchmark_progress"](spark, sf_dir))
     assert "text:string" not in text

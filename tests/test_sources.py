@@ -141,11 +141,36 @@ def test_rerun_of_one_benchmark(spark, tmp_path):
         .write.partitionBy("benchmark").parquet(path)
     dim = spark.createDataFrame([("A",), ("B",)], "benchmark string")
     new = spark.createDataFrame([("a2", "new", "A"), ("a3", "new", "A"), ("b1", "new", "B")], ddl)
-    tables.upsert_benchmark(spark, path, new, "A", dim)
+    new = new.withColumn("version", F.lit(1))
+    tables.upsert_benchmark(spark, path, new, "A", dim, "version")
     assert rows(spark.read.parquet(path), "record_id", "text") == [
         ("a1", "old"), ("a2", "new"), ("a3", "new"), ("b1", "old")]
     with pytest.raises(ValueError, match="unknown benchmark"):
-        tables.upsert_benchmark(spark, path, new, "Q", dim)
+        tables.upsert_benchmark(spark, path, new, "Q", dim, "version")
+
+
+def test_names_of_digits_stay_names(spark, tmp_path):
+    path = str(tmp_path / "records")
+    ddl = "record_id string, text string, benchmark string"
+    spark.createDataFrame([("a1", "old", "007"), ("a2", "old", "7")], ddl).write.partitionBy("benchmark").parquet(path)
+    dim = spark.createDataFrame([("007",), ("7",)], "benchmark string")
+    new = spark.createDataFrame([("a1", "new", "007")], ddl).withColumn("version", F.lit(1))
+    tables.upsert_benchmark(spark, path, new, "007", dim, "version")
+    back = spark.read.schema("record_id string, text string, benchmark string").parquet(path)
+    assert rows(back) == [("a1", "new", "007"), ("a2", "old", "7")]
+    corpus = spark.createDataFrame([("007", "corpus", "1", None, "t", 1)], TEXTS)
+    needed = corpus.select("benchmark", "config", "id")
+    for _ in range(2):
+        found = texts.materialised_lookup(spark, str(tmp_path / "lookup"), corpus, needed)
+        assert rows(found, "benchmark", "id", "text") == [("007", "1", "t")]
+
+
+def test_a_csv_file_with_other_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text("id,source_text_en,translated_text_sr\n1,s,t\n", encoding="utf-8")
+    (tmp_path / "d" / "b.csv").write_text("translated_text_sr,id,source_text_en\nt,2,s\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        files.ingest_csv(spark, str(tmp_path / "d")).collect()
 
 
 def test_jsonl_keeps_nulls_and_letters(spark, tmp_path):
