@@ -10,6 +10,7 @@ from annoloom import schema as S
 from annoloom.functions import scores as SC
 from annoloom.functions import text as TX
 from annoloom.functions.values import category_list
+from annoloom.sources import tables
 
 SHORT_ID = 8      # characters of a user id shown for an unknown user
 
@@ -119,17 +120,44 @@ def _done_records(records: DataFrame, texts: bool) -> DataFrame:
                     TX.text_or_empty("task_id").alias("task_id"), *content))
 
 
-def newest_first(facts: DataFrame) -> DataFrame:
+def newest_keys() -> list[Column]:
     """Newest minute first; ties in a fixed order."""
-    return facts.orderBy(F.desc("date"), "record_id", "annotator", "response_id")
+    return [F.desc("date"), F.col("record_id"), F.col("annotator"), F.col("response_id")]
 
 
-def sort_annotations(facts: DataFrame, column: str, descending: bool = False) -> DataFrame:
-    """Order by any column; scores sort as numbers with non-scores and 0 as 99."""
+def sort_keys(column: str, descending: bool = False) -> list[Column]:
+    """Any column; scores sort as numbers with non-scores and 0 as 99."""
     key = (F.coalesce(F.nullif("score", F.lit(0)), F.lit(99)) if column == "score"
            else F.coalesce(F.col(column).cast("string"), F.lit("")))
-    return facts.orderBy(key.desc() if descending else key.asc(),
-                         "record_id", "annotator", "response_id")
+    return [key.desc() if descending else key.asc(), F.col("record_id"), F.col("annotator"), F.col("response_id")]
+
+
+def newest_first(facts: DataFrame) -> DataFrame:
+    return facts.orderBy(*newest_keys())
+
+
+def sort_annotations(facts: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    return facts.orderBy(*sort_keys(column, descending))
+
+
+def positioned(facts: DataFrame, *keys: Column) -> DataFrame:
+    """Add ``position`` 1..n in the order of ``keys``, without bringing the rows together.
+
+    Rows are range-partitioned and sorted; a row's position is its place in its partition plus the
+    rows of the partitions before, which are counted. Sort narrow facts and join texts by id. The
+    sorted rows are a table in the shared folder, so that both passes see the same partitions.
+    """
+    spark = facts.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (facts.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    placed = tables.stage(placed.withColumn("_part", F.shiftright("_id", 33)), "positions")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+               .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    return (placed.join(offsets, "_part")
+            .withColumn("position", (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("long"))
+            .drop("_part", "_id", "_first", "_before"))
 
 
 def search_annotations(facts: DataFrame, annotator: str | None = None,

@@ -278,8 +278,42 @@ UNION ALL
 SELECT 'new_' || record_id, benchmark, record_type, task_id, source_text, target_text, status
 FROM fx_records WHERE status = 'pending'""", "fx_records")
 
+oracle("snapshot_records", """
+SELECT record_id, CASE WHEN status = 'discarded' THEN 'Unknown' ELSE benchmark END AS benchmark,
+       CASE WHEN status = 'discarded' THEN 'unknown' ELSE record_type END AS record_type,
+       CASE WHEN status = 'discarded' THEN '' ELSE task_id END AS task_id, source_text, target_text, status
+FROM fx_records""", "fx_records")
+
+oracle("snapshot_responses", """
+SELECT response_id, record_id, user_id, status, quality_score,
+       array_to_string(error_categories, '|') AS error_categories, corrected_text
+FROM fx_responses""", "fx_responses")
+
+oracle("category_values", """
+SELECT response_id, unnest(error_categories) AS category FROM fx_responses""", "fx_responses")
+
+oracle("read_texts", """
+SELECT 'b' AS benchmark, 'corpus' AS config, CAST(doc_id AS varchar) AS id, source AS title,
+       CASE WHEN n_chars < 800 THEN reverse(text) ELSE text END AS text
+FROM documents""")
+
+oracle("read_relevance", """
+SELECT benchmark || ':' || query_id AS query_id, string_agg(corpus_id, '|' ORDER BY position) AS positive_ids
+FROM fx_capped GROUP BY ALL""", "fx_capped")
+
+oracle("round_trip", "SELECT * EXCLUDE (task_id) FROM fx_records", "fx_records")
+
+oracle("one_benchmark", """
+SELECT record_id, benchmark, source_text FROM fx_records
+WHERE benchmark = (SELECT min(benchmark) FROM fx_benchmarks)""", "fx_records", "fx_benchmarks")
+
 # ---- facts ----
 
+oracle("annotation_newest_first", """
+SELECT response_id, record_id, annotator, date,
+       row_number() OVER (ORDER BY date DESC, record_id, annotator, response_id) AS position
+FROM fx_facts""", "fx_facts")
+
 oracle("annotation_facts", """
 SELECT * REPLACE (array_to_string(categories, '|') AS categories) FROM fx_facts""", "fx_facts")
 
@@ -291,8 +325,11 @@ WHERE record_type = 'passage' AND flagged
        OR contains(lower(annotator), 'grešaka') OR contains(lower(benchmark), 'grešaka')
        OR contains(lower(array_to_string(categories, ' ')), 'grešaka'))""", "fx_facts")
 
-oracle("annotation_sorted",
-       "SELECT response_id, record_id, annotator, score_text, date FROM fx_facts", "fx_facts")
+oracle("annotation_sorted", """
+SELECT response_id, record_id, annotator, score_text, date,
+       row_number() OVER (ORDER BY coalesce(nullif(score, 0), 99), record_id, annotator,
+                          response_id) AS position
+FROM fx_facts""", "fx_facts")
 
 oracle("filter_choices", """
 SELECT DISTINCT 'annotator' AS facet, annotator AS value FROM fx_facts
@@ -495,7 +532,8 @@ oracle("annotator_report", f"""
 SELECT annotator, count(*) AS total, {_SCORE_COUNTS},
        round(avg(score) FILTER (score BETWEEN 1 AND 5), 6) AS avg_score,
        count(*) FILTER (status = 'discarded') AS discarded,
-       count(*) FILTER (flagged) AS flagged
+       count(*) FILTER (flagged) AS flagged,
+       row_number() OVER (ORDER BY count(*) DESC, annotator) AS rank
 FROM fx_facts GROUP BY 1""", "fx_facts")
 
 oracle("category_frequency", f"""

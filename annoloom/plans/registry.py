@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annoloom.functions import scores as SC
@@ -18,7 +18,7 @@ from annoloom.operators import (
     agreement, assemble, export, facts, legacy, maintain, progress, quality, sampling,
 )
 from annoloom.plans import adapters as A
-from annoloom.sources import files, tables, texts
+from annoloom.sources import files, snapshot, tables, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,11 +136,113 @@ def upsert_records(spark, d):
     return tables.upsert(old, new, "version").drop("version")
 
 
+def _snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Records with nested responses as JSON lines. Pending ones have no external id, discarded
+    ones no metadata; values are wrapped in every second response and bare in the others."""
+    path = tables.shared_dir(spark, "snapshot")
+    rec = A.records(spark, d)
+    odd = F.col("seq") % 2 == 1
+
+    def stored(value: str) -> Column:
+        bare = F.to_json(value) if value == "error_categories" else F.col(value)
+        wrapped = F.to_json(F.struct(F.col(value).alias("value")), {"ignoreNullFields": "false"})
+        return F.when(odd, wrapped).otherwise(bare)
+
+    values = F.create_map(*[c for k, v in (("quality_score", "quality_score"), ("corrected_text_sr", "corrected_text"),
+                                           ("error_categories", "error_categories")) for c in (F.lit(k), stored(v))])
+    answers = (A.responses(spark, d)
+               .select("record_id", F.struct(F.col("response_id").alias("id"), "user_id", "status",
+                                             values.alias("values")).alias("r"))
+               .groupBy("record_id").agg(F.collect_list("r").alias("responses")))
+    pending, gone = F.col("status") == "pending", F.col("status") == "discarded"
+    (rec.join(answers, "record_id", "left").select(
+        F.when(pending, F.col("record_id")).otherwise(F.concat(F.lit("int_"), "record_id")).alias("id"),
+        F.when(~pending, F.col("record_id")).alias("external_id"), "status",
+        F.create_map(F.lit("source_text_en"), "source_text", F.lit("translated_text_sr"), "target_text").alias("fields"),
+        F.when(~gone, F.create_map(F.lit("benchmark"), "benchmark", F.lit("record_type"), "record_type",
+                                   F.lit("task_id"), "task_id")).alias("metadata"), "responses")
+     .write.json(path))
+    return snapshot.read_snapshot(spark, path)
+
+
+@query
+def snapshot_records(spark, d):
+    return snapshot.snapshot_records(_snapshot(spark, d))
+
+
+@query
+def snapshot_responses(spark, d):
+    return snapshot.snapshot_responses(_snapshot(spark, d)) \
+        .select("response_id", "record_id", "user_id", "status", "quality_score",
+                joined("error_categories"), "corrected_text")
+
+
+@query
+def category_values(spark, d):
+    return snapshot.category_values(snapshot.snapshot_responses(_snapshot(spark, d)))
+
+
+@query
+def read_texts(spark, d):
+    """Documents as JSON lines, then the shorter ones again in a later file; the last row of an id wins."""
+    path = tables.shared_dir(spark, "texts")
+    doc = A.table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.col("source").alias("title"), "text", "n_chars")
+    (doc.withColumn("part", F.lit(1)).unionByName(
+        doc.filter(F.col("n_chars") < 800).withColumns({"text": F.reverse("text"), "part": F.lit(2)}))
+     .drop("n_chars").repartition("part").sortWithinPartitions("part", "_id").write.partitionBy("part").json(path))
+    found, _ = texts.read_texts(spark, {("b", "corpus"): path}, "json")
+    return texts.latest_texts(found).drop("seq")
+
+
+@query
+def read_relevance(spark, d):
+    """Pairs and lists: orders of the flag R come as lists, the others as pairs."""
+    path = tables.shared_dir(spark, "relevance")
+    flat = A.relevance(spark, d)
+    lists = assemble.relevance_lists(flat.filter(F.col("benchmark") == "R")).select(
+        F.concat_ws(":", "benchmark", "query_id").alias("query-id"), F.col("positive_ids").alias("positive-corpus-ids"))
+    pairs = flat.filter(F.col("benchmark") != "R").select(
+        F.concat_ws(":", "benchmark", "query_id").alias("query-id"), F.col("corpus_id").alias("corpus-id"), "seq")
+    pairs.repartition(8, "query-id").sortWithinPartitions("seq").drop("seq").write.parquet(f"{path}/pairs")
+    lists.write.parquet(f"{path}/lists")
+    both = texts.read_relevance(spark, "b", f"{path}/pairs").unionByName(
+        texts.read_relevance(spark, "b", f"{path}/lists"))
+    return assemble.relevance_lists(both).select("query_id", joined("positive_ids"))
+
+
+@query
+def round_trip(spark, d):
+    """Records written in each mode and as JSON lines, read back from there."""
+    path = tables.shared_dir(spark, "modes")
+    rec = A.records(spark, d)
+    done, rest = rec.filter(F.col("status") != "pending"), rec.filter(F.col("status") == "pending")
+    tables.write_table(rest, f"{path}/t", "create")
+    tables.write_table(done, f"{path}/t", "recreate")
+    tables.write_table(rest, f"{path}/t", "keep")
+    tables.write_table(rest, f"{path}/t", "append")
+    tables.write_jsonl(spark.read.schema(rec.schema).parquet(f"{path}/t"), f"{path}/j", drop=("task_id",))
+    return spark.read.schema(rec.drop("task_id").schema).json(f"{path}/j")
+
+
+@query
+def one_benchmark(spark, d):
+    name = A.benchmarks(spark, d).agg(F.min("benchmark")).first()[0]
+    return tables.only_benchmark(A.records(spark, d), name, A.benchmarks(spark, d)) \
+        .select("record_id", "benchmark", "source_text")
+
+
 # ---- facts ----
 
 @query
 def annotation_facts(spark, d):
-    return facts.newest_first(_facts(spark, d, True).withColumn("categories", joined("categories")))
+    return _facts(spark, d, True).withColumn("categories", joined("categories"))
+
+
+@query
+def annotation_newest_first(spark, d):
+    """The exact place of every annotation in the report's order."""
+    return facts.positioned(_facts(spark, d), *facts.newest_keys()) \
+        .select("response_id", "record_id", "annotator", "date", "position")
 
 
 @query
@@ -152,8 +254,8 @@ def annotation_search(spark, d):
 
 @query
 def annotation_sorted(spark, d):
-    rows = facts.sort_annotations(_facts(spark, d), "score")
-    return rows.select("response_id", "record_id", "annotator", "score_text", "date")
+    rows = facts.positioned(_facts(spark, d), *facts.sort_keys("score"))
+    return rows.select("response_id", "record_id", "annotator", "score_text", "date", "position")
 
 
 @query
@@ -374,7 +476,8 @@ def annotator_progress(spark, d):
 
 @query
 def annotator_report(spark, d):
-    return progress.annotator_report(_facts(spark, d)).withColumn("avg_score", r6("avg_score"))
+    rows = progress.annotator_report(_facts(spark, d)).withColumn("avg_score", r6("avg_score"))
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "annotator")))
 
 
 @query

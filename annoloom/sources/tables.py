@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,13 +22,33 @@ WRITE_MODES = {
 }
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("annoloom_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scope for staged tables: all that is staged inside it is deleted at its end.
+
+    Results that read staged tables must be written or collected inside the scope. Outside of any
+    scope, staged tables stay until the shared folder is cleaned.
+    """
+    path = shared_dir(spark, "scratch")
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path in the folder all executors share (``spark.checkpoint.dir``).
 
     A machine-local folder is used only on a local master without that setting.
     """
-    base = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getCheckpointDir())
+    base = _SCOPE.get() or (spark.conf.get("spark.checkpoint.dir", None)
+                            or spark.sparkContext.getCheckpointDir())
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -8,9 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from annoloom import schema as S
 from annoloom.functions import text as TX
+from annoloom.sources.files import number_lines, read_lines
 
 KEYS = ["id", "benchmark", "config"]     # most distinct first, for sorts and joins
 FILES_PER_PARTITION = 32
@@ -18,32 +20,75 @@ FILES_PER_PARTITION = 32
 LOOKUP = "id string, title string, text string, benchmark string, config string"
 
 
+TEXT_ROWS = "_id string, id string, title string, text string, seq long"
+RELEVANCE_ROWS = ("`query-id` string, `corpus-id` string, `positive-corpus-ids` array<string>, "
+                  "seq long")
+
+
+def read_in_order(spark: SparkSession, path: str, fmt: str, ddl: str) -> DataFrame:
+    """The columns of ``ddl`` that the files have, and ``seq``: the place of a row in its files.
+
+    Later rows have larger numbers, within a file by row and between files by name; a ``seq``
+    column of the files themselves goes before. JSON is parsed by the given schema, without a
+    pass to infer one; a column of Parquet files keeps its type and is cast.
+    """
+    wanted = StructType.fromDDL(ddl)
+    if fmt == "parquet":
+        found = spark.read.parquet(path)
+        rows = found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in found.columns
+                              else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted],
+                            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    else:
+        lines = read_lines(spark, path)
+        rows = (number_lines(lines.filter(~TX.is_blank("value")), lines)
+                .select(F.from_json("value", ddl).alias("r"), "file", F.col("line_no").alias("place"))
+                .select("r.*", "file", "place"))
+    files = rows.select("file").distinct().withColumn("number", F.row_number().over(W.orderBy("file")))
+    place = F.col("number").cast("long") * F.lit(1 << 40) + F.col("place")
+    return rows.join(files, "file").withColumn("seq", F.coalesce("seq", place)).drop("file", "place", "number")
+
+
 def read_texts(spark: SparkSession, paths: Mapping[tuple[str, str], str],
                fmt: str = "parquet") -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """Union of the text tables at ``paths``, keyed by (benchmark, config).
 
-    A path that cannot be read does not stop the others; its key is returned as failed.
+    Ids come from ``_id`` or ``id``. Row order is kept in ``seq``. A path that cannot be read does
+    not stop the others; its key is returned as failed.
     """
     parts, failed = [], []
     for (benchmark, config), path in paths.items():
         try:
-            df = spark.read.format(fmt).load(path)
+            df = read_in_order(spark, path, fmt, TEXT_ROWS)
         except AnalysisException:
             failed.append((benchmark, config))
             continue
-        title = F.col("title") if "title" in df.columns else F.lit(None)
-        seq = F.col("seq") if "seq" in df.columns else F.lit(0)
-        ident = "_id" if "_id" in df.columns else "id"
         parts.append(df.select(
             F.lit(benchmark).alias("benchmark"), F.lit(config).alias("config"),
-            F.col(ident).cast("string").alias("id"), title.cast("string").alias("title"),
-            F.col("text").cast("string").alias("text"), seq.cast("long").alias("seq")))
+            F.coalesce("_id", "id").alias("id"), "title", "text", "seq"))
     union = None
     for part in parts:
         union = part if union is None else union.unionByName(part)
     return union, failed
 
 
+def read_relevance(spark: SparkSession, benchmark: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Relevance of one benchmark as (benchmark, query_id, corpus_id, seq), from either layout.
+
+    A row is one pair (``query-id``, ``corpus-id``), or a query with its list
+    (``positive-corpus-ids``), of which the last row of a query counts. Ids are strings; order is
+    that of the rows or of the list.
+    """
+    rows = read_in_order(spark, path, fmt, RELEVANCE_ROWS).withColumnRenamed("query-id", "query_id")
+    pairs = rows.filter(F.col("positive-corpus-ids").isNull()).select(
+        "query_id", F.col("corpus-id").alias("corpus_id"), "seq")
+    w = W.partitionBy("query_id").orderBy(F.desc("seq"))
+    lists = (rows.filter(F.col("positive-corpus-ids").isNotNull())
+             .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1)
+             .select("query_id", F.posexplode("positive-corpus-ids").alias("seq", "corpus_id"))
+             .select("query_id", "corpus_id", F.col("seq").cast("long").alias("seq")))
+    return pairs.unionByName(lists).select(F.lit(benchmark).alias("benchmark"), "query_id", "corpus_id", "seq")
+
+
 def benchmark_table(spark: SparkSession,
                     names: tuple[str, ...] = S.BENCHMARKS) -> DataFrame:
     """The listed benchmarks in their order; progress tables show exactly these."""

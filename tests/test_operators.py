@@ -160,6 +160,15 @@ def test_report_summary(spark, small):
     assert row["avg_score"] == 1.75                           # any digit counts, 0 included
 
 
+def test_positions_are_those_of_the_sorted_rows(small):
+    found = facts.annotation_facts(*small)
+    for keys in (facts.newest_keys(), facts.sort_keys("score"), facts.sort_keys("annotator", True)):
+        want = [r["response_id"] for r in found.orderBy(*keys).collect()]
+        got = facts.positioned(found.select("response_id", "record_id", "annotator", "date", "score"), *keys)
+        assert [(r["position"], r["response_id"]) for r in got.orderBy("position").collect()] == \
+            list(enumerate(want, start=1))
+
+
 def test_sort_puts_zero_and_unrated_last(small):
     scores = [r["score_text"] for r in
               facts.sort_annotations(facts.annotation_facts(*small), "score").collect()]

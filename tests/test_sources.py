@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from annoloom.sources import files, tables, texts
+from annoloom.sources import files, snapshot, tables, texts
 from tests.test_operators import TEXTS, rows
 
 LINES = [
@@ -92,11 +92,56 @@ def test_read_texts_reports_missing_paths(spark, tmp_path):
         .write.parquet(str(tmp_path / "c"))
     df, failed = texts.read_texts(spark, {("b", "corpus"): str(tmp_path / "c"),
                                           ("z", "corpus"): str(tmp_path / "none")})
-    assert rows(df) == [("b", "corpus", "5", "T", "x", 0)]
+    assert rows(df, "benchmark", "config", "id", "title", "text") == [("b", "corpus", "5", "T", "x")]
     assert failed == [("z", "corpus")]
     assert texts.read_texts(spark, {("z", "q"): str(tmp_path / "none")}) == (None, [("z", "q")])
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_the_last_row_of_an_id_wins_by_file_order(spark, tmp_path, fmt):
+    path = str(tmp_path / "c")
+    data = [(i % 7, f"t{i}") for i in range(200)]
+    spark.createDataFrame(data, "_id int, text string").coalesce(1).write.format(fmt).save(path)
+    df, _ = texts.read_texts(spark, {("b", "corpus"): path}, fmt)
+    assert rows(texts.latest_texts(df), "id", "text") == sorted(
+        ((str(k), t) for k, t in dict(data).items()), key=repr)
+
+
+def test_both_relevance_layouts(spark, tmp_path):
+    pairs, lists = str(tmp_path / "p"), str(tmp_path / "l")
+    spark.createDataFrame([(1, 9), (2, 5), (1, 3), (1, 9)], "`query-id` int, `corpus-id` int").coalesce(1).write.json(pairs)
+    spark.createDataFrame([(1, [4, 5]), (2, [7]), (1, [6, 6, 4])], "`query-id` int, `positive-corpus-ids` array<int>") \
+        .coalesce(1).write.parquet(lists)
+    got = texts.read_relevance(spark, "b", pairs, "json")
+    assert [(r.query_id, r.corpus_id) for r in got.orderBy("query_id", "seq").collect()] == [
+        ("1", "9"), ("1", "3"), ("1", "9"), ("2", "5")]
+    got = texts.read_relevance(spark, "b", lists)
+    assert [(r.query_id, r.corpus_id) for r in got.orderBy("query_id", "seq").collect()] == [
+        ("1", "6"), ("1", "6"), ("1", "4"), ("2", "7")]
+
+
+def test_snapshot(spark, tmp_path):
+    path = tmp_path / "s.json"
+    lines = [
+        {"id": "i1", "external_id": "e1", "status": "completed", "fields": {"source_text_en": "s"},
+         "metadata": {"benchmark": "B"}, "responses": [
+             {"id": "r1", "user_id": "u", "status": "submitted",
+              "values": {"quality_score": {"value": "2 - x"}, "error_categories": {"value": ["a", None]},
+                         "corrected_text_sr": {"value": "c"}}},
+             {"user_id": "v", "status": "submitted", "values": {"quality_score": 4, "error_categories": "b"}}]},
+        {"id": "i2", "external_id": "", "status": "pending", "metadata": None, "responses": None},
+        {"id": "i3", "status": "discarded", "responses": [{"id": "r3", "user_id": None, "status": "discarded"}]}]
+    path.write_text("\n".join(json.dumps(x) for x in lines), encoding="utf-8")
+    snap = snapshot.read_snapshot(spark, str(path))
+    assert rows(snapshot.snapshot_records(snap)) == [
+        ("e1", "B", "unknown", "", "s", "", "completed"), ("i2", "Unknown", "unknown", "", "", "", "pending"),
+        ("i3", "Unknown", "unknown", "", "", "", "discarded")]
+    got = snapshot.snapshot_responses(snap)
+    assert rows(got, "response_id", "record_id", "quality_score", "error_categories", "corrected_text", "seq") == [
+        ("e1:1", "e1", "4", ["b"], None, 1), ("r1", "e1", "2 - x", ["a", None], "c", 0), ("r3", "i3", None, [], None, 0)]
+    assert rows(snapshot.category_values(got)) == [("e1:1", "b"), ("r1", "a")]
+
+
 def test_materialised_lookup_keeps_what_it_found(spark, tmp_path):
     corpus = spark.createDataFrame([("b", "corpus", str(i), None, f"t{i}", 1) for i in range(10)], TEXTS)
     needed = spark.createDataFrame([("b", "corpus", i) for i in ("1", "2", "77")],
@@ -120,6 +165,17 @@ def test_upsert_is_idempotent_and_last_wins(spark):
     assert rows(tables.upsert(once, new, order="o").select("record_id", "v")) == rows(once)
 
 
+def test_scratch_is_deleted(spark):
+    with tables.scratch(spark) as path:
+        staged = tables.stage(spark.range(5), "x")
+        inside = tables.shared_dir(spark, "y")
+        assert staged.count() == 5 and inside.startswith(path)
+        assert all(f.startswith(("file://" + path, path, "file:" + path)) for f in staged.inputFiles())
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    assert not tables.shared_dir(spark, "z").startswith(path)
+
+
 def test_write_modes(spark, tmp_path):
     df = spark.range(3)
     path = str(tmp_path / "t")
