@@ -210,7 +210,7 @@ def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_blo
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document, and its class as ``class_id``.
 
-    ``class_id`` is the smallest id with an equal set, null for documents that no other one is like.
+    ``class_id`` is the smallest id with an equal set; empty sets are equal to no other.
     """
     staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col), "shingles")
     alive = staged.filter(F.col("set_key").isNotNull())
@@ -224,7 +224,7 @@ def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_blo
     placed = classes.join(labels, "rep", "left").select("set_key", "rep", F.coalesce("label", "rep").alias("component"))
     return (staged.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                    F.col("rep").alias("class_id")))
+                    F.coalesce("rep", "doc_id").alias("class_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

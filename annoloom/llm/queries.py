@@ -57,6 +57,20 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns), in_order=True)
 
 
+_ESCAPED = r"len({0}) + len(regexp_extract_all({0}, '<\\*\|'))"
+ORACLE["op3_chat_format"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{CONTROL_CASE}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_CASE}')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS bigint) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(len('<|im_start|>') + {_ESCAPED.format('role')} + 1 + {_ESCAPED.format('text')}
+                + len('<|im_end|>') + 1) AS bigint) AS formatted_chars
+FROM turns GROUP BY 1"""
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -81,6 +95,28 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 HELD_OUT = 2
 
 
+ORACLE["op6_ngram_join"] = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+sets AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n, md5(string_agg(gram, '|' ORDER BY gram)) AS k FROM s GROUP BY 1),
+links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+                    FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id,
+       CASE WHEN n > 0 THEN min(d.doc_id) OVER (PARTITION BY k) ELSE d.doc_id END AS class_id
+FROM documents d LEFT JOIN sets USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -101,6 +137,22 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(result)
 
 
+ORACLE["op9_substring_dedup"] = r"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS gram
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) > 12)),
+f AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY gram) AS first FROM g)
+      WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM f, (SELECT unnest(range(13)) AS k)),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+         FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS bigint) AS n_words, CAST(len(ws) - coalesce(n, 0) AS bigint) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

@@ -21,7 +21,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from annoloom.llm.blocks import DOCS_PER_BLOCK, NO_BLOCK, Grams, block_answers, gathered, with_blocks
 
@@ -98,4 +97,4 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
 
 
 def digests(result: DataFrame) -> DataFrame:
-    return result.select("doc_id", "n_words", "n_removed", F.col("kept_sha256"), "n_factors")
+    return result.select("doc_id", "n_words", "n_removed", "kept_sha256")
