@@ -20,7 +20,8 @@ def completed_annotations(records: DataFrame, responses: DataFrame,
     given = (responses.filter(F.col("status") == "submitted")
              .select("response_id", "record_id", "user_id", "quality_score",
                      "error_categories", "corrected_text", "comment"))
-    return resolve_annotators(given.join(done, "record_id"), users).select(
+    # names first: the texts of the records are then shuffled once, by record
+    return resolve_annotators(given, users).join(done, "record_id").select(
         F.col("record_id").alias("id"), "response_id", "benchmark", "record_type", "task_id",
         F.col("source_text").alias("source_text_en"),
         F.col("target_text").alias("translated_text_sr"),
@@ -62,14 +63,14 @@ def export_legacy(records: DataFrame, responses: DataFrame, users: DataFrame,
     chosen = responses.filter(F.col("quality_score").isNotNull())
     if status:
         chosen = chosen.filter(F.col("status") == status)
-    joined = chosen.select("response_id", "record_id", "user_id", "quality_score",
-                           "corrected_text") \
-        .join(records.select("record_id", "task_id", "target_text"), "record_id")
+    named = resolve_annotators(chosen.select("response_id", "record_id", "user_id", "quality_score",
+                                             "corrected_text"), users, short=False)
+    joined = named.join(records.select("record_id", "task_id", "target_text"), "record_id")
     corrected = TX.text_or_empty("corrected_text")
     modified = ~SC.accepted_legacy("corrected_text")
     distance = F.when(modified, TX.edit_distance(TX.text_or_empty("target_text"), corrected)) \
         .otherwise(0)
-    return resolve_annotators(joined, users, short=False).select(
+    return joined.select(
         F.coalesce("task_id", "record_id").alias("id"),
         F.when(modified, corrected).otherwise(F.lit(S.LEGACY_UNMODIFIED_TEXT))
         .alias("corrected_text_sr"),

@@ -111,15 +111,17 @@ def required_submissions(users: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def derived_status(records: DataFrame, responses: DataFrame,
-                   min_submitted: int = 1) -> DataFrame:
+                   min_submitted: int | DataFrame = 1) -> DataFrame:
     """Record status that follows from its submissions.
 
+    ``min_submitted`` is a number, or the one-row table of :func:`required_submissions`.
     Submissions are counted per record before the join, map-side first.
     """
     counts = (responses.filter(F.col("status") == "submitted")
               .groupBy("record_id").agg(F.count(F.lit(1)).alias("n")))
     n = F.coalesce("n", F.lit(0))
-    return (records.select("record_id").join(counts, "record_id", "left")
+    least = F.lit(min_submitted) if isinstance(min_submitted, int) else min_submitted.scalar()
+    return (records.select("record_id").join(counts, "record_id", "left").withColumn("_least", least)
             .select("record_id", n.alias("submitted"),
-                    F.when(n >= min_submitted, "completed").otherwise("pending")
+                    F.when(n >= F.col("_least"), "completed").otherwise("pending")
                     .alias("status")))

@@ -769,6 +769,13 @@ FROM fx_records LEFT JOIN (SELECT record_id, response_id FROM fx_responses
                            WHERE status = 'submitted') USING (record_id)
 GROUP BY 1""", "fx_records", "fx_responses")
 
+oracle("calibration_status", """
+SELECT record_id, count(*) FILTER (status = 'submitted') AS submitted,
+       CASE WHEN count(*) FILTER (status = 'submitted') >= (
+                 SELECT greatest(count(*), 2) FROM fx_users SEMI JOIN fx_members USING (user_id)
+                 WHERE role <> 'owner') THEN 'completed' ELSE 'pending' END AS status
+FROM fx_cal GROUP BY 1""", "fx_cal", "fx_users", "fx_members")
+
 # ---- maintenance ----
 
 oracle("discards_preview", """

@@ -670,6 +670,14 @@ def derived_status(spark, d):
                                    min_submitted=6)
 
 
+@query
+def calibration_status(spark, d):
+    """Required submissions of the workspace, applied to the calibration records."""
+    answers = A.calibration_responses(spark, d)
+    needed = sampling.required_submissions(A.users(spark, d), A.members(spark, d))
+    return sampling.derived_status(answers.select("record_id").distinct(), answers, needed)
+
+
 # ---- maintenance ----
 
 def _reopen_targets(spark: SparkSession, d: str) -> DataFrame:
