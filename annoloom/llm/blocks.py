@@ -10,8 +10,7 @@ entry for each block, and an exchange moves a few bytes per n-gram.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from itertools import chain
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +21,10 @@ from pyspark.sql import functions as F
 from annoloom.llm.rows import mix
 
 MAX_RANGES = 128
-DOCS_PER_BLOCK = 2048
+DOCS_PER_BLOCK = 1024
 NO_BLOCK = -1               # blocks of rows without a document id have this number or a smaller one
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
-Words = list[list[bytes]]
-
 
 def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int) -> DataFrame:
     """(doc_id, text, block), with blocks in the order of ids.
@@ -57,12 +54,19 @@ def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int
 class Grams:
     """Rolling n-gram hashes of the documents of one block, laid end to end."""
 
-    def __init__(self, words: Words, n: int, short_too: bool):
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    def __init__(self, words: Iterable[list[bytes]], n: int, short_too: bool):
         number: dict[bytes, int] = {}
-        total = int(sizes.sum())
-        flat = np.fromiter((number.setdefault(w, len(number)) for w in chain.from_iterable(words)),
-                           dtype=np.int64, count=total)
+        lengths: list[int] = []
+
+        def numbers() -> Iterator[int]:
+            for ws in words:                # one document's words at a time
+                lengths.append(len(ws))
+                for w in ws:
+                    yield number.setdefault(w, len(number))
+
+        flat = np.fromiter(numbers(), dtype=np.int32)
+        sizes = np.array(lengths, dtype=np.int64)
+        total = len(flat)
         values = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=len(number))
         values = values[flat]
         self.sizes, self.begins = sizes, np.cumsum(sizes) - sizes
@@ -71,7 +75,7 @@ class Grams:
         hashes = np.zeros(max(total - n + 1, 0), dtype=np.uint64)
         for k in range(n):
             hashes = hashes * _BASE + values[k:k + len(hashes)]
-        doc = np.repeat(np.arange(len(words)), count)
+        doc = np.repeat(np.arange(len(sizes)), count)
         found = mix(hashes[start])
         if short_too:           # a document of fewer words is one n-gram of its own length
             few = np.flatnonzero((sizes > 0) & (sizes < n))

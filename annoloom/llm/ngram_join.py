@@ -49,7 +49,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
     blocked = with_blocks(docs, id_col, text_col, docs_per_block)
 
     def grams(texts: list) -> Grams:
-        return Grams([(t or "").encode().translate(LOWER).split() for t in texts], n, True)
+        return Grams(((t or "").encode().translate(LOWER).split() for t in texts), n, True)
 
     def distinct(ids: list, texts: list) -> np.ndarray:
         return np.unique(grams(texts).hashes)

@@ -38,7 +38,7 @@ OPEN_WINDOWS = 64
 END_ID = 2
 SMALL_GAP = 8           # a window with at most this much room left is emitted as it is
 GROUP = 64              # partitions whose rests are merged together
-MEMO = 300_000          # encoded parts kept in each task, twice
+MEMO = 150_000          # encoded parts kept in each task, twice
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|"
                    r"[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
@@ -175,7 +175,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, open_window
         def table_of(rows):
             return record_batch(schema, list(zip(*rows, strict=True)))
 
-        for b in slices(batches, 1024):
+        for b in slices(batches, 512):
             rows = []
             for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()),
                                    strict=True):

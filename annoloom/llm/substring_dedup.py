@@ -54,15 +54,18 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
 
     def in_order(ids: list, texts: list) -> tuple[list, list]:
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0))
-        return [ids[i] for i in order], [(texts[i] or "").encode().split() for i in order]
+        return [ids[i] for i in order], [texts[i] or "" for i in order]
+
+    def grams_of(texts: list) -> Grams:
+        return Grams((t.encode().split() for t in texts), window, False)
 
     def distinct(ids: list, texts: list) -> np.ndarray:
-        return np.unique(Grams(in_order(ids, texts)[1], window, False).hashes)
+        return np.unique(grams_of(in_order(ids, texts)[1]).hashes)
 
     def finish(key: tuple, ours: pa.Table, answers: pa.Table) -> pa.Table:
         block = key[0].as_py()
-        ids, words = in_order(ours.column("doc_id").to_pylist(), ours.column("text").to_pylist())
-        grams = Grams(words, window, False)
+        ids, texts = in_order(ours.column("doc_id").to_pylist(), ours.column("text").to_pylist())
+        grams = grams_of(texts)
         known = np.array([i or 0 for i in ids], dtype=np.int64)
         keys, first, inverse = np.unique(grams.hashes, return_index=True, return_inverse=True)
         ref = np.full(len(keys), NO_BLOCK, dtype=np.int64)
@@ -72,9 +75,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
         ref = ref[inverse]
         flag = (ref != NO_BLOCK) | inside if block > NO_BLOCK else np.zeros(len(inverse), dtype=bool)
         ref = np.where(ref != NO_BLOCK, ref, block)
-        edges = np.searchsorted(grams.doc, np.arange(len(words) + 1))
+        edges = np.searchsorted(grams.doc, np.arange(len(texts) + 1))
         out = []
-        for i, ws in enumerate(words):
+        for i, text in enumerate(texts):
+            ws = text.encode().split()
             a, b = edges[i], edges[i + 1]
             factors = parse(flag[a:b], ref[a:b], window) if flag[a:b].any() else []
             kept = ws

@@ -39,7 +39,7 @@ BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b
 HUGE = 65_536           # characters from which a document is encoded in chunks
 CHUNK = 32_768
 OVERLAP = 512
-MEMO = 400_000          # remembered pieces in each task, twice
+MEMO = 250_000          # remembered pieces in each task, twice
 TOKEN_LIMIT = 512
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
