@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annoloom.llm.rows import mix
@@ -26,13 +26,13 @@ NO_BLOCK = -1               # blocks of rows without a document id have this num
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int) -> DataFrame:
-    """(doc_id, text, block), with blocks in the order of ids.
+def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int, *more: Column) -> DataFrame:
+    """(doc_id, text, block) and the columns ``more``, with blocks in the order of ids.
 
     Ids are cut at quantiles into ranges, and ranges evenly into blocks, so that neither gaps nor
     clusters of ids make large blocks. Only the id column is read for this.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
     n = docs.filter(F.col(id_col).isNotNull()).count()
     ranges = max(1, min(MAX_RANGES, -(-n // docs_per_block)))
     parts = max(1, -(-n // (ranges * docs_per_block)))

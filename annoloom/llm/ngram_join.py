@@ -19,8 +19,9 @@ links at the threshold.
 
 Odd input: a null or empty text, or one without words, has an empty set and is linked with nothing; a
 text with fewer words than a shingle is one shingle of its own length. Repeated rows are equal
-documents. A row with a null id takes part; its component is the smallest id that it reaches. An empty
-table gives an empty result. Other columns are not read.
+documents. Classes have numbers of their own, in the order of their smallest ids, so rows with a null
+id and different texts with one id take part like any other; a row's component is the smallest id that it
+reaches. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annoloom.llm.blocks import DOCS_PER_BLOCK, Grams, block_answers, gathered, with_blocks
@@ -40,13 +42,14 @@ PERCENT = 75
 FRAGMENTS = 8
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))      # A-Z to a-z
 
-_SETS = "doc_id long, n_shingles long, n_shared long, set_key binary, shingles array<long>"
+_SETS = "doc_id long, text_key binary, n_shingles long, n_shared long, set_key binary, shingles array<long>"
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_col: str,
-                 text_col: str) -> DataFrame:
+                 text_col: str, text_key: Column | None = None) -> DataFrame:
     """One row per document; the set itself only where enough of it is shared for a link."""
-    blocked = with_blocks(docs, id_col, text_col, docs_per_block)
+    key = F.lit(None) if text_key is None else text_key
+    blocked = with_blocks(docs, id_col, text_col, docs_per_block, key.cast("binary").alias("text_key"))
 
     def grams(texts: list) -> Grams:
         return Grams(((t or "").encode().translate(LOWER).split() for t in texts), n, True)
@@ -76,9 +79,10 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
             alive = n_set[i] and 100 * n_shared[i] >= percent * n_set[i]
             keys.append(hashlib.sha1(one.tobytes()).digest() if alive else None)
             sets.append(one.view(np.int64) if alive else None)
-        return pa.table([ours.column("doc_id"), pa.array(n_set, pa.int64()), pa.array(n_shared, pa.int64()),
-                         pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
-                        names=["doc_id", "n_shingles", "n_shared", "set_key", "shingles"])
+        return pa.table([ours.column("doc_id"), ours.column("text_key"), pa.array(n_set, pa.int64()),
+                         pa.array(n_shared, pa.int64()), pa.array(keys, pa.binary()),
+                         pa.array(sets, pa.list_(pa.int64()))],
+                        names=["doc_id", "text_key", "n_shingles", "n_shared", "set_key", "shingles"])
 
     answers = block_answers(blocked, distinct, exact=False)
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
@@ -206,6 +210,37 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     return components(sets, links.union(more))
 
 
+def numbered_classes(staged: DataFrame) -> DataFrame:
+    """(set_key, least, copies, rep) of the classes that may have links.
+
+    ``least`` is the smallest id, null where no row has one. ``rep`` numbers the classes in the order
+    of ``least``, nulls last, so the smallest number of a component is the class with its smallest id.
+    """
+    tasks = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = (F.asc_nulls_last("least"), F.asc("set_key"))
+    classes = (staged.filter(F.col("set_key").isNotNull())
+               .groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")))
+    return tables.stage(classes.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+                        .withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+
+def class_sets(staged: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep, n, shingles) of every class."""
+    own = classes.select(F.col("set_key").alias("key"), "least", "rep")
+    return (staged.join(own, (F.col("set_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("least")))
+            .groupBy("rep").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles")))
+
+
+def placed_classes(staged: DataFrame, percent: int) -> DataFrame:
+    """(set_key, least, component, component_id): the number and the smallest id of each class's component."""
+    classes = numbered_classes(staged)
+    labels = class_components(class_sets(staged, classes), percent)
+    ids = classes.select(F.col("rep").alias("label"), F.col("least").alias("component_id"))
+    return (classes.join(labels.join(ids, "label"), "rep", "left")
+            .select("set_key", "least", F.coalesce("label", "rep").alias("component"),
+                    F.coalesce("component_id", "least").alias("component_id")))
+
+
 def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block: int = DOCS_PER_BLOCK,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document, and its class as ``class_id``.
@@ -213,26 +248,41 @@ def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_blo
     ``class_id`` is the smallest id with an equal set; empty sets are equal to no other.
     """
     staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col), "shingles")
-    alive = staged.filter(F.col("set_key").isNotNull())
-    classes = tables.stage(
-        alive.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    sets = (alive.join(classes.filter(F.col("rep").isNotNull()).select("set_key", F.col("rep").alias("doc_id")),
-                       ["set_key", "doc_id"], "left_semi")
-            .groupBy("doc_id", "set_key").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles"))
-            .select(F.col("doc_id").alias("rep"), "n", "shingles"))
-    labels = class_components(sets, percent)
-    placed = classes.join(labels, "rep", "left").select("set_key", "rep", F.coalesce("label", "rep").alias("component"))
+    placed = placed_classes(staged, percent)
     return (staged.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                    F.coalesce("rep", "doc_id").alias("class_id")))
+            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.coalesce("least", "doc_id").alias("class_id")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; ids are distinct.
+def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block: int = DOCS_PER_BLOCK,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of each component, with all its columns: one with the smallest id.
 
-    Documents with a null id stay unless an equal or similar one has an id.
+    Rows are told apart by id and text; of rows that are equal in both, any one stays. A row with a null
+    id stays only where no equal or similar one has an id. Rows with an empty set all stay.
     """
-    found = ngram_join(docs, id_col=id_col, text_col=text_col, **options)
-    gone = (found.filter(F.col("doc_id").isNotNull() & (F.col("component_id") != F.col("doc_id")))
-            .select(F.col("doc_id").alias(id_col)))
-    return docs.join(gone, id_col, "left_anti")
+    doc_id, text_key = F.col(id_col).cast("long"), F.unhex(F.sha1(F.col(text_col)))
+    staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col, text_key), "shingles")
+    placed = placed_classes(staged, percent).select("set_key", "component")
+    rows = tables.stage(staged.select("doc_id", "text_key", "set_key").join(placed, "set_key")
+                        .groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")), "rows")
+    first = rows.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"),
+        F.sum("copies").alias("size")).filter(F.col("size") > 1)
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    fate = tables.stage(rows.join(first, "component").select(
+        F.col("doc_id").alias("fate_id"), F.col("text_key").alias("fate_key"), "copies", is_first.alias("stays")), "fate")
+
+    def among(some: DataFrame, how: str) -> DataFrame:
+        return docs.join(some, doc_id.eqNullSafe(some["fate_id"]) & (text_key == some["fate_key"]), how)
+
+    again = fate.filter(F.col("stays") & (F.col("copies") > 1)).select("fate_id", "fate_key")
+    out = among(fate.filter(~F.col("stays") | (F.col("copies") > 1)).select("fate_id", "fate_key"), "left_anti")
+    if again.isEmpty():
+        return out
+    number = "_number"
+    while number in docs.columns:
+        number = f"_{number}"
+    place = F.row_number().over(W.partitionBy(doc_id, text_key).orderBy(doc_id))
+    return out.unionByName(among(again, "left_semi").withColumn(number, place)
+                           .filter(F.col(number) <= 1).drop(number))

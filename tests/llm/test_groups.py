@@ -161,6 +161,25 @@ def test_join_odd_rows(odd, nothing):
     assert ngram_join.keep_one(nothing).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark, odd):
+    """Rows are counted, not ids: repeated ids, one id with several texts, and null ids."""
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    near_a = a.replace("a59", "x")
+    bridge = [" ".join(f"d{i}" for i in range(k, k + 60)) for k in (0, 6, 12)]
+    rows = [(1, a, "a"), (1, a, "a"), (2, near_a, "near a"), (2, b, "b"), (3, near_a + " y", "near a"),
+            (None, a, "a"), (None, a, "a"), (None, c, "c"), (None, c, "c"), (None, c + " z", "c"),
+            (5, bridge[0], "d"), (None, bridge[1], "d"), (6, bridge[2], "d"), (7, "", "e"), (7, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _number string").repartition(3)
+    for size in (2, 1000):
+        assert found_components(ngram_join.ngram_join(df, docs_per_block=size)) == plain_components([r[:2] for r in rows])
+        kept = [(r.doc_id, r.text if r._number != "c" else "", r._number)
+                for r in ngram_join.keep_one(df, docs_per_block=size).collect()]
+        assert Counter(kept) == Counter([(1, a, "a"), (2, b, "b"), (None, "", "c"), (5, bridge[0], "d"),
+                                         (7, "", "e"), (7, "", "e")])
+    assert Counter(r.doc_id for r in ngram_join.keep_one(odd).collect()) == \
+        Counter(r[0] for r in ODD) - Counter([6, 7, 13])
+
+
 def test_long_chain_of_components(spark):
     n = 40
     links = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
