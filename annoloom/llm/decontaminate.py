@@ -6,7 +6,9 @@ passage first adds up the block maxima of its terms; blocks whose sum stays belo
 skipped without touching their postings (block-max WAND, here for all passages of a batch at once,
 with array operations). In the blocks that remain, items are scored exactly, and all that reach the
 threshold are retrieved. A retrieved item counts as leaked where the word trigrams of its question
-and those of its answer both occur in the passage.
+and those of its answer both occur in the passage. One edit can take most trigrams of a part of fewer
+than ``SHORT`` words, so such a part is also looked for by its words, if trigrams of the item remain; and
+an item of which nearly all trigrams are there, those across its parts included, always counts.
 
 Passages are two spans of the longest item's length and overlap by one, so an item is always inside
 one passage. Texts are scored whole. Document frequencies are those of all items. An index larger
@@ -34,7 +36,9 @@ SENTENCE = re.compile(r"(?<=[.!?])\s+")
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6             # share of an item's own score
 OVERLAP = 0.5               # share of the trigrams of question and answer
+WHOLE = 0.7                 # share of all trigrams of an item that is enough alone
 GRAM = 3
+SHORT = 3 * GRAM - 1        # from so many words on, one edit leaves half the trigrams
 BLOCK = 8
 SHARD_POSTINGS = 2_000_000
 
@@ -73,6 +77,27 @@ def overlap(wanted: list[str], passage: list[str]) -> float:
     return len(ours & there) / len(ours)
 
 
+def words_overlap(wanted: list[str], passage: list[str]) -> float:
+    """Share of the words of ``wanted`` that the passage has; 1.0 where there are none."""
+    there = set(passage)
+    return sum(w in there for w in wanted) / len(wanted) if wanted else 1.0
+
+
+def verified(question: list[str], answer: list[str], passage: list[str], least: float) -> tuple[float, float] | None:
+    """The overlaps of question and answer, or None where the passage does not hold the item."""
+    q, a = overlap(question, passage), overlap(answer, passage)
+    if q >= least and a >= least:
+        return q, a
+    whole = overlap(question + answer, passage)
+    if whole >= WHOLE:
+        return q, a
+    if whole >= least / 2:
+        q, a = (max(o, words_overlap(p, passage)) if len(p) < SHORT else o for o, p in ((q, question), (a, answer)))
+        if q >= least and a >= least:
+            return q, a
+    return None
+
+
 class Index(NamedTuple):
     """Postings by term; impacts are shares of the item's own score."""
     item_ids: list[int | None]
@@ -172,9 +197,8 @@ def leaks_in(index: Index, texts: list[str | None], threshold: float, least: flo
         if item not in answers:
             answers[item] = question_and_answer(index.texts[item])
         passage = words[start:start + 2 * index.span]
-        q, a = (overlap(part, passage) for part in answers[item])
-        if q >= least and a >= least and best.get((n, item), (0, 0.0))[1] < score:
-            best[n, item] = (start, score, q, a)
+        if best.get((n, item), (0, 0.0))[1] < score and (found := verified(*answers[item], passage, least)):
+            best[n, item] = (start, score, *found)
     return best
 
 

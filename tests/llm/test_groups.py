@@ -281,6 +281,35 @@ def test_retrieval_is_complete(texts, spark, sf_dir):
     assert all(found[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_items_with_one_edit_in_a_short_last_sentence(spark, sf_dir):
+    """Near copies of the benchmark's items, and copies whose short last sentence is cut off."""
+    rows = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    parts = [decontaminate.question_and_answer(t) for _, t in rows]
+    df = Counter(t for q, a in parts for t in set(q + a))
+    entries = [(rows[k][0], k, t, n, df[t], len(q + a), rows[k][1] if i == 0 else None)
+               for k, (q, a) in enumerate(parts) for i, (t, n) in enumerate(sorted(Counter(q + a).items()))]
+    index = decontaminate.build_index(entries, len(rows), sum(len(q + a) for q, a in parts) / len(rows),
+                                      max(len(q + a) for q, a in parts))
+    planted = []
+    for k, (q, a) in enumerate(parts):
+        if len(a) <= 7 and len(q) >= 20:
+            planted += [(k, q + a[:i] + ["edited"] + a[i + 1:]) for i in range(len(a))]
+            if len(a) <= 4:
+                planted.append((k, q))
+    assert len({k for k, _ in planted}) > 5
+    texts = [" ".join(["before"] * 9 + words + ["after"] * 9) for _, words in planted]
+    found = {(n, item) for n, item in decontaminate.leaks_in(index, texts, decontaminate.THRESHOLD, decontaminate.OVERLAP)}
+    assert {(n, k) for n, (k, _) in enumerate(planted)} <= found
+
+
+@pytest.mark.parametrize("passage, found", [
+    ("one two three four five six seven", True), ("one two three four x six seven", True),
+    ("one two three y four y seven y six y five", False), ("one two three and more of these", False)])
+def test_short_answers_by_words(passage, found):
+    parts = decontaminate.question_and_answer("One two three? Four five six seven.")
+    assert (decontaminate.verified(*parts, passage.split(), decontaminate.OVERLAP) is not None) == found
+
+
 def test_leaks_odd_rows(spark, odd, nothing):
     items = spark.createDataFrame([(1, "One two three? Four five six seven."), (2, None), (3, ""), (None, "..."), (4, "One two three? Four five six seven."),
                                    (5, "Single words without an end"), (6, "alpha")], "item_id long, text string")
