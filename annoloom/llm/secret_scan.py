@@ -4,8 +4,10 @@ Three patterns give the base spans (assignments, access keys, long hex runs). Be
 strings of key-like characters are scored by the Shannon entropy of a sliding window. The entropy
 follows from ``sum(c * log2 c)`` over the counts ``c`` in the window, and a step of the window changes
 that sum only for the character that leaves and the one that enters; no window is counted anew.
-Each character class has its own threshold. Candidates on the allow-list (identifiers, digests that
-are named as such, words, placeholders) and those that touch a base span are not reported.
+Each character class has its own threshold. Base spans, and what the allow-list knows (identifiers, words,
+placeholders, each between ``/`` and ``=``; digests that are named as such, whole), are cut out of the runs
+first; each piece of at least ``WINDOW`` characters that remains is a candidate of its own. Shorter
+pieces have no window and are not scored.
 
 Positions are code points. A pattern is applied once to extract matches and once to split the text
 at them; the lengths of both give the positions.
@@ -33,17 +35,20 @@ BASE = {
 #: Cheap tests for texts without a match.
 HINTS = {"assign": r"(?i)(?:passw|secret|token|api_?key)", "access": r"AKIA", "hex": r"[0-9a-f]{16}"}
 WINDOW = 20
-#: Runs that may be keys: a digit, and a letter, within the first characters.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,40}[0-9])(?=[0-9+/_=-]{0,40}[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
+#: Runs that may be keys: a digit and a letter anywhere, in one pass of the run for each.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
 #: Least entropy in bits of some window, by class; the first class whose pattern fits counts.
 CLASSES = (("hex", r"^[0-9a-fA-F]+$", 3.2), ("alphanumeric", r"^[A-Za-z0-9]+$", 3.7), ("base64", "", 3.9))
+#: Whole runs: digests named as such.
+DIGEST = r"(?i)^(sha|md5|sha1|sha256|sha384|sha512)[-_=][A-Za-z0-9+/]+=*$"
+#: Segments of a run between ``/`` and ``=``.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",           # UUIDs
-    r"(?i)^(sha|md5|sha256|sha512)[-_=]",                               # digests named as such
     r"(?i)(example|placeholder|changeme|your[-_]|xxxx|dummy|sample)",   # placeholders
-    r"^[A-Za-z]{3,}([-_/=][A-Za-z]*[0-9]{0,4})+$",                      # words with numbers, as in paths
-    r"^[0-9]+([-/_=][0-9]+)*$",                                         # numbers and dates
-    r"(?i)^(https?|www|data|file)[/_-]",                                # addresses
+    r"^[A-Za-z]{3,}([-_][A-Za-z]*[0-9]{0,4})+$",                        # words with numbers
+    r"^([A-Z]?[a-z]{2,}|[A-Z]{3,})[0-9]{0,4}$",                         # one word, as in paths
+    r"^[0-9]+([-_][0-9]+)*$",                                           # numbers and dates
+    r"(?i)^(https?|www|data|file)[_-]",                                 # addresses
 )
 MASK = "[SECRET]"
 
@@ -114,32 +119,59 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
 
 
 def is_secret(value: Column) -> Column:
-    """Whether a candidate's entropy is that of a key, and no allow-list entry knows it."""
+    """Whether a candidate's entropy is that of a key."""
     threshold = F.lit(CLASSES[-1][2])
     for _, pattern, least in reversed(CLASSES[:-1]):
         threshold = F.when(value.rlike(pattern), F.lit(least)).otherwise(threshold)
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | value.rlike(pattern)
-    return F.when(allowed, F.lit(False)).otherwise(window_entropy(value) >= threshold)
+    return window_entropy(value) >= threshold
+
+
+def blanks(size: Column) -> Column:
+    return F.repeat(F.lit(" "), size.cast("int"))
+
+
+def without_spans(text: Column, spans: str) -> Column:
+    """The text with blanks in place of the spans, so that all positions stay."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(
+        spans, start,
+        lambda a, s: F.struct(
+            F.greatest(a["at"], s["end"]).alias("at"),
+            F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"),
+                                           F.greatest(s["start"] - a["at"], F.lit(0)).cast("int")),
+                     blanks(s["end"] - F.greatest(s["start"], a["at"]))).alias("out")),
+        lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
+
+
+def without_allowed(run: Column) -> Column:
+    """The run with blanks in place of what the allow-list knows."""
+    def kept(segment: Column) -> Column:
+        own = F.regexp_replace(segment, "[/=]$", "")
+        known = F.lit(False)
+        for pattern in ALLOWED:
+            known = known | own.rlike(pattern)
+        return F.when(known, blanks(F.length(segment))).otherwise(segment)
+
+    segments = F.split(run, "(?<=[/=])", -1)
+    return F.when(run.rlike(DIGEST), blanks(F.length(run))).otherwise(F.array_join(F.transform(segments, kept), ""))
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", prefix: str = "_secret_") -> DataFrame:
     """The rows with ``<prefix>base`` and ``<prefix>spans``: arrays of (start, kind, end), in order."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base, candidates, spans = f"{prefix}base", f"{prefix}candidates", f"{prefix}spans"
+    base, rest, runs, candidates, spans = (f"{prefix}{c}" for c in ("base", "rest", "runs", "candidates", "spans"))
     out = docs.withColumn(base, F.array_sort(F.concat(*[found_spans(text, k) for k in BASE])))
-    out = out.withColumn(candidates, candidate_spans(text))
-
-    def reported(c: Column) -> Column:
-        end = c["start"] + F.length(c["value"])
-        return ~F.exists(base, lambda b: (b["start"] < end) & (b["end"] > c["start"])) & is_secret(c["value"])
-
-    extra = F.transform(F.filter(candidates, reported), lambda c: F.struct(
+    out = out.withColumn(rest, F.when(F.size(base) > 0, without_spans(text, base)).otherwise(text))
+    out = out.withColumn(runs, candidate_spans(F.col(rest))).drop(rest)
+    pieces = F.flatten(F.transform(runs, lambda r: F.transform(
+        candidate_spans(without_allowed(r["value"])),
+        lambda p: F.struct((r["start"] + p["start"]).alias("start"), p["value"].alias("value")))))
+    out = out.withColumn(candidates, F.when(F.size(runs) > 0, pieces).otherwise(F.col(runs)))
+    extra = F.transform(F.filter(candidates, lambda c: is_secret(c["value"])), lambda c: F.struct(
         c["start"].alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
         (c["start"] + F.length(c["value"])).cast("long").alias("end")))
     return (out.withColumn(spans, F.when(F.size(candidates) == 0, F.col(base))
-                           .otherwise(F.array_sort(F.concat(base, extra)))).drop(candidates))
+                           .otherwise(F.array_sort(F.concat(base, extra)))).drop(candidates, runs))
 
 
 def listed(spans: str) -> Column:
