@@ -14,8 +14,8 @@
 4. Pairs are verified by vertical partitions: the global order is cut into ``FRAGMENTS``, the partial
    overlap of a pair is counted in each fragment on its own and summed per pair.
 
-Links inside one component that would not change it are not listed. The components are those of all
-links at the threshold.
+Links inside one component that would not change it are not counted by ``ngram_join``; its components are
+those of all links at the threshold. ``ngram_links`` verifies and returns every link between classes.
 
 Odd input: a null or empty text, or one without words, has an empty set and is linked with nothing; a
 text with fewer words than a shingle is one shingle of its own length. Repeated rows are equal
@@ -241,6 +241,33 @@ def placed_classes(staged: DataFrame, percent: int) -> DataFrame:
                     F.coalesce("component_id", "least").alias("component_id")))
 
 
+def ngram_links(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block: int = DOCS_PER_BLOCK,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every link between two classes: (set_key, other_key, class_id, other_id, copies, other_copies, overlap).
+
+    Each pair of classes that a link joins is there once. All classes that share a prefix shingle are compared, so time
+    and result grow with the square of a group of different near copies; copies of one set are one class.
+    """
+    staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col), "shingles")
+    classes = numbered_classes(staged)
+    sets = tables.stage(class_sets(staged, classes), "sets")
+    tokens = sets.select("rep", "n", F.explode("shingles").alias("h"))
+    df = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tokens.join(df, "h").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("order"))
+    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    entries = tables.stage(ranked.select("rep", "n", F.explode(F.slice("order", F.lit(1), prefix)).alias("t"))
+                           .filter(F.col("t.df") > 1).select("rep", "n", F.col("t.h").alias("h")), "prefixes")
+    other = entries.toDF("b", "n2", "h")
+    pairs = (entries.withColumnRenamed("rep", "a").join(other, "h")
+             .filter((F.col("a") < F.col("b")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
+             .select("a", "b").distinct())
+    found = overlaps(pairs, sets).filter((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb")))
+    one = classes.select(F.col("rep").alias("a"), "set_key", F.col("least").alias("class_id"), "copies")
+    two = one.toDF("b", "other_key", "other_id", "other_copies")
+    return found.join(one, "a").join(two, "b").select(
+        "set_key", "other_key", "class_id", "other_id", "copies", "other_copies", F.col("o").alias("overlap"))
+
+
 def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block: int = DOCS_PER_BLOCK,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document, and its class as ``class_id``.

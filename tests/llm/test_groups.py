@@ -180,6 +180,21 @@ def test_one_row_of_each_component_stays(spark, odd):
         Counter(r[0] for r in ODD) - Counter([6, 7, 13])
 
 
+def test_all_links_between_classes(spark):
+    """Also those inside a group, between two that are not its leader."""
+    rows = near_copies()[:120]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    least, copies = {}, Counter()
+    for i, t in rows:
+        least[shingles(t)] = min(i, least.get(shingles(t), i))
+        copies[shingles(t)] += 1
+    sets = sorted(least, key=least.get)
+    want = Counter((least[s], least[t], copies[s], copies[t], len(s & t)) for k, s in enumerate(sets) for t in sets[k + 1:]
+                   if s and t and 100 * len(s & t) >= 75 * len(s | t))
+    got = ngram_join.ngram_links(df).collect()
+    assert want and Counter((r.class_id, r.other_id, r.copies, r.other_copies, r.overlap) for r in got) == want
+
+
 def test_long_chain_of_components(spark):
     n = 40
     links = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
