@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoloom.llm import (
-    chat_format, decontaminate, language_id, ngram_join, packing, quality_rules, secret_scan,
-    substring_dedup, token_counts, toxicity,
+    chat_format, decontaminate, html_extraction, language_id, ngram_join, packing, prefix_trie, quality_rules,
+    secret_scan, structure_repair, substring_dedup, token_counts, toxicity,
 )
 from annoloom.llm.rows import table
 
@@ -156,3 +156,19 @@ FROM w LEFT JOIN kept USING (doc_id)"""
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = html_extraction.train_tree(html_extraction.example_blocks(spark))
+    return html_extraction.extract(table(spark, sf_dir, "pages"), tree)
+
+
+@query
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.structure_repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))

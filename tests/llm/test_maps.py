@@ -129,7 +129,7 @@ def test_allow_list_and_redaction(spark, odd, nothing):
     assert got == {1: "entropy:4:28", 2: "", 3: "", 4: "", 5: ""}
     clean = {(r.doc_id, r.text, r.n_chars) for r in secret_scan.redact(odd).collect()}
     assert secret_scan.redact(odd).columns == odd.columns
-    assert (13, "[SECRET]\" [SECRET] [SECRET]", 26) in clean
+    assert (13, "[SECRET]\" [SECRET] [SECRET]", 27) in clean
     assert {c for c in clean if c[0] != 13} == {(i, t, n) for i, t, _, _, n in ODD if i != 13}
     assert secret_scan.redact(nothing).count() == 0 and secret_scan.secret_scan(nothing).count() == 0
     plan = secret_scan.redact(odd)._jdf.queryExecution().executedPlan().toString()

@@ -11,5 +11,5 @@ def test_matches_sql(spark, sf_dir, key):
     assert spark_rows(QUERIES[key](spark, sf_dir)) == duck_rows(duck(sf_dir), ORACLE[key])
 
 
-def test_ten_queries():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
