@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from annoloom.functions import agreement as AG
 from annoloom.functions import scores as SC
 from annoloom.functions.values import category_list
-from annoloom.operators.facts import latest_response, resolve_annotators
+from annoloom.operators.facts import latest_response, positioned, resolve_annotators
+from annoloom.operators.heavy import spread_join
 
 RATERS_PER_CELL = 256     # raters of one record that meet all its others in one task
-ANNOTATOR_BLOCKS = 16     # side of the grid that spreads "every pair of annotators"
+ASKED_PER_BLOCK = 64      # annotators asked about that meet all others of a block in one task
+OTHERS_PER_BLOCK = 4096
 
 
 def label_set(categories: str) -> Column:
@@ -41,8 +43,8 @@ def shared_records(rated: DataFrame) -> DataFrame:
 
 
 def co_rated(rated: DataFrame) -> DataFrame:
-    """Ratings on records with at least two annotators."""
-    return rated.join(shared_records(rated), "record_id")
+    """Ratings on records with at least two annotators; those of a record with very many are dealt over cells."""
+    return spread_join(rated, shared_records(rated), ["record_id"], deal_by=["annotator"])
 
 
 def rating_pairs(rated: DataFrame, raters_per_cell: int = RATERS_PER_CELL) -> DataFrame:
@@ -88,17 +90,26 @@ def pairwise_agreement(rated: DataFrame, k: int = 5) -> DataFrame:
                     (F.col("apart") / F.col("k_n")).alias("mean_diff")))
 
 
-def asked_pairs(asked: DataFrame, annotators: DataFrame,
-                blocks: int = ANNOTATOR_BLOCKS) -> DataFrame:
+def asked_pairs(asked: DataFrame, annotators: DataFrame, asked_per_block: int = ASKED_PER_BLOCK,
+                others_per_block: int = OTHERS_PER_BLOCK) -> DataFrame:
     """Every annotator of ``asked`` with every other, a before b, once.
 
-    Those asked about are dealt over blocks and all annotators are repeated in each block, so
-    the work is an equi-join of that many keys for each hash of the other side.
+    Both sides are dealt over blocks, as many as their counts ask for, and each side is repeated in the blocks of
+    the other; so the pairs of one block are bounded however many annotators there are. The pairs themselves are the
+    result: those asked about times all.
     """
-    key = F.pmod(F.xxhash64("annotator"), F.lit(blocks)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = asked.select(F.col("annotator").alias("one"), key.alias("row"), F.explode(every).alias("column"))
-    right = annotators.select(F.col("annotator").alias("other"), key.alias("column"), F.explode(every).alias("row"))
+    def blocks(rows: DataFrame, per_block: int) -> Column:
+        return F.greatest(F.ceil(rows.agg(F.count(F.lit(1))).scalar() / per_block), F.lit(1)).cast("int")
+
+    left = asked.select(F.col("annotator").alias("one"), blocks(asked, asked_per_block).alias("rows"),
+                        blocks(annotators, others_per_block).alias("columns"))
+    right = annotators.select(F.col("annotator").alias("other"), blocks(asked, asked_per_block).alias("rows"),
+                              blocks(annotators, others_per_block).alias("columns"))
+    last = F.lit(1)
+    left = left.select("one", F.pmod(F.xxhash64("one"), F.col("rows")).cast("int").alias("row"),
+                       F.explode(F.sequence(F.lit(0), F.col("columns") - last)).alias("column"))
+    right = right.select("other", F.pmod(F.xxhash64("other"), F.col("columns")).cast("int").alias("column"),
+                         F.explode(F.sequence(F.lit(0), F.col("rows") - last)).alias("row"))
     return (left.join(right, ["row", "column"]).filter(F.col("one") != F.col("other"))
             .select(F.least("one", "other").alias("annotator_a"), F.greatest("one", "other").alias("annotator_b"))
             .distinct())
@@ -151,8 +162,9 @@ def category_agreement(rated: DataFrame) -> DataFrame:
 
     Agreeing means both chose the label or neither did. The labels are those of the co-rated
     records. Every pair and record gives one row and one more for each label that only one of
-    the two chose; these are counted in one aggregation, map-side first, and labels on which a
-    pair never differs are filled in from the list of all labels.
+    the two chose; these are counted in one aggregation, map-side first. A pair is then repeated once for each label
+    number and joined to the numbered labels; labels on which it never differs are the ones its counts lack. No row
+    carries the list of all labels.
     """
     differ = F.concat(F.array_except("labels_a", "labels_b"), F.array_except("labels_b", "labels_a"))
     counts = (rating_pairs(rated)
@@ -163,11 +175,16 @@ def category_agreement(rated: DataFrame) -> DataFrame:
     per_pair = counts.groupBy("annotator_a", "annotator_b").agg(
         F.max(F.when(F.col("label").isNull(), F.col("n"))).alias("shared"),
         F.map_from_entries(F.collect_list(F.when(F.col("label").isNotNull(), of_label))).alias("apart"))
-    seen = (co_rated(rated).select(F.explode("labels").alias("label")).distinct()
-            .agg(F.collect_list("label")).scalar())         # the labels of a form, not of the data's size
+    seen = co_rated(rated).select(F.explode("labels").alias("category")).distinct()
+    numbered = positioned(seen, F.col("category"))
+    last = numbered.agg(F.coalesce(F.max("position"), F.lit(0))).first()[0]
+    if not last:
+        numbers = F.array().cast("array<bigint>")
+    else:
+        numbers = F.sequence(F.lit(1).cast("long"), F.lit(last))
     agreed = F.col("shared") - F.coalesce(F.try_element_at("apart", F.col("category")), F.lit(0))
-    return (per_pair.withColumn("seen", seen)
-            .select("annotator_a", "annotator_b", "shared", "apart", F.explode("seen").alias("category"))
+    return (per_pair.select("annotator_a", "annotator_b", "shared", "apart", F.explode(numbers).alias("position"))
+            .join(numbered, "position")
             .select("annotator_a", "annotator_b", "category", "shared", agreed.alias("agreed"),
                     (agreed * 100.0 / F.col("shared")).alias("agreement_pct")))
 

@@ -10,6 +10,7 @@ from annoloom import schema as S
 from annoloom.functions import scores as SC
 from annoloom.functions import text as TX
 from annoloom.functions.values import category_list
+from annoloom.operators.heavy import side_join
 from annoloom.sources import tables
 
 SHORT_ID = 8      # characters of a user id shown for an unknown user
@@ -26,13 +27,15 @@ def resolve_annotators(responses: DataFrame, users: DataFrame,
                        short: bool = True) -> DataFrame:
     """Add ``annotator``: the user's name, else the id (its first 8 characters if short).
 
-    A response without a user id is ``unknown`` in the long form.
+    A response without a user id is ``unknown`` in the long form. The user table is measured: a small one is
+    broadcast, so responses are not shuffled by user; else the responses of busy users are dealt over cells.
     """
     names = one_per_user(users)
     fallback = F.col("user_id")
     fallback = (F.substring(fallback, 1, SHORT_ID) if short
                 else F.coalesce(F.nullif(fallback, F.lit("")), F.lit("unknown")))
-    return (responses.join(names, "user_id", "left")
+    named = side_join(responses, names, ["user_id"], "left", source=users.select("user_id", "username"))
+    return (named
             .withColumn("annotator", F.coalesce("username", fallback))
             .drop("username"))
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 MOST_HEAVY = 1000         # keys that are split, and rows of the table that is broadcast
 CELLS_PER_TASK = 2        # a cell holds at most 1 / (this * shuffle partitions) of the rows
+BROADCAST_BYTES = 8 << 20  # a side that is measured to be no larger is broadcast
 HOWS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -64,3 +65,20 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     repeated = (right.withColumn("_key", _key(keys)).join(heavy, "_key", "left")
                 .withColumn("_cell", F.explode(every)).drop("_key", "_cells"))
     return dealt.join(repeated, [*keys, "_cell"], how).drop("_cell")
+
+
+def measured_bytes(rows: DataFrame) -> int:
+    """Bytes of the values of narrow ``rows`` (strings, numbers, times), measured in one pass."""
+    sizes = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 16 for f in rows.schema]
+    return rows.select(sum(sizes[1:], sizes[0]).alias("_b")).agg(F.coalesce(F.sum("_b"), F.lit(0))).first()[0]
+
+
+def side_join(left: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner",
+              deal_by: Sequence[str] | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Join of a narrow side table: broadcast if it is measured to be small, else :func:`spread_join`.
+
+    ``source`` is what is measured, by default ``side`` itself: a table that ``side`` is part of or grouped from.
+    """
+    if measured_bytes(side if source is None else source) <= BROADCAST_BYTES:
+        return left.join(F.broadcast(side), list(keys), how)
+    return spread_join(left, side, keys, how, deal_by)

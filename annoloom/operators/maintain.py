@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoloom.operators.facts import resolve_annotators
+from annoloom.operators.heavy import spread_join
 
 
 def discards_preview(responses: DataFrame, users: DataFrame) -> DataFrame:
@@ -21,18 +22,28 @@ def discards_applied(responses: DataFrame) -> DataFrame:
     return responses.filter(~F.coalesce(F.col("status") == "discarded", F.lit(False)))
 
 
+def _targets(targets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct records to reopen for everyone, and distinct (record, annotator)."""
+    everyone = targets.filter(F.col("annotator").isNull()).select("record_id").distinct()
+    single = targets.filter(F.col("annotator").isNotNull()).select("record_id", "annotator").distinct()
+    return everyone, single
+
+
+BY = ["response_id"]      # what the responses of a hot record are dealt by
+
+
 def _reopened(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
     """Response ids that ``targets`` names, with annotator.
 
     Two equi-joins on distinct targets: whole records by id, and single annotators by record
-    and name. Neither compares every response of a record with every target of it.
+    and name. Neither compares every response of a record with every target of it, and the responses of a
+    record with very many are dealt over cells.
     """
     named = resolve_annotators(responses, users)
-    everyone = targets.filter(F.col("annotator").isNull()).select("record_id").distinct()
-    single = targets.filter(F.col("annotator").isNotNull()).select("record_id", "annotator").distinct()
-    whole = named.join(everyone, "record_id", "left_semi")
-    rest = named.join(everyone, "record_id", "left_anti")
-    return whole.unionByName(rest.join(single, ["record_id", "annotator"], "left_semi"))
+    everyone, single = _targets(targets)
+    whole = spread_join(named, everyone, ["record_id"], "left_semi", BY)
+    rest = spread_join(named, everyone, ["record_id"], "left_anti", BY)
+    return whole.unionByName(spread_join(rest, single, ["record_id", "annotator"], "left_semi", BY))
 
 
 def reopen_preview(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
@@ -43,7 +54,6 @@ def reopen_preview(responses: DataFrame, users: DataFrame, targets: DataFrame) -
 
 def reopen_applied(responses: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
     """Responses that stay after reopening ``targets``."""
-    everyone = targets.filter(F.col("annotator").isNull()).select("record_id").distinct()
-    single = targets.filter(F.col("annotator").isNotNull()).select("record_id", "annotator").distinct()
-    return (resolve_annotators(responses, users).join(everyone, "record_id", "left_anti")
-            .join(single, ["record_id", "annotator"], "left_anti").select(*responses.columns))
+    everyone, single = _targets(targets)
+    rest = spread_join(resolve_annotators(responses, users), everyone, ["record_id"], "left_anti", BY)
+    return spread_join(rest, single, ["record_id", "annotator"], "left_anti", BY).select(*responses.columns)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoloom.functions import text as TX
+from annoloom.operators.heavy import spread_join
+from annoloom.sources import tables
 
 KINDS = ("id", "source", "target", "pair")
 PREVIEW_CHARS = 80
@@ -43,15 +45,14 @@ def duplicate_groups(records: DataFrame, kind: str) -> DataFrame:
 def duplicate_members(records: DataFrame, kind: str = "source") -> DataFrame:
     """Every record of every duplicate group.
 
-    Group sizes come from a partial aggregation, not from a window over the group; the
-    join back has one row per key on its other side, so a very large group can be split
-    over tasks by adaptive execution.
+    The texts are read once, their hashes are staged. Group sizes come from a partial aggregation, not
+    from a window over the group; in the join back the members of a very large group are dealt over cells.
     """
-    hashes = (record_hashes(records)
-              .select(F.col(f"{kind}_key").alias("key"), "record_id", "benchmark"))
+    hashes = tables.stage(record_hashes(records).select(
+        F.col(f"{kind}_key").alias("key"), "record_id", "benchmark"), "hashes")
     groups = hashes.groupBy("key").agg(F.count(F.lit(1)).alias("copies")) \
         .filter(F.col("copies") > 1)
-    return hashes.join(groups, "key").select("key", "copies", "record_id", "benchmark")
+    return spread_join(hashes, groups, ["key"], deal_by=["record_id"]).select("key", "copies", "record_id", "benchmark")
 
 
 def duplicate_summary(records: DataFrame) -> DataFrame:

@@ -76,6 +76,16 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT a.* EXCLUDE (k, event_type, event_id), record_id, {_CORRECTED} AS corrected_text
         FROM (SELECT *, 'rec_' || (event_id // 10) AS record_id FROM fx_answers) a
         JOIN (SELECT record_id, target_text FROM fx_records) USING (record_id)"""),
+    "fx_later": (("fx_records",), """
+        SELECT * REPLACE (CASE WHEN status = 'pending' AND benchmark IN ('src0', 'src1') THEN 'completed'
+                               ELSE status END AS status) FROM fx_records"""),
+    "fx_done_later": (("fx_later", "fx_answered"), """
+        SELECT p.* REPLACE ('submitted' AS status, CASE WHEN p.status = 'draft' THEN '5 – x' ELSE quality_score END
+                            AS quality_score)
+        FROM fx_answered p JOIN fx_later r ON r.record_id = p.record_id AND r.status IN ('completed', 'discarded')
+        WHERE p.status IN ('submitted', 'draft')"""),
+    "fx_answered": (("fx_answers",), """
+        SELECT *, 'rec_' || (event_id // 10) AS record_id FROM fx_answers"""),
     "fx_cal": (("fx_answers",), """
         SELECT *, 'cal_' || (event_id // 50) AS record_id FROM fx_answers"""),
     "fx_users": ((), """
@@ -258,6 +268,9 @@ SEMI JOIN fx_needed USING (benchmark, config, id)"""
 oracle("corpus_lookup", _LOOKUP, "fx_sources_last", "fx_needed")
 oracle("materialised_lookup", _LOOKUP, "fx_sources_last", "fx_needed")
 
+oracle("lookup_after_failure", _LOOKUP, "fx_sources_last", "fx_needed")
+oracle("indexed_lookup", _LOOKUP, "fx_sources_last", "fx_needed")
+
 oracle("lookup_coverage", """
 SELECT benchmark, config, count(*) AS needed, count(hit) AS found,
        count(*) - count(hit) AS missing
@@ -278,6 +291,8 @@ UNION ALL
 SELECT 'new_' || record_id, benchmark, record_type, task_id, source_text, target_text, status
 FROM fx_records WHERE status = 'pending'""", "fx_records")
 
+ORACLE["upsert_bucketed"] = ORACLE["upsert_records"]
+
 oracle("snapshot_records", """
 SELECT record_id, CASE WHEN status = 'discarded' THEN 'Unknown' ELSE benchmark END AS benchmark,
        CASE WHEN status = 'discarded' THEN 'unknown' ELSE record_type END AS record_type,
@@ -495,7 +510,7 @@ _COUNTS = """
         count(*) FILTER (record_type = 'passage') AS passages_total
  FROM fx_benchmarks LEFT JOIN fx_records USING (benchmark) GROUP BY ALL)"""
 
-oracle("benchmark_progress", f"""
+_PROGRESS = f"""
 SELECT CASE WHEN tot THEN 'TOTAL' ELSE benchmark END AS benchmark,
        CASE WHEN NOT tot THEN position END AS position,
        queries_done, queries_total, queries_done * 100 // nullif(queries_total, 0) AS queries_pct,
@@ -507,7 +522,9 @@ FROM (SELECT false AS tot, * FROM {_COUNTS}
       UNION ALL
       SELECT true, NULL, NULL, CAST(sum(queries_done) AS bigint), CAST(sum(queries_total) AS bigint),
              CAST(sum(passages_done) AS bigint), CAST(sum(passages_total) AS bigint)
-      FROM {_COUNTS})""", "fx_benchmarks", "fx_records")
+      FROM {_COUNTS})"""
+oracle("benchmark_progress", _PROGRESS, "fx_benchmarks", "fx_records")
+oracle("progress_after_changes", _PROGRESS.replace("fx_records", "fx_later"), "fx_benchmarks", "fx_later")
 
 oracle("report_benchmark_progress", f"""
 SELECT *, queries_done + passages_done AS done, queries_total + passages_total AS total,
@@ -517,7 +534,7 @@ FROM {_COUNTS}""", "fx_benchmarks", "fx_records")
 
 _SCORE_COUNTS = ",\n".join(f"count(*) FILTER (score = {i}) AS s{i}" for i in range(1, 6))
 
-oracle("annotator_progress", f"""
+_ANNOTATORS = f"""
 SELECT annotator, count(*) FILTER (score IS NOT NULL OR status = 'discarded') AS total,
        {_SCORE_COUNTS}, count(*) FILTER (status = 'discarded') AS skipped,
        count(*) FILTER (status = 'submitted' AND score IS NULL) AS unrated,
@@ -526,7 +543,9 @@ FROM (SELECT p.status, coalesce(username, substr(p.user_id, 1, 8)) AS annotator,
              CASE WHEN p.status = 'submitted' THEN {digit('quality_score')} END AS score
       FROM fx_done p LEFT JOIN fx_users u ON u.user_id = p.user_id
       WHERE p.status = 'discarded' OR quality_score IS NOT NULL)
-GROUP BY 1""", "fx_done", "fx_users")
+GROUP BY 1"""
+oracle("annotator_progress", _ANNOTATORS, "fx_done", "fx_users")
+oracle("annotators_after_changes", _ANNOTATORS.replace("fx_done", "fx_done_later"), "fx_done_later", "fx_users")
 
 oracle("annotator_report", f"""
 SELECT annotator, count(*) AS total, {_SCORE_COUNTS},
@@ -558,6 +577,29 @@ FROM (SELECT count(*) AS total_records, count(*) FILTER (status <> 'pending') AS
              round(avg(score), 6) AS avg_score, count(*) FILTER (flagged) AS flags
       FROM fx_facts)""", "fx_records", "fx_benchmarks", "fx_facts")
 
+def _measures(section: str, name: str, source: str, *measures: str) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{section}' AS section, {name} AS name, '{m}' AS detail, round(CAST({m} AS double), 6) AS value FROM {source}"
+        for m in measures)
+
+
+def _plain(key: str, *views: str) -> str:
+    """The SQL of a query without its views."""
+    return ORACLE[key].removeprefix(with_views(*views))
+
+
+oracle("report_bundle", f"""
+, summary AS ({_plain('report_summary', 'fx_records', 'fx_benchmarks', 'fx_facts')}),
+marks AS ({_plain('report_benchmark_progress', 'fx_benchmarks', 'fx_records')}),
+people AS ({_plain('annotator_report', 'fx_facts')})
+{_measures('summary', "''", 'summary', 'total_records', 'total_done', 'done_pct', 'annotators', 'submissions', 'avg_score', 'flags')}
+UNION ALL {_measures('benchmarks', 'benchmark', 'marks', 'done', 'total', 'pct')}
+UNION ALL {_measures('annotators', 'annotator', 'people', 'total', 's1', 's2', 's3', 's4', 's5', 'avg_score', 'discarded', 'flagged')}
+UNION ALL SELECT 'categories', annotator, category, CAST(uses AS double) FROM ({_plain('category_by_annotator', 'fx_facts')})
+UNION ALL SELECT 'choices', facet, value, 1.0 FROM ({_plain('filter_choices', 'fx_facts')})
+UNION ALL SELECT 'annotations', response_id, md5(source_text || correction), 1.0 FROM fx_facts""",
+       "fx_records", "fx_benchmarks", "fx_facts")
+
 oracle("access_roster", """
 SELECT username, role, user_id IN (SELECT user_id FROM fx_members) AS in_workspace
 FROM fx_users WHERE role <> 'owner'""", "fx_users", "fx_members")
@@ -794,3 +836,13 @@ WHERE EXISTS {_MATCH}""", "fx_named", "fx_targets_reopen")
 oracle("reopen_applied", f"""
 SELECT response_id, record_id, user_id, status FROM fx_named p
 WHERE NOT EXISTS {_MATCH}""", "fx_named", "fx_targets_reopen")
+
+oracle("responses_as_of", """
+SELECT response_id, record_id, user_id, CASE WHEN version > 2 AND again THEN 'again' ELSE status END AS status, version
+FROM (SELECT *, seq % 4 = 0 AS again FROM fx_answered), (SELECT unnest([1, 2, 3, 4]) AS version)
+WHERE (version = 1 OR status <> 'discarded' OR (version > 2 AND again)) AND (version < 4 OR status <> 'draft')""",
+       "fx_answered")
+
+oracle("compacted", """
+SELECT response_id, record_id, user_id, status FROM fx_answered
+WHERE status = 'submitted' AND seq % 4 <> 0""", "fx_answered")

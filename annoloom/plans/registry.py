@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoloom.functions import scores as SC
 from annoloom.functions import text as TX
 from annoloom.functions import values as V
 from annoloom.operators import (
-    agreement, assemble, export, facts, legacy, maintain, progress, quality, sampling,
+    agreement, assemble, counters, export, facts, legacy, maintain, progress, quality, sampling,
 )
 from annoloom.plans import adapters as A
-from annoloom.sources import files, snapshot, tables, texts
+from annoloom.plans import report
+from annoloom.sources import buckets, corpus_index, files, retractions, snapshot, tables, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,13 +118,31 @@ def materialised_lookup(spark, d):
     return texts.materialised_lookup(spark, path, A.source_texts(spark, d), _needed(spark, d))
 
 
+@query
+def lookup_after_failure(spark, d):
+    """A killed first write left rows behind and a later one was committed; then more ids are needed."""
+    path = tables.shared_dir(spark, "lookup")
+    corpus, needed = A.source_texts(spark, d), _needed(spark, d)
+    torn = corpus.filter(F.col("benchmark") == "A").select("id", F.lit("torn").alias("title"), "text", "benchmark", "config")
+    torn.write.partitionBy("benchmark", "config").parquet(f"{path}/lookup-killed")
+    texts.materialised_lookup(spark, path, corpus, needed.filter(F.col("benchmark") != "R"))
+    return texts.materialised_lookup(spark, path, corpus, needed, refresh_missing=True)
+
+
+@query
+def indexed_lookup(spark, d):
+    """The corpus lookup from a stored corpus of which only some files are opened."""
+    path = tables.shared_dir(spark, "index")
+    corpus_index.build_index(spark, path, A.source_texts(spark, d), rows_per_file=1000)
+    return corpus_index.indexed_lookup(spark, path, _needed(spark, d))
+
+
 @query
 def missing_ids(spark, d):
     return texts.missing_ids(_needed(spark, d), A.source_texts(spark, d))
 
 
-@query
-def upsert_records(spark, d):
+def _reloaded(spark: SparkSession, d: str) -> DataFrame:
     """Discarded records are loaded again, twice each, and pending ones also under new ids."""
     old = A.records(spark, d)
     again = old.filter(F.col("status") == "discarded")
@@ -132,8 +151,24 @@ def upsert_records(spark, d):
     versions = [again.withColumns({"status": F.lit("pending"), "benchmark": F.lit("stale"), "version": F.lit(1)}),
                 again.withColumns({"status": F.lit("pending"), "benchmark": F.lit("rerun"), "version": F.lit(2)}),
                 fresh.withColumn("version", F.lit(1))]
-    new = versions[0].unionByName(versions[1]).unionByName(versions[2])
-    return tables.upsert(old, new, "version").drop("version")
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
+
+
+@query
+def upsert_records(spark, d):
+    return tables.upsert(A.records(spark, d), _reloaded(spark, d), "version").drop("version")
+
+
+@query
+def upsert_bucketed(spark, d):
+    """The same into a stored table, in two upserts."""
+    path = tables.shared_dir(spark, "buckets")
+    new = _reloaded(spark, d)
+    buckets.create_bucketed(spark, path, A.records(spark, d).withColumn("version", F.lit(0)), "record_id", "version",
+                            rows_per_bucket=2000)
+    buckets.upsert_bucketed(spark, path, new.filter(F.col("version") == 1), "version")
+    buckets.upsert_bucketed(spark, path, new, "version")
+    return buckets.read_bucketed(spark, path).drop("version")
 
 
 def _snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -189,7 +224,7 @@ def read_texts(spark, d):
     doc = A.table(spark, d, "documents").select(F.col("doc_id").alias("_id"), F.col("source").alias("title"), "text", "n_chars")
     (doc.withColumn("part", F.lit(1)).unionByName(
         doc.filter(F.col("n_chars") < 800).withColumns({"text": F.reverse("text"), "part": F.lit(2)}))
-     .drop("n_chars").repartition("part").sortWithinPartitions("part", "_id").write.partitionBy("part").json(path))
+     .drop("n_chars").repartitionByRange("part", "_id").sortWithinPartitions("part", "_id").write.partitionBy("part").json(path))
     found, _ = texts.read_texts(spark, {("b", "corpus"): path}, "json")
     return texts.latest_texts(found).drop("seq")
 
@@ -476,8 +511,8 @@ def annotator_progress(spark, d):
 
 @query
 def annotator_report(spark, d):
-    rows = progress.annotator_report(_facts(spark, d)).withColumn("avg_score", r6("avg_score"))
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "annotator")))
+    rows = progress.annotators_by_volume(progress.annotator_report(_facts(spark, d)))
+    return rows.withColumn("avg_score", r6("avg_score"))
 
 
 @query
@@ -497,6 +532,67 @@ def report_summary(spark, d):
     return rows.withColumn("avg_score", r6("avg_score"))
 
 
+@query
+def report_bundle(spark, d):
+    """All tables of a report, published twice and read back from the last one, as rows (section, name, detail, value)."""
+    path = tables.shared_dir(spark, "report")
+    rec, marks = A.records(spark, d), A.benchmarks(spark, d)
+    made = report.report_tables(rec, A.responses(spark, d), A.users(spark, d), marks)
+    report.publish(spark, path, {name: df.limit(0) for name, df in made.items()})
+    report.publish(spark, path, made)
+    found = report.read_report(spark, path)
+
+    def rows(section: str, name: str | None, *measures: str) -> DataFrame:
+        given = F.array(*[F.struct(F.lit(m).alias("detail"), F.col(m).cast("double").alias("value")) for m in measures])
+        return found[section].select(F.lit(section).alias("section"), (F.col(name) if name else F.lit("")).alias("name"),
+                                     F.explode(given).alias("m")).select("section", "name", "m.*")
+
+    parts = [rows("summary", None, "total_records", "total_done", "done_pct", "annotators", "submissions", "avg_score", "flags"),
+             rows("benchmarks", "benchmark", "done", "total", "pct"),
+             rows("annotators", "annotator", "total", "s1", "s2", "s3", "s4", "s5", "avg_score", "discarded", "flagged"),
+             found["categories"].select(F.lit("categories").alias("section"), F.col("annotator").alias("name"),
+                                        F.col("category").alias("detail"), F.col("uses").cast("double").alias("value")),
+             found["choices"].select(F.lit("choices").alias("section"), F.col("facet").alias("name"),
+                                     F.col("value").alias("detail"), F.lit(1.0).alias("value")),
+             found["annotations"].select(F.lit("annotations").alias("section"), F.col("response_id").alias("name"),
+                                         F.md5(F.concat("source_text", "correction")).alias("detail"), F.lit(1.0).alias("value"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumn("value", r6("value"))
+
+
+def _changed(spark: SparkSession, d: str):
+    """Records and responses before and after a change, and the records concerned: pending records of the first two
+    sources are completed, their drafts submitted, and discarded responses on records of one event type gone."""
+    rec, ans = A.records(spark, d), A.responses(spark, d, with_text=False)
+    done = (F.col("status") == "pending") & F.col("benchmark").isin("src0", "src1")
+    new_rec = rec.withColumn("status", F.when(done, "completed").otherwise(F.col("status")))
+    new_ans = (ans.filter(F.col("status") != "discarded")
+               .withColumn("quality_score", F.when(F.col("status") == "draft", "5 – x").otherwise(F.col("quality_score")))
+               .withColumn("status", F.when(F.col("status") == "draft", "submitted").otherwise(F.col("status"))))
+    touched = (rec.filter(done).select("record_id")
+               .unionByName(ans.filter(F.col("status").isin("discarded", "draft")).select("record_id")).distinct())
+    return (rec, ans), (new_rec, new_ans), tables.stage(touched, "touched")
+
+
+def _counters_after(spark: SparkSession, d: str) -> DataFrame:
+    before, after, touched = _changed(spark, d)
+    stored = tables.stage(counters.counters(*before), "counters")
+    change = counters.deltas(counters.slice_of(*before, touched), counters.slice_of(*after, touched))
+    return tables.stage(counters.merge(stored, change), "counters")
+
+
+@query
+def progress_after_changes(spark, d):
+    return counters.benchmark_progress(_counters_after(spark, d), A.benchmarks(spark, d))
+
+
+@query
+def annotators_after_changes(spark, d):
+    return counters.annotator_progress(_counters_after(spark, d), A.users(spark, d))
+
+
 @query
 def access_roster(spark, d):
     return progress.access_roster(A.users(spark, d), A.members(spark, d))
@@ -710,3 +806,30 @@ def reopen_applied(spark, d):
     return maintain.reopen_applied(A.responses(spark, d, with_text=False), A.users(spark, d),
                                    _reopen_targets(spark, d)) \
         .select("response_id", "record_id", "user_id", "status")
+
+
+def _retraction_log(spark: SparkSession, d: str) -> str:
+    """Version 1: all responses. 2: discarded ones retracted. 3: every fourth of all given again. 4: drafts retracted."""
+    path = tables.shared_dir(spark, "retractions")
+    rows = A.responses(spark, d, with_text=False).select("response_id", "record_id", "user_id", "status", "seq")
+    retractions.add_responses(spark, path, rows)
+    retractions.retract(spark, path, rows.filter(F.col("status") == "discarded"))
+    retractions.add_responses(spark, path, rows.filter(F.col("seq") % 4 == 0).withColumn("status", F.lit("again")))
+    retractions.retract(spark, path, rows.filter(F.col("status") == "draft"))
+    return path
+
+
+@query
+def responses_as_of(spark, d):
+    path = _retraction_log(spark, d)
+    found = [retractions.responses_as_of(spark, path, v).withColumn("version", F.lit(v)) for v in (1, 2, 3, 4)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]).drop("seq")
+
+
+@query
+def compacted(spark, d):
+    """The log is compacted, then everything that was given again is retracted."""
+    path = _retraction_log(spark, d)
+    retractions.compact(spark, path)
+    retractions.retract(spark, path, retractions.responses_as_of(spark, path).filter(F.col("status") == "again"))
+    return retractions.responses_as_of(spark, path).drop("seq")

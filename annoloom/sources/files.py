@@ -88,12 +88,21 @@ def ingest_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return good, rejects.select("file", "line_no", "reason", "value")
 
 
-def ingest_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field of a CSV file goes on in another line: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def ingest_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Rows of a CSV file with a header that has the required columns.
 
-    A short row is kept with nulls; extra columns are kept. ``multi_line=False`` lets
-    Spark split a large file whose quoted fields hold no line breaks.
+    A short row is kept with nulls; extra columns are kept. Large files are split by lines over many tasks, unless
+    a quoted field holds a line break: that is looked for first, and then each file is one task.
+    ``multi_line`` says so without the look.
     """
+    if multi_line is None:
+        multi_line = has_broken_lines(spark, path)
     df = (spark.read.option("header", True).option("multiLine", multi_line)
           .option("enforceSchema", False)       # a file with other columns is an error, not shifted fields
           .option("quote", '"').option("escape", '"').csv(path))

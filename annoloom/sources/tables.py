@@ -79,14 +79,19 @@ def write_table(df: DataFrame, path: str, mode: str = "create",
     writer.parquet(path)
 
 
+def last_rows(rows: DataFrame, order: str, key: str = "record_id") -> DataFrame:
+    """One row per key, the last by ``order``; earlier ones are dropped in the map tasks already."""
+    w = W.partitionBy(key).orderBy(F.col(order).desc())
+    return rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
+
+
 def upsert(existing: DataFrame, new: DataFrame, order: str, key: str = "record_id") -> DataFrame:
     """New ids added, same ids replaced, others untouched.
 
     Within ``new`` the last row of an id by the column ``order`` wins, so an id is never there
     twice. Write the result to a new path: a table must not be overwritten while it is read.
     """
-    w = W.partitionBy(key).orderBy(F.col(order).desc())
-    new = new.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= 1).drop("_rn")
+    new = last_rows(new, order, key)
     untouched = existing.join(new.select(key), key, "left_anti")
     return untouched.unionByName(new, allowMissingColumns=True)
 

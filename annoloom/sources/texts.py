@@ -12,10 +12,11 @@ from pyspark.sql.types import StructType
 
 from annoloom import schema as S
 from annoloom.functions import text as TX
+from annoloom.sources import generations
 from annoloom.sources.files import number_lines, read_lines
 
 KEYS = ["id", "benchmark", "config"]     # most distinct first, for sorts and joins
-FILES_PER_PARTITION = 32
+ROWS_PER_FILE = 200_000
 #: Stated, not inferred: a benchmark named 007 is a name and not the number 7.
 LOOKUP = "id string, title string, text string, benchmark string, config string"
 
@@ -120,28 +121,39 @@ def materialised_lookup(spark: SparkSession, path: str, corpus: DataFrame,
                         needed: DataFrame, refresh_missing: bool = False) -> DataFrame:
     """Lookup kept as Parquet at ``path``, partitioned by benchmark and config.
 
-    The first call scans the corpus and writes what it found. Later calls only read that
-    table; with ``refresh_missing`` the ids it lacks are fetched and appended first.
+    The first call scans the corpus and commits what it found. Later calls only read that
+    table; with ``refresh_missing`` the ids it lacks are fetched and added first. Only committed folders are
+    read: what a killed or slower writer left does not count, and a first call after it scans again.
     """
     wanted = needed.select(*KEYS).distinct()
-    try:
-        stored = spark.read.schema(LOOKUP).parquet(path)
-    except AnalysisException:
-        found = corpus_lookup(corpus, wanted)
-        _by_partition(found).write.partitionBy("benchmark", "config").parquet(path)
-        stored = spark.read.schema(LOOKUP).parquet(path)
-    else:
-        if refresh_missing:
-            fresh = corpus_lookup(corpus, missing_ids(wanted, stored))
-            _by_partition(fresh).write.mode("append").partitionBy("benchmark", "config").parquet(path)
-            stored = spark.read.schema(LOOKUP).parquet(path)
-    return stored.select(*KEYS, "title", "text").join(wanted, KEYS, "left_semi")
-
 
-def _by_partition(found: DataFrame) -> DataFrame:
-    """Rows of a partition in a few files: dealt by partition and some buckets of ids."""
-    bucket = F.pmod(F.xxhash64("id"), F.lit(FILES_PER_PARTITION))
-    return found.repartition("benchmark", "config", bucket)
+    def add(state: generations.Manifest | None):
+        if state is not None and not refresh_missing:
+            return None
+        lacking = wanted if state is None else missing_ids(wanted, stored_lookup(spark, state))
+        folder = generations.new_folder("lookup")
+        found = by_key_range(corpus_lookup(corpus, lacking), lacking.count())
+        found.write.partitionBy("benchmark", "config").parquet(f"{path}/{folder}")
+        return {"lookup": [*(state.parts["lookup"] if state else ()), folder]}, {}
+
+    state = generations.update(spark, path, add)
+    return stored_lookup(spark, state).join(wanted, KEYS, "left_semi")
+
+
+def stored_lookup(spark: SparkSession, state: generations.Manifest) -> DataFrame:
+    """All rows of a committed lookup; each folder is a partitioned table of its own."""
+    parts = [spark.read.schema(LOOKUP).parquet(folder) for folder in state.folders("lookup")]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union.select(*KEYS, "title", "text")
+
+
+def by_key_range(found: DataFrame, rows: int) -> DataFrame:
+    """Rows in as many tasks as ``rows`` asks for, each with one range of keys, so that a partition gets files
+    in proportion to its rows."""
+    order = ("benchmark", "config", "id")
+    return found.repartitionByRange(max(1, -(-rows // ROWS_PER_FILE)), *order).sortWithinPartitions(*order)
 
 
 def _found(needed: DataFrame, lookup: DataFrame) -> DataFrame:

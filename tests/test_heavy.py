@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annoloom.operators import heavy
+from annoloom.operators import agreement, facts, heavy, maintain, quality
 
 TASKS = 8
 
@@ -79,3 +79,68 @@ def test_maps_and_clashing_columns(spark):
     assert heavy.spread_join(left, right, ["k"]).count() == 50
     with pytest.raises(ValueError):
         heavy.spread_join(left, right, ["k"], "full")
+
+
+# ---- the operators that use it: a third of the rows on one key, no adaptive execution ----
+
+@pytest.fixture()
+def no_small_sides(monkeypatch):
+    monkeypatch.setattr(heavy, "BROADCAST_BYTES", -1)
+
+
+N = 24_000
+
+
+def hot(name, others):
+    return F.when(F.col("id") % 3 == 0, name).otherwise(F.concat(F.lit(name[0]), (F.col("id") % others).cast("string")))
+
+
+def answers(spark):
+    return spark.range(N).select(
+        F.concat(F.lit("r"), F.col("id").cast("string")).alias("response_id"), hot("hot", 900).alias("record_id"),
+        hot("busy", 500).alias("user_id"), F.lit("submitted").alias("status"), F.lit("3").alias("quality_score"), F.col("id").alias("seq"))
+
+
+def people(spark):
+    known = spark.range(500).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("user_id"), F.col("id").cast("string").alias("username"))
+    return known.unionByName(spark.createDataFrame([("busy", "ana")], known.schema))
+
+
+def test_a_busy_user(spark, plain_shuffles, no_small_sides):
+    found = facts.resolve_annotators(answers(spark), people(spark))
+    assert found.filter("annotator = 'ana'").count() == N / 3
+    assert most_rows(found) < 2 * N / TASKS
+
+
+def test_a_small_user_table_is_measured_and_broadcast(spark):
+    found = facts.resolve_annotators(answers(spark), people(spark))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and found.filter("annotator = 'ana'").count() == N / 3
+    assert heavy.measured_bytes(people(spark)) == sum(32 + len(r.user_id) + len(r.username) for r in people(spark).collect())
+    assert heavy.measured_bytes(people(spark).limit(0)) == 0
+
+
+def test_a_record_with_very_many_raters(spark, plain_shuffles):
+    rated = spark.range(N).select(hot("hot", 900).alias("record_id"), F.col("id").cast("string").alias("annotator"),
+                                  F.lit(3).alias("score"), F.array(F.lit("x")).alias("labels"))
+    found = agreement.co_rated(rated)
+    assert found.count() == N and most_rows(found) < 2 * N / TASKS
+
+
+def test_a_text_with_very_many_copies(spark, plain_shuffles):
+    records = spark.range(N).select(F.col("id").cast("string").alias("record_id"), F.lit("b").alias("benchmark"),
+                                    hot("hot text", 900).alias("source_text"), F.lit("x").alias("target_text"))
+    found = quality.duplicate_members(records)
+    assert found.count() == N and most_rows(found) < 2 * N / TASKS
+
+
+@pytest.mark.parametrize("reopened", [maintain.reopen_preview, maintain.reopen_applied])
+def test_a_hot_record_is_reopened_or_kept(spark, plain_shuffles, no_small_sides, reopened):
+    preview = reopened is maintain.reopen_preview
+    record = "hot" if preview else "h1"
+    targets = spark.createDataFrame([(record, None), ("h2", "ana"), ("h2", "5")], "record_id string, annotator string")
+    found = reopened(answers(spark), people(spark), targets)
+    names = {"b5": "5", "busy": "ana"}
+    gone = [r for r in answers(spark).collect() if r.record_id == record or (r.record_id == "h2" and names.get(r.user_id) in ("ana", "5"))]
+    assert found.count() == (len(gone) if preview else N - len(gone))
+    assert most_rows(found) < 2 * N / TASKS

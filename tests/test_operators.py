@@ -311,8 +311,10 @@ def test_asked_annotators_with_all_others_once(spark):
     names = [f"n{i}" for i in range(45)]
     df = spark.createDataFrame([(n,) for n in names], "annotator string")
     asked = df.filter("annotator in ('n3', 'n7')")
-    got = rows(agreement.asked_pairs(asked, df, blocks=4))
-    assert got == sorted((p for p in combinations(sorted(names), 2) if {"n3", "n7"} & set(p)), key=repr)
+    want = sorted((p for p in combinations(sorted(names), 2) if {"n3", "n7"} & set(p)), key=repr)
+    for sizes in ((1, 4), (64, 7), (64, 4096)):
+        assert rows(agreement.asked_pairs(asked, df, *sizes)) == want
+    assert rows(agreement.asked_pairs(asked.limit(0), df)) == []
 
 
 def test_pairs_without_overlap(spark):

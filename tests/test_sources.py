@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from annoloom.sources import files, snapshot, tables, texts
+from annoloom.sources import files, generations, snapshot, tables, texts
 from tests.test_operators import TEXTS, rows
 
 LINES = [
@@ -154,7 +154,43 @@ def test_materialised_lookup_keeps_what_it_found(spark, tmp_path):
     more = needed.unionByName(spark.createDataFrame([("b", "corpus", "5")], needed.schema))
     assert texts.materialised_lookup(spark, path, corpus, more).count() == 2      # a hit never refetches
     assert texts.materialised_lookup(spark, path, corpus, more, refresh_missing=True).count() == 3
-    assert spark.read.parquet(path).count() == 3
+    state = generations.latest(spark, path)
+    assert texts.stored_lookup(spark, state).count() == 3 and state.version == 2
+
+
+def test_a_killed_first_write_is_not_read(spark, tmp_path):
+    """Neither Spark's own folder of a killed job nor whole folders that no manifest lists count."""
+    corpus = spark.createDataFrame([("b", "corpus", str(i), None, f"t{i}", 1) for i in range(10)], TEXTS)
+    needed = corpus.select("benchmark", "config", "id")
+    path = str(tmp_path / "lookup")
+    (tmp_path / "lookup" / "lookup-dead" / "_temporary" / "0").mkdir(parents=True)
+    corpus.limit(2).write.parquet(f"{path}/lookup-whole")
+    (tmp_path / "lookup" / generations.MANIFESTS).mkdir()
+    (tmp_path / "lookup" / generations.MANIFESTS / "_draft-x").write_text("{")
+    assert texts.materialised_lookup(spark, path, corpus, needed).count() == 10
+    assert texts.materialised_lookup(spark, path, corpus.limit(0), needed).count() == 10
+
+
+def test_two_first_writers(spark, tmp_path):
+    """The one that is committed first is the table; the other reads it, or adds what it lacks."""
+    corpus = spark.createDataFrame([("b", "corpus", str(i), None, f"t{i}", 1) for i in range(10)], TEXTS)
+    needed = corpus.select("benchmark", "config", "id")
+    path, wins = str(tmp_path / "lookup"), []
+    commit = generations.commit
+
+    def late(*args):
+        if not wins:
+            wins.append(1)
+            monkey.setattr(generations, "commit", commit)
+            texts.materialised_lookup(spark, path, corpus, needed.filter("id < '5'"))
+        return commit(*args)
+
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(generations, "commit", late)
+        assert texts.materialised_lookup(spark, path, corpus, needed).count() == 5
+    assert generations.versions(spark, path) == [1]
+    assert len([p for p in (tmp_path / "lookup").iterdir() if p.name.startswith("lookup-")]) == 1
+    assert texts.materialised_lookup(spark, path, corpus, needed, refresh_missing=True).count() == 10
 
 
 def test_upsert_is_idempotent_and_last_wins(spark):
@@ -221,6 +257,15 @@ def test_names_of_digits_stay_names(spark, tmp_path):
         assert rows(found, "benchmark", "id", "text") == [("007", "1", "t")]
 
 
+def test_csv_is_split_unless_a_field_has_line_breaks(spark, tmp_path):
+    head = '"id","source_text_en","translated_text_sr"\n'
+    (tmp_path / "plain.csv").write_text(head + '"a","say ""x""","y"\n' * 5)
+    (tmp_path / "broken.csv").write_text(head + '"a","x\nz","y"\n')
+    assert [files.has_broken_lines(spark, str(tmp_path / f)) for f in ("plain.csv", "broken.csv")] == [False, True]
+    assert rows(files.ingest_csv(spark, str(tmp_path / "plain.csv"))) == [("a", 'say "x"', "y")] * 5
+    assert rows(files.ingest_csv(spark, str(tmp_path / "broken.csv"))) == [("a", "x\nz", "y")]
+
+
 def test_a_csv_file_with_other_columns_is_an_error(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.csv").write_text("id,source_text_en,translated_text_sr\n1,s,t\n", encoding="utf-8")
