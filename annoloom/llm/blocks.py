@@ -22,6 +22,8 @@ from annoloom.llm.rows import mix
 
 MAX_RANGES = 128
 DOCS_PER_BLOCK = 1024
+BYTES_PER_DOC = 4096        # of text, beyond which a hashed block takes fewer documents
+BYTES_PER_FRAGMENT = 24 << 20    # of text, about a sixth as many n-grams
 NO_BLOCK = -1               # blocks of rows without a document id have this number or a smaller one
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,6 +53,19 @@ def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int
     return rows.withColumn("block", F.coalesce(block, spread).cast("long"))
 
 
+def hashed_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int, *more: Column) -> tuple[DataFrame, int]:
+    """The same columns, with blocks by a hash of id and text, for uses that need no order of blocks; and the bytes
+    of all texts.
+
+    Their number follows from the rows and the bytes of text, so bursts of ids, one id on very many rows and null
+    ids make no large block; only rows that are equal in both stay together.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // docs_per_block), -(-size // (docs_per_block * BYTES_PER_DOC)))
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")), size
+
+
 class Grams:
     """Rolling n-gram hashes of the documents of one block, laid end to end."""
 
@@ -151,6 +166,65 @@ def block_answers(blocked: DataFrame, distinct: Callable[[list, list], np.ndarra
         answer, "block long, fragment long, refs binary, ranks binary, others binary")
 
 
+def shared_levels(blocked: DataFrame, distinct: Callable[[list, list], tuple[np.ndarray, np.ndarray]],
+                  text_bytes: int) -> DataFrame:
+    """For each block and fragment, in how many documents its hashes occur in all, as a power of two.
+
+    ``distinct(ids, texts)`` gives the sorted distinct 64-bit hashes of a block and in how many of its documents each is.
+    The 32 bits below the fragment's are compared, so a level may be too high for a few hashes, but equal hashes have
+    equal levels in all blocks. ``levels`` has a byte for each hash, in the order of the hashes: the binary
+    logarithm of the number of documents, rounded down. The number of fragments grows with the bytes of text.
+    """
+    spark = blocked.sparkSession
+    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(31, max(4, (max(least, -(-text_bytes // BYTES_PER_FRAGMENT)) - 1).bit_length()))
+
+    def send(group: pa.Table) -> pa.Table:
+        block = group.column("block")[0].as_py()
+        hashes, counts = distinct(group.column("doc_id").to_pylist(), group.column("text").to_pylist())
+        top = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        edges = np.searchsorted(top, np.arange((1 << bits) + 1))
+        keys = (hashes >> np.uint64(32 - bits) & np.uint64(0xFFFFFFFF)).astype("<u4")
+        some = np.flatnonzero(np.diff(edges))
+        sent = {"fragment": some, "block": np.full(len(some), block), "keys": [], "at": [], "counts": []}
+        for f in some:
+            part = counts[edges[f]:edges[f + 1]]
+            many = np.flatnonzero(part > 1)                 # most are in one document
+            sent["keys"].append(keys[edges[f]:edges[f + 1]].tobytes())
+            sent["at"].append(many.astype("<u4").tobytes())
+            sent["counts"].append(part[many].astype("<u4").tobytes())
+        return pa.table(sent, schema=sent_schema)
+
+    def answer(group: pa.Table) -> pa.Table:
+        arrays = [np.frombuffer(k, "<u4") for k in group.column("keys").to_pylist()]
+        sizes = np.array([len(a) for a in arrays])
+        ends = np.cumsum(sizes)
+        keys, counts = np.concatenate(arrays), np.ones(int(ends[-1]), dtype=np.int64)
+        for begin, at, many in zip(ends - sizes, group.column("at").to_pylist(), group.column("counts").to_pylist(), strict=True):
+            counts[begin + np.frombuffer(at, "<u4").astype(np.int64)] = np.frombuffer(many, "<u4")
+        order = np.argsort(keys, kind="stable")
+        ranked = keys[order]
+        fresh = np.ones(len(keys), dtype=bool)
+        fresh[1:] = ranked[1:] != ranked[:-1]
+        begins = np.flatnonzero(fresh)
+        total = np.add.reduceat(counts[order], begins)
+        level = np.empty(len(keys), dtype=np.uint8)
+        level[order] = (np.frexp(total.astype(np.float64))[1] - 1)[np.cumsum(fresh) - 1]
+        return pa.table([group.column("block"), group.column("fragment"),
+                         pa.array([level[e - s:e].tobytes() for s, e in zip(sizes, ends, strict=True)], pa.binary())],
+                        names=["block", "fragment", "levels"])
+
+    sent_schema = pa.schema([("fragment", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("at", pa.binary()),
+                             ("counts", pa.binary())])
+    sent = blocked.groupBy("block").applyInArrow(send, "fragment long, block long, keys binary, at binary, counts binary")
+    return sent.groupBy("fragment").applyInArrow(answer, "block long, fragment long, levels binary")
+
+
+def gathered_levels(answers: pa.Table) -> np.ndarray:
+    """The levels of a block's sorted distinct hashes."""
+    return np.frombuffer(b"".join(answers.sort_by("fragment").column("levels").to_pylist()), dtype=np.uint8)
+
+
 def gathered(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(first other block or -1, occurs in any other block) of a block's sorted distinct hashes."""
     refs, others = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=bool)]

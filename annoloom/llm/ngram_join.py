@@ -1,18 +1,19 @@
 """N-gram Jaccard self-join by vertical partitioning, and the components of its links.
 
-1. Blocks (``blocks``): which shingles of a document occur elsewhere at all. A link needs an overlap of
-   at least the threshold times a document's own set, so a document with fewer shared shingles links
-   with nothing. The others go on with their sets; documents with equal sets become one class.
-2. Shingles get a global order, rare ones first, by their exact frequency over classes. Of each class
-   only the first ``n - ceil(t * n) + 1`` shingles can be the first common one of a link (prefix filter);
-   shingles of one class take places there but lead nowhere.
-3. In a first round each prefix shingle pairs its classes with one leader, the one with the largest
+1. Blocks (``blocks``): in how many documents each shingle of a document occurs, as a power of two. A link needs an
+   overlap of at least the threshold times a document's own set, so a document with fewer shared shingles
+   links with nothing. The others go on; documents with equal sets become one class.
+2. Shingles have a global order: by that power of two, rare ones first, then by hash. Of each set only the first
+   ``n - ceil(t * n) + 1`` shingles can be the first common one of a link (prefix filter); shingles of one document
+   take places there but lead nowhere. The blocks write each set's leading shingles and, cut into
+   ``FRAGMENTS`` ranges of the global order, its shared ones.
+3. In a first round each leading shingle pairs its classes with one leader, the one with the largest
    shared part, and the overlaps are counted. In a second, classes that are still in different
    components are paired, unless sizes, shared counts or the partial overlaps with the leader
    (a common shingle is inside its set or outside) already rule a link out. Both rounds together test every pair that could
    join two components, and never all pairs within a group.
-4. Pairs are verified by vertical partitions: the global order is cut into ``FRAGMENTS``, the partial
-   overlap of a pair is counted in each fragment on its own and summed per pair.
+4. Pairs are verified by vertical partitions: the partial overlap of a pair is counted in each fragment of the global
+   order on its own and summed per pair. Only sets of classes in a pair are moved.
 
 Links inside one component that would not change it are not counted by ``ngram_join``; its components are
 those of all links at the threshold. ``ngram_links`` verifies and returns every link between classes.
@@ -34,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annoloom.llm.blocks import DOCS_PER_BLOCK, Grams, block_answers, gathered, with_blocks
+from annoloom.llm.blocks import DOCS_PER_BLOCK, Grams, gathered_levels, hashed_blocks, shared_levels
+from annoloom.operators.heavy import spread_join
 from annoloom.sources import tables
 
 N = 5
@@ -42,69 +44,98 @@ PERCENT = 75
 FRAGMENTS = 8
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))      # A-Z to a-z
 
-_SETS = "doc_id long, text_key binary, n_shingles long, n_shared long, set_key binary, shingles array<long>"
+#: First level of each fragment's range of the global order; the two lowest levels are cut in halves by hash.
+LEVELS = (1, 1, 2, 2, 3, 5, 7, 10)
+_SETS = ("row long, doc_id long, text_key binary, n_shingles long, n_shared long, set_key binary, lead array<long>, "
+         "parts array<array<long>>")
+
+
+def fragment_of(level: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The range of the global order (level, hash) that a shared shingle is in."""
+    upper = (h >> np.uint64(63)).astype(np.int64)
+    high = np.searchsorted(np.array(LEVELS[4:]), level, side="right") + 3
+    return np.where(level <= 2, 2 * (level.astype(np.int64) - 1) + upper, high)
+
+
+def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
+    return -(-n * percent // 100)
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_col: str,
                  text_col: str, text_key: Column | None = None) -> DataFrame:
-    """One row per document; the set itself only where enough of it is shared for a link."""
+    """One row per document; its leading and its shared shingles only where enough of it is shared for a link,
+    and once for each set of a block."""
     key = F.lit(None) if text_key is None else text_key
-    blocked = with_blocks(docs, id_col, text_col, docs_per_block, key.cast("binary").alias("text_key"))
-
-    def grams(texts: list) -> Grams:
-        return Grams(((t or "").encode().translate(LOWER).split() for t in texts), n, True)
+    blocked, text_bytes = hashed_blocks(docs, id_col, text_col, docs_per_block, key.cast("binary").alias("text_key"))
 
-    def distinct(ids: list, texts: list) -> np.ndarray:
-        return np.unique(grams(texts).hashes)
-
-    def finish(ours: pa.Table, answers: pa.Table) -> pa.Table:
-        found = grams(ours.column("text").to_pylist())
-        size = ours.num_rows
+    def sets_of(texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct shingles of each document (hash, document), by document and hash."""
+        found = Grams(((t or "").encode().translate(LOWER).split() for t in texts), n, True)
         order = np.lexsort((found.hashes, found.doc))
         h, d = found.hashes[order], found.doc[order]
         own = np.ones(len(h), dtype=bool)
         own[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-        h, d = h[own], d[own]                               # each document's set, sorted
-        _, inverse, here = np.unique(h, return_inverse=True, return_counts=True)
-        _, others = gathered(answers)
-        shared = (here > 1)[inverse]
-        if len(others):
-            shared = shared | others[inverse]
+        return h[own], d[own]
+
+    def distinct(ids: list, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(sets_of(texts)[0], return_counts=True)
+
+    def finish(key: tuple, ours: pa.Table, answers: pa.Table) -> pa.Table:
+        h, d = sets_of(ours.column("text").to_pylist())
+        size = ours.num_rows
+        level = gathered_levels(answers)[np.unique(h, return_inverse=True)[1]] if len(h) else np.zeros(0, dtype=np.uint8)
         edges = np.searchsorted(d, np.arange(size + 1))
         n_set = np.diff(edges)
-        n_shared = np.bincount(d[shared], minlength=size)
-        keys, sets = [], []
-        for i in range(size):
-            one = h[edges[i]:edges[i + 1]]
-            alive = n_set[i] and 100 * n_shared[i] >= percent * n_set[i]
-            keys.append(hashlib.sha1(one.tobytes()).digest() if alive else None)
-            sets.append(one.view(np.int64) if alive else None)
-        return pa.table([ours.column("doc_id"), ours.column("text_key"), pa.array(n_set, pa.int64()),
-                         pa.array(n_shared, pa.int64()), pa.array(keys, pa.binary()),
-                         pa.array(sets, pa.list_(pa.int64()))],
-                        names=["doc_id", "text_key", "n_shingles", "n_shared", "set_key", "shingles"])
-
-    answers = block_answers(blocked, distinct, exact=False)
+        n_shared = np.bincount(d[level > 0], minlength=size)
+        alive = (n_set > 0) & (100 * n_shared >= percent * n_set)
+        keys, seen, writes = [None] * size, set(), np.zeros(size, dtype=bool)
+        for i in np.flatnonzero(alive):
+            keys[i] = hashlib.sha1(h[edges[i]:edges[i + 1]].tobytes()).digest()
+            writes[i] = keys[i] not in seen
+            seen.add(keys[i])
+        used = (level > 0) & writes[d]
+        h, d, level = h[used], d[used], level[used]
+        order = np.lexsort((h, level, d))                   # each set in the global order
+        h, d, level = h[order].view(np.int64), d[order], level[order]
+        slot = d * FRAGMENTS + fragment_of(level, h.view(np.uint64))
+        begins = np.searchsorted(d, np.arange(size + 1))
+        prefix = n_shared - least_overlap(n_set, percent) + 1
+        leading = np.arange(len(d)) - begins[d] < prefix[d]
+        ends = np.searchsorted(slot, np.arange(size * FRAGMENTS + 1))
+        inner = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h))
+        parts = pa.ListArray.from_arrays(_offsets(np.arange(size + 1) * FRAGMENTS, writes), inner)
+        lead = pa.ListArray.from_arrays(_offsets(np.searchsorted(d[leading], np.arange(size + 1)), writes), pa.array(h[leading]))
+        rows = (np.int64(key[0].as_py()) << np.int64(32)) + np.arange(size)
+        return pa.table([pa.array(rows), ours.column("doc_id"), ours.column("text_key"), pa.array(n_set, pa.int64()),
+                         pa.array(n_shared, pa.int64()), pa.array(keys, pa.binary()), lead, parts],
+                        names=["row", "doc_id", "text_key", "n_shingles", "n_shared", "set_key", "lead", "parts"])
+
+    answers = shared_levels(blocked, distinct, text_bytes)
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda ours, theirs: finish(ours, theirs), _SETS)
+        lambda key, ours, theirs: finish(key, ours, theirs), _SETS)
 
 
-def fragment_of(h: Column) -> Column:
-    """The part of the global order that a shingle is in."""
-    return F.shiftrightunsigned(h, 64 - (FRAGMENTS.bit_length() - 1))
+def _offsets(at: np.ndarray, there: np.ndarray) -> pa.Array:
+    """List offsets with nulls where there is no list."""
+    return pa.array(at, pa.int32(), mask=np.append(~there, False))
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, o, parts): set sizes and overlap of the pairs (a, b), in all and by fragment."""
-    cut = (sets.select("rep", "n", F.explode("shingles").alias("h"))
-           .groupBy("rep", "n", fragment_of(F.col("h")).alias("fragment"))
-           .agg(F.collect_list("h").alias("part")))
+    """(a, b, na, nb, o, parts): set sizes and overlap of the pairs (a, b), in all and by fragment.
+
+    Of ``sets`` (rep, n, parts) only those in a pair are moved, a fragment's array at a time; of a fragment that
+    one of the two has nothing in there is no row to compare.
+    """
+    both = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    cut = (sets.join(both, "rep", "left_semi").select("rep", "n", F.posexplode("parts").alias("fragment", "part"))
+           .filter(F.size("part") > 0))
     left = cut.select(F.col("rep").alias("a"), F.col("n").alias("na"), "fragment", F.col("part").alias("pa"))
     right = cut.select(F.col("rep").alias("b"), F.col("n").alias("nb"), "fragment", F.col("part").alias("pb"))
     partial = F.size(F.array_intersect("pa", "pb"))
     return (pairs.join(left, "a").join(right, ["b", "fragment"])
+            .select("a", "b", "na", "nb", "fragment", partial.alias("common"))
             .groupBy("a", "b", "na", "nb")
-            .agg(F.sum(partial).alias("o"), *[F.sum(F.when(F.col("fragment") == f, partial).otherwise(0)).cast("int")
+            .agg(F.sum("common").alias("o"), *[F.sum(F.when(F.col("fragment") == f, F.col("common")).otherwise(0)).cast("int")
                                               .alias(f"o{f}") for f in range(FRAGMENTS)])
             .select("a", "b", "na", "nb", "o", F.array(*[f"o{f}" for f in range(FRAGMENTS)]).alias("parts")))
 
@@ -137,57 +168,47 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def class_components(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, label) of the classes that some link joins; ``sets`` has rep, n and shingles."""
-    tokens = sets.select("rep", "n", F.explode("shingles").alias("h"))
-    # a shingle of one class leads nowhere
-    common = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") > 1)
-    ranked = (tokens.join(common, "h").groupBy("rep", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("order"))
-              .withColumn("s", F.size("order").cast("long"))
-              .filter(100 * F.col("s") >= percent * F.col("n")))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("s"))
-    # shared shingles of each class by fragment
-    cut = F.transform("order", lambda t: fragment_of(t["h"]).cast("int"))
-    shared = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
-                         lambda f: F.size(F.filter("cut", lambda c: c == f)))
-    entries = tables.stage(
-        ranked.filter(prefix > 0).withColumn("cut", cut).withColumn("parts", shared)
-        .select("rep", "n", "s", "parts", F.explode(F.slice("order", F.lit(1), prefix.cast("int"))).alias("t"))
-        .select("rep", "n", "s", "parts", F.col("t.h").alias("h")), "prefixes")
-    sets = tables.stage(sets.join(entries.select("rep").distinct(), "rep", "left_semi"), "sets")
+    """(rep, label) of the classes that some link joins; ``sets`` is a staged table of ``class_sets``."""
+    sizes = F.transform("parts", lambda p: F.size(p))
+    entries = tables.stage(sets.select("rep", "n", "s", F.explode("lead").alias("h")), "prefixes")
 
     def possible(n_a, s_a, n_b, s_b):
         """Overlap cannot exceed either shared count, nor the smaller set."""
         most = F.least(s_a, s_b, n_a, n_b)
         return (100 + percent) * most >= percent * (n_a + n_b)
 
-    lead = entries.groupBy("h").agg(
+    # of a shingle's classes the one with the largest shared part leads; a shingle of one class leads nowhere
+    lead = tables.stage(entries.groupBy("h").agg(
         F.max(F.struct((F.col("s") / F.col("n")).alias("part"), (-F.col("rep")).alias("rep"), "n", "s"))
         .alias("l"), F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
-    first = (entries.join(lead, "h")
-             .select("rep", "n", "s", (-F.col("l.rep")).alias("lead"), F.col("l.n").alias("ln"), F.col("l.s").alias("ls"))
-             .filter(F.col("rep") != F.col("lead"))
-             .filter(possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls")))
-             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+        .select("h", (-F.col("l.rep")).alias("lead"), F.col("l.n").alias("ln"), F.col("l.s").alias("ls")), "leaders")
+    led = spread_join(entries, lead, ["h"], deal_by=["rep"])
+    first = tables.stage(
+        led.filter((F.col("rep") != F.col("lead")) & possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls")))
+        .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct(), "pairs")
     counted = tables.stage(overlaps(first, sets), "overlaps")
     links = linked(counted, percent)
     labels = components(sets, links)
 
-    # each entry with its partial overlaps with the leader of its shingle, where they were counted
+    # of a shingle's classes, those outside its largest component are paired with all others
+    labelled = tables.stage(
+        led.select("rep", "n", "s", "h", "lead").join(labels, "rep", "left")
+        .withColumn("label", F.coalesce("label", "rep")), "labelled")
+    per_label = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
+    mixed = tables.stage(
+        per_label.groupBy("h").agg(F.max(F.struct("m", "label")).alias("big"), F.count(F.lit(1)).alias("labels"),
+                                   F.min("least").alias("least"))
+        .filter(F.col("labels") > 1).select("h", F.col("big.label").alias("big"), "least"), "mixed")
+    if mixed.isEmpty():
+        return labels
+    # each entry there with its partial overlaps with the leader of its shingle, where they were counted
     with_leader = counted.select("a", "b", F.col("parts").alias("inner")) \
         .union(counted.select(F.col("b"), F.col("a"), "parts")).toDF("lead", "rep", "inner")
     inner = F.when(F.col("lead") == F.col("rep"), F.col("parts")).otherwise(F.col("inner"))
-    labelled = tables.stage(
-        entries.join(lead.select("h", (-F.col("l.rep")).alias("lead")), "h").join(with_leader, ["lead", "rep"], "left")
-        .join(labels, "rep", "left")
-        .select("rep", "n", "s", "parts", "h", inner.alias("inner"), F.coalesce("label", "rep").alias("label")),
-        "labelled")
-    # of a shingle's classes, those outside its largest component are paired with all others
-    sizes = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
-    mixed = sizes.groupBy("h").agg(F.max(F.struct("m", "label")).alias("big"), F.count(F.lit(1)).alias("labels"),
-                                   F.min("least").alias("least")) \
-        .filter(F.col("labels") > 1).select("h", F.col("big.label").alias("big"), "least")
-    here = labelled.join(mixed, "h")
+    here = tables.stage(
+        spread_join(labelled, mixed, ["h"], deal_by=["rep"])
+        .join(sets.select("rep", sizes.alias("parts")), "rep").join(with_leader, ["lead", "rep"], "left")
+        .select("rep", "n", "s", "parts", "h", inner.alias("inner"), "label", "big", "least"), "mixed-entries")
     # no partner is smaller than the smallest class of the shingle
     small = here.filter((F.col("label") != F.col("big"))
                         & ((100 + percent) * F.col("s") >= percent * (F.col("n") + F.col("least"))))
@@ -204,6 +225,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
                       & F.coalesce((100 + percent) * around >= percent * (F.col("n") + F.col("n2")), F.lit(True)))
               .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
               .join(counted, ["a", "b"], "left_anti"))
+    second = tables.stage(second, "pairs")
     more = tables.stage(linked(overlaps(second, sets), percent), "links")
     if more.isEmpty():
         return labels
@@ -211,33 +233,35 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def numbered_classes(staged: DataFrame) -> DataFrame:
-    """(set_key, least, copies, rep) of the classes that may have links.
+    """(set_key, least, copies, row, rep) of the classes that may have links.
 
-    ``least`` is the smallest id, null where no row has one. ``rep`` numbers the classes in the order
-    of ``least``, nulls last, so the smallest number of a component is the class with its smallest id.
+    ``least`` is the smallest id, null where no row has one, and ``row`` a row that has the set. ``rep`` numbers the
+    classes in the order of ``least``, nulls last, so the smallest number of a component is the class with its
+    smallest id.
     """
     tasks = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = (F.asc_nulls_last("least"), F.asc("set_key"))
     classes = (staged.filter(F.col("set_key").isNotNull())
-               .groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")))
+               .groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
+                                       F.min(F.when(F.col("lead").isNotNull(), F.col("row"))).alias("row")))
     return tables.stage(classes.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
                         .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
 
 def class_sets(staged: DataFrame, classes: DataFrame) -> DataFrame:
-    """(rep, n, shingles) of every class."""
-    own = classes.select(F.col("set_key").alias("key"), "least", "rep")
-    return (staged.join(own, (F.col("set_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("least")))
-            .groupBy("rep").agg(F.first("n_shingles").alias("n"), F.first("shingles").alias("shingles")))
+    """(rep, n, s, lead, parts) of every class."""
+    written = staged.filter(F.col("lead").isNotNull()).select(
+        "row", F.col("n_shingles").alias("n"), F.col("n_shared").alias("s"), "lead", "parts")
+    return tables.stage(written.join(classes.select("row", "rep"), "row").drop("row"), "sets")
 
 
 def placed_classes(staged: DataFrame, percent: int) -> DataFrame:
-    """(set_key, least, component, component_id): the number and the smallest id of each class's component."""
+    """(set_key, least, copies, component, component_id): the number and the smallest id of each class's component."""
     classes = numbered_classes(staged)
     labels = class_components(class_sets(staged, classes), percent)
     ids = classes.select(F.col("rep").alias("label"), F.col("least").alias("component_id"))
     return (classes.join(labels.join(ids, "label"), "rep", "left")
-            .select("set_key", "least", F.coalesce("label", "rep").alias("component"),
+            .select("set_key", "least", "copies", F.coalesce("label", "rep").alias("component"),
                     F.coalesce("component_id", "least").alias("component_id")))
 
 
@@ -245,22 +269,18 @@ def ngram_links(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_bl
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every link between two classes: (set_key, other_key, class_id, other_id, copies, other_copies, overlap).
 
-    Each pair of classes that a link joins is there once. All classes that share a prefix shingle are compared, so time
+    Each pair of classes that a link joins is there once. All classes that share a leading shingle are compared, so time
     and result grow with the square of a group of different near copies; copies of one set are one class.
     """
     staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col), "shingles")
     classes = numbered_classes(staged)
-    sets = tables.stage(class_sets(staged, classes), "sets")
-    tokens = sets.select("rep", "n", F.explode("shingles").alias("h"))
-    df = tokens.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(df, "h").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("order"))
-    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    entries = tables.stage(ranked.select("rep", "n", F.explode(F.slice("order", F.lit(1), prefix)).alias("t"))
-                           .filter(F.col("t.df") > 1).select("rep", "n", F.col("t.h").alias("h")), "prefixes")
+    sets = class_sets(staged, classes)
+    entries = tables.stage(sets.select("rep", "n", F.explode("lead").alias("h")), "prefixes")
     other = entries.toDF("b", "n2", "h")
-    pairs = (entries.withColumnRenamed("rep", "a").join(other, "h")
-             .filter((F.col("a") < F.col("b")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
-             .select("a", "b").distinct())
+    pairs = tables.stage(
+        entries.withColumnRenamed("rep", "a").join(other, "h")
+        .filter((F.col("a") < F.col("b")) & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
+        .select("a", "b").distinct(), "pairs")
     found = overlaps(pairs, sets).filter((100 + percent) * F.col("o") >= percent * (F.col("na") + F.col("nb")))
     one = classes.select(F.col("rep").alias("a"), "set_key", F.col("least").alias("class_id"), "copies")
     two = one.toDF("b", "other_key", "other_id", "other_copies")
@@ -275,8 +295,9 @@ def ngram_join(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_blo
     ``class_id`` is the smallest id with an equal set; empty sets are equal to no other.
     """
     staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col), "shingles")
-    placed = placed_classes(staged, percent)
-    return (staged.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
+    placed = tables.stage(placed_classes(staged, percent).select("set_key", "least", "component_id"), "placed")
+    rows = staged.select("doc_id", "n_shingles", "set_key")
+    return (spread_join(rows, placed, ["set_key"], "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                     F.coalesce("least", "doc_id").alias("class_id")))
 
@@ -287,18 +308,27 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block
 
     Rows are told apart by id and text; of rows that are equal in both, any one stays. A row with a null
     id stays only where no equal or similar one has an id. Rows with an empty set all stay.
+
+    The first row of a component is found among the first rows of its classes; rows meet their class, with the
+    copies of a large one dealt over cells, and no join is keyed by the component.
     """
     doc_id, text_key = F.col(id_col).cast("long"), F.unhex(F.sha1(F.col(text_col)))
     staged = tables.stage(shingle_sets(docs, n, percent, docs_per_block, id_col, text_col, text_key), "shingles")
-    placed = placed_classes(staged, percent).select("set_key", "component")
-    rows = tables.stage(staged.select("doc_id", "text_key", "set_key").join(placed, "set_key")
-                        .groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies")), "rows")
-    first = rows.groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first"),
-        F.sum("copies").alias("size")).filter(F.col("size") > 1)
-    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    fate = tables.stage(rows.join(first, "component").select(
-        F.col("doc_id").alias("fate_id"), F.col("text_key").alias("fate_key"), "copies", is_first.alias("stays")), "fate")
+    alive = staged.filter(F.col("set_key").isNotNull())
+    placed = placed_classes(staged, percent).select("set_key", "component", "copies")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    first_of_class = alive.groupBy("set_key").agg(F.min(order).alias("first"))
+    of_class = tables.stage(placed.join(first_of_class, "set_key"), "firsts")
+    winners = of_class.groupBy("component").agg(F.min("first").alias("first"), F.sum("copies").alias("size")) \
+        .filter(F.col("size") > 1).withColumnRenamed("first", "wins")
+    # classes of components with more than one row, and their first row if the component's is theirs
+    judged = tables.stage(spread_join(of_class, winners, ["component"], deal_by=["set_key"])
+                          .select("set_key", F.when(F.col("first") == F.col("wins"), F.col("wins")).alias("wins")), "winners")
+    rows = spread_join(alive.select("doc_id", "text_key", "set_key"), judged, ["set_key"])
+    stays = F.col("doc_id").eqNullSafe(F.col("wins.doc_id")) & (F.col("text_key") == F.col("wins.text_key"))
+    fate = tables.stage(rows.select(F.col("doc_id").alias("fate_id"), F.col("text_key").alias("fate_key"),
+                                    F.coalesce(stays, F.lit(False)).alias("stays"))
+                        .groupBy("fate_id", "fate_key", "stays").agg(F.count(F.lit(1)).alias("copies")), "fate")
 
     def among(some: DataFrame, how: str) -> DataFrame:
         return docs.join(some, doc_id.eqNullSafe(some["fate_id"]) & (text_key == some["fate_key"]), how)
