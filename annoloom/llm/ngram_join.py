@@ -5,8 +5,8 @@
    links with nothing. The others go on; documents with equal sets become one class.
 2. Shingles have a global order: by that power of two, rare ones first, then by hash. Of each set only the first
    ``n - ceil(t * n) + 1`` shingles can be the first common one of a link (prefix filter); shingles of one document
-   take places there but lead nowhere. The blocks write each set's leading shingles and, cut into
-   ``FRAGMENTS`` ranges of the global order, its shared ones.
+   take places there but lead nowhere. The blocks write each set's leading shingles and, cut into ``FRAGMENTS``, its
+   shared ones: the order is cut at powers of two, and each part into ranges of the hash.
 3. In a first round each leading shingle pairs its classes with one leader, the one with the largest
    shared part, and the overlaps are counted. In a second, classes that are still in different
    components are paired, unless sizes, shared counts or the partial overlaps with the leader
@@ -41,20 +41,21 @@ from annoloom.sources import tables
 
 N = 5
 PERCENT = 75
-FRAGMENTS = 8
+#: How the global order is cut: (first level, ranges of the hash) of each group of levels, rare shingles first.
+CUTS = ((1, 2), (2, 2), (4, 4), (7, 8))
+FRAGMENTS = sum(ranges for _, ranges in CUTS)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))      # A-Z to a-z
 
-#: First level of each fragment's range of the global order; the two lowest levels are cut in halves by hash.
-LEVELS = (1, 1, 2, 2, 3, 5, 7, 10)
 _SETS = ("row long, doc_id long, text_key binary, n_shingles long, n_shared long, set_key binary, lead array<long>, "
          "parts array<array<long>>")
 
 
 def fragment_of(level: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The range of the global order (level, hash) that a shared shingle is in."""
-    upper = (h >> np.uint64(63)).astype(np.int64)
-    high = np.searchsorted(np.array(LEVELS[4:]), level, side="right") + 3
-    return np.where(level <= 2, 2 * (level.astype(np.int64) - 1) + upper, high)
+    """The fragment that a shared shingle is in: its group of levels, and its range of the hash in there."""
+    group = np.searchsorted(np.array([first for first, _ in CUTS]), level, side="right") - 1
+    ranges = np.array([n for _, n in CUTS])
+    bits = np.log2(ranges).astype(np.uint64)[group]
+    return (np.cumsum(ranges) - ranges)[group] + (h >> (np.uint64(64) - bits)).astype(np.int64)
 
 
 def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
@@ -95,16 +96,20 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
             seen.add(keys[i])
         used = (level > 0) & writes[d]
         h, d, level = h[used], d[used], level[used]
+        fragment = fragment_of(level, h)
         order = np.lexsort((h, level, d))                   # each set in the global order
-        h, d, level = h[order].view(np.int64), d[order], level[order]
-        slot = d * FRAGMENTS + fragment_of(level, h.view(np.uint64))
+        lead_of, leading = d[order], h[order].view(np.int64)
+        order = np.lexsort((h, fragment, d))
+        h, d = h[order].view(np.int64), d[order]
+        slot = d * FRAGMENTS + fragment[order]
         begins = np.searchsorted(d, np.arange(size + 1))
         prefix = n_shared - least_overlap(n_set, percent) + 1
-        leading = np.arange(len(d)) - begins[d] < prefix[d]
+        first = np.arange(len(d)) - begins[lead_of] < prefix[lead_of]
+        leading, lead_of = leading[first], lead_of[first]
         ends = np.searchsorted(slot, np.arange(size * FRAGMENTS + 1))
         inner = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h))
         parts = pa.ListArray.from_arrays(_offsets(np.arange(size + 1) * FRAGMENTS, writes), inner)
-        lead = pa.ListArray.from_arrays(_offsets(np.searchsorted(d[leading], np.arange(size + 1)), writes), pa.array(h[leading]))
+        lead = pa.ListArray.from_arrays(_offsets(np.searchsorted(lead_of, np.arange(size + 1)), writes), pa.array(leading))
         rows = (np.int64(key[0].as_py()) << np.int64(32)) + np.arange(size)
         return pa.table([pa.array(rows), ours.column("doc_id"), ours.column("text_key"), pa.array(n_set, pa.int64()),
                          pa.array(n_shared, pa.int64()), pa.array(keys, pa.binary()), lead, parts],
@@ -167,16 +172,40 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels
 
 
+def possible(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) -> Column:
+    """Overlap cannot exceed either shared count, nor the smaller set."""
+    most = F.least(s_a, s_b, n_a, n_b)
+    return (100 + percent) * most >= percent * (n_a + n_b)
+
+
+def remaining_pairs(here: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes with a common leading shingle in different components that may have a link.
+
+    ``here`` has the entries of shingles whose classes are in several components; classes outside a shingle's largest
+    component meet all others.
+    """
+    # no partner is smaller than the smallest class of the shingle
+    small = here.filter((F.col("label") != F.col("big"))
+                        & ((100 + percent) * F.col("s") >= percent * (F.col("n") + F.col("least"))))
+    other = here.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("s").alias("s2"),
+                        F.col("parts").alias("parts2"), F.col("inner").alias("inner2"), F.col("label").alias("label2"))
+    # in each fragment, what two sets share is inside the leader's set, or outside and shared with some class
+    around = sum((F.least(F.col("inner")[f], F.col("inner2")[f])
+                  + F.least(F.col("parts")[f] - F.col("inner")[f], F.col("parts2")[f] - F.col("inner2")[f])
+                  for f in range(FRAGMENTS)), F.lit(0))
+    return (small.join(other, "h")
+              .filter((F.col("label") != F.col("label2"))
+                      & ((F.col("label2") == F.col("big")) | (F.col("rep") < F.col("rep2")))
+                      & possible(F.col("n"), F.col("s"), F.col("n2"), F.col("s2"), percent)
+                      & F.coalesce((100 + percent) * around >= percent * (F.col("n") + F.col("n2")), F.lit(True)))
+              .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
+
+
 def class_components(sets: DataFrame, percent: int) -> DataFrame:
     """(rep, label) of the classes that some link joins; ``sets`` is a staged table of ``class_sets``."""
     sizes = F.transform("parts", lambda p: F.size(p))
     entries = tables.stage(sets.select("rep", "n", "s", F.explode("lead").alias("h")), "prefixes")
 
-    def possible(n_a, s_a, n_b, s_b):
-        """Overlap cannot exceed either shared count, nor the smaller set."""
-        most = F.least(s_a, s_b, n_a, n_b)
-        return (100 + percent) * most >= percent * (n_a + n_b)
-
     # of a shingle's classes the one with the largest shared part leads; a shingle of one class leads nowhere
     lead = tables.stage(entries.groupBy("h").agg(
         F.max(F.struct((F.col("s") / F.col("n")).alias("part"), (-F.col("rep")).alias("rep"), "n", "s"))
@@ -184,7 +213,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
         .select("h", (-F.col("l.rep")).alias("lead"), F.col("l.n").alias("ln"), F.col("l.s").alias("ls")), "leaders")
     led = spread_join(entries, lead, ["h"], deal_by=["rep"])
     first = tables.stage(
-        led.filter((F.col("rep") != F.col("lead")) & possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls")))
+        led.filter((F.col("rep") != F.col("lead")) & possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls"), percent))
         .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct(), "pairs")
     counted = tables.stage(overlaps(first, sets), "overlaps")
     links = linked(counted, percent)
@@ -209,23 +238,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
         spread_join(labelled, mixed, ["h"], deal_by=["rep"])
         .join(sets.select("rep", sizes.alias("parts")), "rep").join(with_leader, ["lead", "rep"], "left")
         .select("rep", "n", "s", "parts", "h", inner.alias("inner"), "label", "big", "least"), "mixed-entries")
-    # no partner is smaller than the smallest class of the shingle
-    small = here.filter((F.col("label") != F.col("big"))
-                        & ((100 + percent) * F.col("s") >= percent * (F.col("n") + F.col("least"))))
-    other = here.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("s").alias("s2"),
-                        F.col("parts").alias("parts2"), F.col("inner").alias("inner2"), F.col("label").alias("label2"))
-    # in each fragment, what two sets share is inside the leader's set, or outside and shared with some class
-    around = sum((F.least(F.col("inner")[f], F.col("inner2")[f])
-                  + F.least(F.col("parts")[f] - F.col("inner")[f], F.col("parts2")[f] - F.col("inner2")[f])
-                  for f in range(FRAGMENTS)), F.lit(0))
-    second = (small.join(other, "h")
-              .filter((F.col("label") != F.col("label2"))
-                      & ((F.col("label2") == F.col("big")) | (F.col("rep") < F.col("rep2")))
-                      & possible(F.col("n"), F.col("s"), F.col("n2"), F.col("s2"))
-                      & F.coalesce((100 + percent) * around >= percent * (F.col("n") + F.col("n2")), F.lit(True)))
-              .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-              .join(counted, ["a", "b"], "left_anti"))
-    second = tables.stage(second, "pairs")
+    second = tables.stage(remaining_pairs(here, percent).distinct().join(counted, ["a", "b"], "left_anti"), "pairs")
     more = tables.stage(linked(overlaps(second, sets), percent), "links")
     if more.isEmpty():
         return labels
