@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annoloom.llm.rows import Memo, arrow_schema, record_batch, slices
+from annoloom.llm.rows import arrow_schema, record_batch, slices
 from annoloom.llm.token_counts import ODD, byte_letters, load
 
 WINDOW = 4096
@@ -38,7 +37,7 @@ OPEN_WINDOWS = 64
 END_ID = 2
 SMALL_GAP = 8           # a window with at most this much room left is emitted as it is
 GROUP = 64              # partitions whose rests are merged together
-MEMO = 150_000          # encoded parts kept in each task, twice
+MEMO = 300_000          # encoded parts kept in each task, and those of one more batch
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|"
                    r"[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
@@ -48,6 +47,54 @@ _ROUTED = PIECES + ", route long, rest binary"
 WITH_IDS = PIECES + ", ids array<int>"
 
 
+class PartTable(dict):
+    """Numbers of parts, given as they are asked for; ``ids_of`` turns numbers into token ids.
+
+    One look-up per part of a text is all that a known part costs. The table starts anew once it is full.
+    """
+
+    def __init__(self, tokenize, size: int):
+        super().__init__()
+        self.tokenize, self.size = tokenize, size
+        self._empty()
+
+    def _empty(self) -> None:
+        self.clear()
+        self.fresh: list[str] = []
+        self.pool = np.empty(1 << 12, dtype=np.uint32)
+        self.ends = np.zeros(1 << 10, dtype=np.int64)       # ends[i + 1] is where the ids of part i end
+
+    def __missing__(self, part: str) -> int:
+        number = self[part] = len(self)
+        self.fresh.append(part)
+        return number
+
+    def numbers(self, texts: list[list[str] | None]) -> list[np.ndarray | None]:
+        """The numbers of the parts of each text; all of them are valid until the next call."""
+        if len(self) >= self.size:
+            self._empty()
+        get = self.__getitem__
+        found = [None if t is None else np.fromiter(map(get, t), dtype=np.int64, count=len(t)) for t in texts]
+        if self.fresh:
+            tokenize, first = self.tokenize, len(self) - len(self.fresh)
+            ids = [[t.id for t in tokenize(byte_letters(p))] for p in self.fresh]
+            self.fresh = []
+            if len(self.ends) <= len(self):
+                self.ends = np.resize(self.ends, 2 * len(self) + 1)
+            np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)), out=self.ends[first + 1:len(self) + 1])
+            self.ends[first + 1:len(self) + 1] += self.ends[first]
+            if self.ends[len(self)] > len(self.pool):
+                self.pool = np.resize(self.pool, 2 * int(self.ends[len(self)]))
+            self.pool[self.ends[first]:self.ends[len(self)]] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32)
+        return found
+
+    def ids_of(self, which: np.ndarray) -> np.ndarray:
+        begins = self.ends[which]
+        own = self.ends[which + 1] - begins
+        ends = np.cumsum(own)
+        return self.pool[np.repeat(begins - ends + own, own) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Encoder:
     """Token ids of whole texts by way of their parts.
 
@@ -57,31 +104,18 @@ class Encoder:
     """
 
     def __init__(self, path: str, memo_size: int = MEMO):
-        self.tokenizer, self.parts = load(path), Memo(memo_size)
-
-    def part_ids(self, parts: list[str]) -> list[bytes]:
-        tokenize = self.tokenizer.model.tokenize
-        return [array("I", [t.id for t in tokenize(byte_letters(p))]).tobytes() for p in parts]
+        self.tokenizer = load(path)
+        self.parts = PartTable(self.tokenizer.model.tokenize, memo_size)
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """For each text its ids, without the end token."""
         texts = [t or "" for t in texts]
-        cut = [None if ODD.search(t) else PARTS.findall(t.lower()) for t in texts]
-        distinct = list(dict.fromkeys(chain.from_iterable(c for c in cut if c)))
-        ids = self.parts.values(distinct, self.part_ids)
-        pool = np.frombuffer(b"".join(ids), np.uint32)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        begins = np.cumsum(sizes) - sizes
-        number = dict(zip(distinct, range(len(distinct)), strict=True)).__getitem__
-        for text, parts in zip(texts, cut, strict=True):
-            if parts is None:
+        numbers = self.parts.numbers([None if ODD.search(t) else PARTS.findall(t.lower()) for t in texts])
+        for text, which in zip(texts, numbers, strict=True):
+            if which is None:
                 yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-                continue
-            which = np.fromiter(map(number, parts), dtype=np.int64, count=len(parts))
-            own = sizes[which]
-            ends = np.cumsum(own)
-            total = int(ends[-1]) if len(ends) else 0
-            yield pool[np.repeat(begins[which] - ends + own, own) + np.arange(total)]
+            else:
+                yield self.parts.ids_of(which)
 
 
 #: doc_id, first token, ids, tokens of the document
