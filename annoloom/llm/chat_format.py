@@ -1,8 +1,9 @@
 """Chat formatting: any of several record layouts to one turn template with a loss mask.
 
 A record is JSON of some layout: a prompt and a completion, an instruction with or without input, a
-list of messages, one message per row. Its fingerprint is a hash of its nested field paths (those
-that some layout knows; extra fields do not count). The fingerprint selects a declarative
+list of messages, one message per row. Its fingerprint is a hash of its nested field paths: those that any layout
+knows, or, if that selects none, those that one layout knows, layout by layout in their order; so extra fields do not
+count, also where another layout has a field of that name. The fingerprint selects a declarative
 ``Layout`` that lists where roles and texts are, so a new layout is a table entry, not code.
 
 Turns are then written as ``<|im_start|>role newline text<|im_end|> newline``. A ``<``, any
@@ -14,7 +15,8 @@ rows are dealt by conversation, sorted, and streamed, so one with very many turn
 
 Odd input: a null text is empty, a null role is the empty role, a null order comes first; turns with
 equal order are put in order of role and text; repeated rows are repeated turns. A record whose
-layout is unknown, or that is no JSON object, gives one row with a null layout and no turn. Rows
+layout is unknown, that is no JSON object, that has anything but objects in its list of messages, that is nested too
+deep to be read, or whose texts are no Unicode (half a surrogate pair), gives one row with a null layout and no turn. Rows
 with a null conversation id form one conversation. An empty table gives an empty result.
 """
 
@@ -54,15 +56,18 @@ class Layout(NamedTuple):
 LAYOUTS = (
     Layout("message_row", ("role", "text"), (), (("", "role", "text"),)),
     Layout("content_row", ("role", "content"), (), (("", "role", "content"),)),
-    Layout("messages", ("messages[].role", "messages[].content"), (), (("messages", "role", "content"),)),
+    Layout("messages", ("messages[].role", "messages[].content"), ("system",),
+           (("system", ("system",)), ("messages", "role", "content"))),
     Layout("conversations", ("conversations[].from", "conversations[].value"), ("system",),
            (("system", ("system",)), ("conversations", "from", "value"))),
-    Layout("prompt_completion", ("prompt", "completion"), (), (("user", ("prompt",)), (ASSISTANT, ("completion",)))),
+    Layout("prompt_completion", ("prompt", "completion"), ("system",),
+           (("system", ("system",)), ("user", ("prompt",)), (ASSISTANT, ("completion",)))),
     Layout("prompt_response", ("prompt", "response"), ("system",),
            (("system", ("system",)), ("user", ("prompt",)), (ASSISTANT, ("response",)))),
     Layout("instruction", ("instruction", "output"), ("input", "system"),
            (("system", ("system",)), ("user", ("instruction", "input")), (ASSISTANT, ("output",)))),
-    Layout("question_answer", ("question", "answer"), (), (("user", ("question",)), (ASSISTANT, ("answer",)))),
+    Layout("question_answer", ("question", "answer"), ("system",),
+           (("system", ("system",)), ("user", ("question",)), (ASSISTANT, ("answer",)))),
 )
 KNOWN = frozenset(p for layout in LAYOUTS for p in layout.required + layout.optional)
 
@@ -79,13 +84,22 @@ def field_paths(value, prefix: str = "") -> Iterator[str]:
         yield prefix
 
 
-def fingerprint(paths) -> str:
-    return hashlib.sha1("\n".join(sorted(KNOWN.intersection(paths))).encode()).hexdigest()
+def fingerprint(paths, known: frozenset[str] = KNOWN) -> str:
+    return hashlib.sha1("\n".join(sorted(known.intersection(paths))).encode()).hexdigest()
 
 
 MAPPINGS = {fingerprint(layout.required + chosen): layout
             for layout in LAYOUTS for k in range(len(layout.optional) + 1)
             for chosen in combinations(layout.optional, k)}
+OWN = [(layout, frozenset(layout.required + layout.optional)) for layout in LAYOUTS]
+
+
+def layout_of(paths: set[str]) -> Layout | None:
+    """The layout that the fingerprint selects: of all known fields, else of those of one layout."""
+    found = MAPPINGS.get(fingerprint(paths))
+    if found is not None:
+        return found
+    return next((layout for layout, known in OWN if MAPPINGS.get(fingerprint(paths, known)) is layout), None)
 
 
 def _text(value) -> str:
@@ -95,14 +109,20 @@ def _text(value) -> str:
 
 
 def turns_of(payload: str | None) -> tuple[str | None, list[tuple[str, str]]]:
-    """The name of the layout and the canonical turns of one record."""
+    """The name of the layout and the canonical turns of one record; (None, []) for what no layout reads."""
     try:
         record = json.loads(payload or "")
-    except ValueError:
-        return None, []
-    layout = MAPPINGS.get(fingerprint(field_paths(record))) if isinstance(record, dict) else None
-    if layout is None:
+        layout = layout_of(set(field_paths(record))) if isinstance(record, dict) else None
+        if layout is None:
+            return None, []
+        turns = _turns(record, layout)
+        "".join(role + text for role, text in turns).encode()       # half a surrogate pair is no text
+    except (ValueError, AttributeError, KeyError, TypeError, RecursionError):
         return None, []
+    return layout.name, turns
+
+
+def _turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
     turns = []
     for rule in layout.turns:
         if len(rule) == 2:
@@ -114,7 +134,7 @@ def turns_of(payload: str | None) -> tuple[str | None, list[tuple[str, str]]]:
             for message in record[at] if at else [record]:
                 name = _text(message.get(role))
                 turns.append((ROLE_NAMES.get(name, name) if at else name, _text(message.get(text))))
-    return layout.name, turns
+    return turns
 
 
 _CONTROL, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")

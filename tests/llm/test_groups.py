@@ -57,13 +57,23 @@ LAYOUT_CASES = [
     ({"prompt": "p", "response": {"k": 1}, "system": "s"}, None, []),
     ({"question": "q", "answer": 7}, "question_answer", [("user", "q"), ("assistant", "7")]),
     ({"unknown": 1}, None, []), ([1, 2], None, []),
+    # known fields of other layouts are extra fields like any other
+    ({"prompt": "p", "completion": "c", "system": "s"}, "prompt_completion", [("system", "s"), ("user", "p"), ("assistant", "c")]),
+    ({"messages": [{"role": "user", "content": "a"}], "system": "s"}, "messages", [("system", "s"), ("user", "a")]),
+    ({"instruction": "i", "input": "more", "output": "o", "text": "t"}, "instruction", [("user", "i\nmore"), ("assistant", "o")]),
+    ({"question": "q", "answer": "a", "role": "r"}, "question_answer", [("user", "q"), ("assistant", "a")]),
+    # what no layout reads
+    ({"messages": [{"role": "user", "content": "a"}, None]}, None, []),
+    ({"messages": [{"role": "user", "content": "a"}, "plain"]}, None, []), ({"messages": []}, None, []),
+    ({"messages[].role": "user", "messages[].content": "x"}, None, []), ({"role": "user", "text": "\ud800"}, None, []),
 ]
 
 
 def test_layouts_by_fingerprint():
     for record, name, turns in LAYOUT_CASES:
         assert chat_format.turns_of(json.dumps(record)) == (name, turns)
-    for payload in (None, "", "{", "null", "3"):
+    for payload in (None, "", "{", "null", "3", "[" * 100_000, '{"role": "user", "text": ' * 5000, '{"role":"user","text":"\\ud800"}',
+                    '{"a":' * 2000 + "1" + "}" * 2000):
         assert chat_format.turns_of(payload) == (None, [])
 
 
