@@ -38,7 +38,7 @@ STEPS = 200
 PENALTY = 1e-3
 AMBIGUOUS = 0.2         # lead in score under which a prediction is flagged
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")         # letters, and some numbers that are none
 SCHEMA = "doc_id long, lang_pred string, score double, ambiguous boolean"
 
 
@@ -125,16 +125,24 @@ def decode(margins: np.ndarray, code: np.ndarray, trust: np.ndarray) -> np.ndarr
     return e / e.sum(axis=1, keepdims=True)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def train(docs: DataFrame, learned: Column, sample: int = SAMPLE, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> bytes:
-    """A model from the rows where ``learned`` holds and text, language and id are not null."""
+    """A model from the rows where ``learned`` holds and text, language and id are not null.
+
+    Of rows with one id, the one with the least language and text is learned from, so ``sample`` bounds the rows.
+    """
     ddl = "doc_id long, lang string, histogram binary"
     usable = learned & F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull()
     ids = bounded_sample(docs.filter(usable).select(F.col(id_col).cast("long").alias("doc_id")).distinct(),
                          "doc_id", sample)
     rows = (docs.filter(usable).select(F.col(id_col).cast("long").alias("doc_id"),
                                        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-            .join(F.broadcast(ids), "doc_id", "left_semi"))     # at most ``sample`` ids
+            .join(F.broadcast(ids), "doc_id", "left_semi")      # at most ``sample`` ids
+            .groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.lang", "r.text"))
 
     def run(batches):
         schema = arrow_schema(ddl)
@@ -150,7 +158,7 @@ def predict(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
         langs, code, w, b, trust = pickle.loads(model) if model else ([], None, None, None, None)
 
         def fn(ids, texts):
-            real = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if langs else []
+            real = [i for i, t in enumerate(texts) if t and has_letter(t)] if langs else []
             pred, score, close = [UNKNOWN] * len(ids), [0.0] * len(ids), [False] * len(ids)
             if real:
                 p = decode(np.array([histogram(texts[i]) for i in real]) @ w + b, code, trust)

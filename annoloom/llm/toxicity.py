@@ -163,13 +163,17 @@ def fit_chain(table: pa.Table, categories: tuple[str, ...]) -> bytes:
 
 def train_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], sample: int = SAMPLE,
                 id_col: str = "doc_id", text_col: str = "text") -> bytes:
-    """A chain over the 0/1 columns ``categories`` of ``labels``, in that order."""
+    """A chain over the 0/1 columns ``categories`` of ``labels``, in that order.
+
+    Of documents with one id, the one with the least text is learned from, so ``sample`` bounds the rows.
+    """
     ddl = "doc_id long, features array<int>, " + ", ".join(f"{c} int" for c in categories)
     one = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")) \
         .agg(*[F.max(F.col(c).cast("int")).alias(c) for c in categories])
     chosen = bounded_sample(one, "doc_id", sample)          # so it may be broadcast: at most ``sample`` rows
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(chosen), "doc_id")
+        .join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi") \
+        .groupBy("doc_id").agg(F.min("text").alias("text")).join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
         schema = arrow_schema(ddl)

@@ -89,6 +89,25 @@ def test_a_wrong_bit_is_corrected():
     assert (language_id.decode(margins, code, np.ones(15)).argmax(axis=1) == np.arange(5)).all()
 
 
+@pytest.mark.parametrize("text,letter", [("½", False), ("²³", False), ("Ⅷ", False), ("12 _ !", False), ("", False), ("½ a", True),
+                                         ("ж", True), ("字", True), ("ª", True)])
+def test_a_letter_is_a_letter(text, letter):
+    assert language_id.has_letter(text) == letter
+
+
+def test_one_id_on_very_many_rows_is_one_row_of_the_fit(spark, monkeypatch):
+    """The sample bounds rows, not only ids: a third of the rows have one id, some are equal."""
+    rows = [(7 if i % 3 == 0 else i, f"some words {i % 50} {'de' if i % 2 else 'en'}", "de" if i % 2 else "en") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    seen = []
+    for module in (language_id, toxicity):
+        monkeypatch.setattr(module, "fit_in_task", lambda features, fit: seen.append(features.count()) or b"")
+    language_id.train(df, F.lit(True), sample=500)
+    labels = df.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    toxicity.train_chain(df, labels, ("quality", "toxic"), sample=400)
+    assert seen == [500, 400]
+
+
 def test_language_odd_rows(odd, nothing):
     got = [r for r in language_id.predict(odd, b"").collect()]
     assert len(got) == odd.count() and {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
