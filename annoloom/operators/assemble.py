@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annoloom.functions import text as TX
+from annoloom.operators.facts import positioned
+from annoloom.operators.heavy import spread_join
 from annoloom.sources.texts import KEYS, corpus_lookup, latest_texts
 
 MAX_POSITIVES = 10
@@ -48,6 +50,33 @@ def relevance_lists(relevance: DataFrame) -> DataFrame:
             .agg(F.transform(items, lambda x: x["corpus_id"]).alias("positive_ids")))
 
 
+CHUNK = 10_000            # ids of one row of chunked lists
+
+
+def relevance_chunks(relevance: DataFrame, size: int = CHUNK) -> DataFrame:
+    """Whole lists in rows of at most ``size`` ids: (benchmark, query_id, chunk, first, corpus_ids).
+
+    ``chunk`` counts from 0, ``first`` is the place of the chunk's first id in its list, from 1. Ranks come from the
+    positions in one global order less the smallest of the query, so a query with very many positives is neither
+    one row nor one task.
+    """
+    order = ("benchmark", "query_id", "seq", "corpus_id")
+    placed = positioned(relevance.select(*order), *[F.col(c) for c in order])
+    query = ["benchmark", "query_id"]
+    starts = placed.groupBy(*query).agg(F.min("position").alias("_start"))
+    ranked = spread_join(placed, starts, query, deal_by=["position"]).withColumn("_rank", F.col("position") - F.col("_start"))
+    items = F.array_sort(F.collect_list(F.struct("_rank", "corpus_id")))
+    return (ranked.groupBy(*query, F.floor(F.col("_rank") / size).alias("chunk")).agg(items.alias("_items"))
+            .select(*query, "chunk", (F.col("chunk") * size + 1).alias("first"),
+                    F.transform("_items", lambda x: x["corpus_id"]).alias("corpus_ids")))
+
+
+def relevance_of_chunks(chunks: DataFrame) -> DataFrame:
+    """Chunked lists back to rows (benchmark, query_id, corpus_id, seq) with the place in the list as ``seq``."""
+    return (chunks.select("benchmark", "query_id", "first", F.posexplode("corpus_ids").alias("at", "corpus_id"))
+            .select("benchmark", "query_id", "corpus_id", (F.col("first") + F.col("at")).cast("long").alias("seq")))
+
+
 def capped_lists(relevance: DataFrame, max_positives: int = MAX_POSITIVES) -> DataFrame:
     """Flat form to one row per query with its first positives in order.
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-MOST_HEAVY = 1000         # keys that are split, and rows of the table that is broadcast
+MOST_HEAVY = 1000         # keys that are split, and entries of the map that goes to the tasks
 CELLS_PER_TASK = 2        # a cell holds at most 1 / (this * shuffle partitions) of the rows
 BROADCAST_BYTES = 8 << 20  # a side that is measured to be no larger is broadcast
 HOWS = ("inner", "left", "left_semi", "left_anti")
@@ -56,14 +56,13 @@ def spread_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     if how not in HOWS:
         raise ValueError(f"unknown join {how!r}, expected one of {HOWS}")
     keys = list(keys)
-    heavy = F.broadcast(heavy_keys(left, keys))                # at most MOST_HEAVY rows
+    heavy = (heavy_keys(left, keys)                             # one value with at most MOST_HEAVY entries
+             .agg(F.map_from_entries(F.collect_list(F.struct("_key", "_cells")))).scalar())
+    cells = F.coalesce(F.try_element_at("_heavy", _key(keys)), F.lit(1))
     by = list(deal_by or [f.name for f in left.schema if not _has_map(f.dataType)])
-    dealt = (left.withColumn("_key", _key(keys)).join(heavy, "_key", "left")
-             .withColumn("_cell", F.when(F.col("_cells").isNotNull(), F.pmod(F.hash(*by), F.col("_cells")))
-                         .otherwise(F.lit(0))).drop("_key", "_cells"))
-    every = F.sequence(F.lit(0), F.coalesce("_cells", F.lit(1)) - 1)
-    repeated = (right.withColumn("_key", _key(keys)).join(heavy, "_key", "left")
-                .withColumn("_cell", F.explode(every)).drop("_key", "_cells"))
+    dealt = left.withColumn("_heavy", heavy).withColumn("_cell", F.pmod(F.hash(*by), cells)).drop("_heavy")
+    repeated = (right.withColumn("_heavy", heavy)
+                .withColumn("_cell", F.explode(F.sequence(F.lit(0), cells - 1))).drop("_heavy"))
     return dealt.join(repeated, [*keys, "_cell"], how).drop("_cell")
 
 

@@ -2,41 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from annoloom import schema as S
 from annoloom.functions import text as TX
+from annoloom.operators.facts import positioned
+from annoloom.sources import generations, ordered
 
 ORDER_DIGITS = 3          # leading hex digits of the seeded key: 16 ** 3 order buckets
 MAX_DIGITS = 4            # 16 ** 4 bucket counts are the most that is ever broadcast
 
 
-def shuffled_order(df: DataFrame, item_id: str, seed: int = 42,
-                   digits: int = ORDER_DIGITS, first: int | None = None) -> DataFrame:
-    """Add ``position`` 1..n of a repeatable random order, of the ``first`` rows if given.
+def shuffled_order(df: DataFrame, item_id: str, seed: int = 42) -> DataFrame:
+    """Add ``position`` 1..n of a repeatable random order.
 
-    The order is that of an md5 key, so its leading digits cut the rows into even buckets.
-    A row's position is the number of rows in earlier buckets plus its rank inside its
-    own. Only the bucket counts, 16 ** digits rows, are brought together; buckets past
-    the ``first`` rows are dropped before the shuffle.
+    The order is that of a seeded md5 key. Only ids are ranked, by range partitions whose counts give the positions;
+    the rows get their positions by id, so no text is moved for the ranking. Rows of one id are told
+    apart by nothing and get the positions of each other: ids should be distinct.
+    """
+    ids = df.select(item_id).withColumn("_key", TX.seeded_key(item_id, seed))
+    placed = positioned(ids, F.col("_key"), F.col(item_id)).select(F.col(item_id).alias("_item"), "position")
+    return df.join(placed, F.col(item_id).eqNullSafe(F.col("_item"))).drop("_item")
+
+
+def write_shuffled(spark: SparkSession, path: str, df: DataFrame, item_id: str, seed: int = 42,
+                   rows_per_file: int = ordered.ROWS_PER_FILE) -> generations.Manifest:
+    """Store the rows physically in that order; read them with :func:`ordered.read_ordered`.
+
+    The rows are moved once, to the file that holds their part of the order; as many files as their number asks for.
+    """
+    return ordered.write_ordered(spark, path, df, [TX.seeded_key(item_id, seed), F.col(item_id)], rows_per_file)
+
+
+def first_in_order(ids: DataFrame, item_id: str, n: int, seed: int = 42, digits: int = ORDER_DIGITS) -> DataFrame:
+    """The first ``n`` ids of that order.
+
+    The leading digits of the key cut the ids into even buckets. From the bucket counts, 16 ** digits rows, it
+    is known which buckets hold the first n; the others are dropped before the shuffle.
     """
     if not 1 <= digits <= MAX_DIGITS:
         raise ValueError(f"digits must be 1 to {MAX_DIGITS}, got {digits}")
-    keyed = df.withColumn("_key", TX.seeded_key(item_id, seed)) \
-        .withColumn("_bucket", F.substring("_key", 1, digits))
+    keyed = ids.withColumn("_key", TX.seeded_key(item_id, seed)).withColumn("_bucket", F.substring("_key", 1, digits))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
                .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    if first is not None:
-        offsets = offsets.filter(F.col("_before") < first)
+               .drop("_n").filter(F.col("_before") < n))
     rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_key", item_id))
     placed = (keyed.join(F.broadcast(offsets), "_bucket")      # at most 16 ** digits rows
-              .withColumn("position", (F.col("_before") + rank).cast("long"))
-              .drop("_key", "_bucket", "_before"))
-    return placed if first is None else placed.filter(F.col("position") <= first)
+              .withColumn("_position", F.col("_before") + rank))
+    return placed.filter(F.col("_position") <= n).select(item_id)
 
 
 def sample_n(df: DataFrame, item_id: str, n: int, seed: int = 42) -> DataFrame:
@@ -45,8 +61,7 @@ def sample_n(df: DataFrame, item_id: str, n: int, seed: int = 42) -> DataFrame:
     The ids are put in the seeded order and cut at position n, which never gathers the sample in
     one place; the rows themselves are only filtered by the chosen ids. Ids are distinct.
     """
-    chosen = shuffled_order(df.select(item_id), item_id, seed, first=n)
-    return df.join(chosen.select(item_id), item_id, "left_semi")
+    return df.join(first_in_order(df.select(item_id), item_id, n, seed), item_id, "left_semi")
 
 
 def _pending(records: DataFrame, benchmarks: DataFrame) -> DataFrame:

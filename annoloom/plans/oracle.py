@@ -340,6 +340,16 @@ WHERE record_type = 'passage' AND flagged
        OR contains(lower(annotator), 'grešaka') OR contains(lower(benchmark), 'grešaka')
        OR contains(lower(array_to_string(categories, ' ')), 'grešaka'))""", "fx_facts")
 
+ORACLE["indexed_search"] = ORACLE["annotation_search"]
+
+oracle("report_page", """
+SELECT page, position, response_id, record_id, annotator, date, md5(source_text) AS text_key
+FROM (SELECT *, row_number() OVER (ORDER BY date DESC, record_id, annotator, response_id) AS position,
+             (count(*) OVER () + 19) // 20 AS last
+      FROM fx_facts),
+     (SELECT unnest(generate_series(1, (SELECT (count(*) + 19) // 20 FROM fx_facts))) AS page)
+WHERE page IN (1, (last + 1) // 2, last) AND (position - 1) // 20 + 1 = page""", "fx_facts")
+
 oracle("annotation_sorted", """
 SELECT response_id, record_id, annotator, score_text, date,
        row_number() OVER (ORDER BY coalesce(nullif(score, 0), 99), record_id, annotator,
@@ -475,6 +485,11 @@ oracle("relevance_lists", """
 SELECT benchmark, query_id, string_agg(corpus_id, '|' ORDER BY position) AS positive_ids
 FROM fx_capped GROUP BY ALL""", "fx_capped")
 
+oracle("relevance_chunks", """
+SELECT benchmark, query_id, (position - 1) // 3 AS chunk, (position - 1) // 3 * 3 + 1 AS first,
+       string_agg(corpus_id, '|' ORDER BY position) AS corpus_ids
+FROM fx_capped GROUP BY ALL""", "fx_capped")
+
 oracle("capped_lists", """
 SELECT benchmark, query_id, string_agg(corpus_id, '|' ORDER BY position) AS positive_ids
 FROM fx_capped WHERE position <= 3 GROUP BY ALL""", "fx_capped")
@@ -800,6 +815,10 @@ oracle("shuffled_order", """
 SELECT row_number() OVER (ORDER BY md5('42:' || record_id), record_id) AS position,
        record_id, benchmark FROM fx_records""", "fx_records")
 
+oracle("shuffled_table", """
+SELECT row_number() OVER (ORDER BY md5('42:' || record_id), record_id) AS position,
+       record_id, benchmark, md5(source_text) AS text_key FROM fx_records""", "fx_records")
+
 oracle("required_submissions", """
 SELECT greatest(count(*), 2) AS min_submitted FROM fx_users SEMI JOIN fx_members USING (user_id)
 WHERE role <> 'owner'""", "fx_users", "fx_members")

@@ -15,11 +15,11 @@ from annoloom.functions import scores as SC
 from annoloom.functions import text as TX
 from annoloom.functions import values as V
 from annoloom.operators import (
-    agreement, assemble, counters, export, facts, legacy, maintain, progress, quality, sampling,
+    agreement, assemble, counters, export, facts, legacy, maintain, progress, quality, sampling, search_index,
 )
 from annoloom.plans import adapters as A
 from annoloom.plans import report
-from annoloom.sources import buckets, corpus_index, files, retractions, snapshot, tables, texts
+from annoloom.sources import buckets, corpus_index, files, ordered, retractions, snapshot, tables, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +287,30 @@ def annotation_search(spark, d):
     return found.select("response_id", "record_id", "annotator", "benchmark", "score_text")
 
 
+@query
+def indexed_search(spark, d):
+    """The same search by a trigram index over all texts."""
+    path = tables.shared_dir(spark, "search")
+    wide = tables.stage(_facts(spark, d, True), "wide")
+    records = A.records(spark, d).withColumn("target_text", TX.text_or_empty("target_text"))
+    search_index.build_index(spark, path, records, wide)
+    found = search_index.indexed_search(spark, path, wide, " Grešaka ", record_type="passage", flagged_only=True)
+    return found.select("response_id", "record_id", "annotator", "benchmark", "score_text")
+
+
+@query
+def report_page(spark, d):
+    """The first, the middle and the last page of the report's annotations, from a stored order."""
+    path = tables.shared_dir(spark, "pages")
+    ordered.write_ordered(spark, path, _facts(spark, d, True), facts.newest_keys(), rows_per_file=500)
+    last = -(-ordered.row_count(spark, path) // 20)
+    pages = [ordered.read_page(spark, path, n, 20).withColumn("page", F.lit(n)) for n in sorted({1, (last + 1) // 2, last})]
+    out = pages[0]
+    for page in pages[1:]:
+        out = out.unionByName(page)
+    return out.select("page", "position", "response_id", "record_id", "annotator", "date", F.md5("source_text").alias("text_key"))
+
+
 @query
 def annotation_sorted(spark, d):
     rows = facts.positioned(_facts(spark, d), *facts.sort_keys("score"))
@@ -449,6 +473,13 @@ def relevance_lists(spark, d):
         .withColumn("positive_ids", joined("positive_ids"))
 
 
+@query
+def relevance_chunks(spark, d):
+    """Whole lists in chunks of three."""
+    rows = assemble.relevance_chunks(A.relevance(spark, d), 3)
+    return rows.select("benchmark", "query_id", "chunk", "first", joined("corpus_ids"))
+
+
 @query
 def capped_lists(spark, d):
     return assemble.capped_lists(A.relevance(spark, d), 3) \
@@ -755,6 +786,14 @@ def shuffled_order(spark, d):
     return rows.select("position", "record_id", "benchmark")
 
 
+@query
+def shuffled_table(spark, d):
+    """Records written in a seeded order, read back with the place of each row in the files."""
+    path = tables.shared_dir(spark, "shuffled")
+    sampling.write_shuffled(spark, path, A.records(spark, d), "record_id", rows_per_file=100)
+    return ordered.read_ordered(spark, path).select("position", "record_id", "benchmark", F.md5("source_text").alias("text_key"))
+
+
 @query
 def required_submissions(spark, d):
     return sampling.required_submissions(A.users(spark, d), A.members(spark, d))

@@ -424,7 +424,7 @@ def test_sample_is_exact_and_seeded(spark):
     assert rows(sampling.sample_n(df, "id", 300, seed=1)) != rows(sampling.sample_n(df, "id", 300))
     assert sampling.sample_n(df, "id", 9000).count() == 5000
     with pytest.raises(ValueError):
-        sampling.shuffled_order(df, "id", digits=6)
+        sampling.first_in_order(df, "id", 5, digits=6)
 
 
 def test_large_strata_are_cut_exactly(spark):
