@@ -211,7 +211,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
         F.max(F.struct((F.col("s") / F.col("n")).alias("part"), (-F.col("rep")).alias("rep"), "n", "s"))
         .alias("l"), F.count(F.lit(1)).alias("m")).filter(F.col("m") > 1)
         .select("h", (-F.col("l.rep")).alias("lead"), F.col("l.n").alias("ln"), F.col("l.s").alias("ls")), "leaders")
-    led = spread_join(entries, lead, ["h"], deal_by=["rep"])
+    led = tables.stage(spread_join(entries, lead, ["h"], deal_by=["rep"]), "led")
     first = tables.stage(
         led.filter((F.col("rep") != F.col("lead")) & possible(F.col("n"), F.col("s"), F.col("ln"), F.col("ls"), percent))
         .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct(), "pairs")
