@@ -1,16 +1,18 @@
 """Secret scans with DataFrame functions only.
 
 Three patterns give the base spans (assignments, access keys, long hex runs). Beside them, candidate
-strings of key-like characters are scored by the Shannon entropy of a sliding window. The entropy
-follows from ``sum(c * log2 c)`` over the counts ``c`` in the window, and a step of the window changes
-that sum only for the character that leaves and the one that enters; no window is counted anew.
+strings of key-like characters are scored by the Shannon entropy of a sliding window. The state of the window is the
+count of each of the ``ALPHABET``'s characters in it and ``sum(c * log2 c)`` over these counts; a step of the window
+changes both only for the character that leaves and the one that enters, and no window is counted anew. Long runs are
+walked in parts that overlap by a window, so time is linear in the length of a run.
 Each character class has its own threshold. Base spans, and what the allow-list knows (identifiers, words,
 placeholders, each between ``/`` and ``=``; digests that are named as such, whole), are cut out of the runs
 first; each piece of at least ``WINDOW`` characters that remains is a candidate of its own. Shorter
 pieces have no window and are not scored.
 
 Positions are code points. A pattern is applied once to extract matches and once to split the text
-at them; the lengths of both give the positions.
+at them; the lengths of both give the positions, summed up in blocks of matches, so that many matches do not cost the
+square of their number.
 
 Odd input: a null text is empty and has no spans. Repeated rows get equal results. An empty table gives
 an empty result. Helper columns have names of their own and are dropped, so other columns may
@@ -19,6 +21,7 @@ have any name.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -51,6 +54,29 @@ ALLOWED = (
     r"(?i)^(https?|www|data|file)[_-]",                                 # addresses
 )
 MASK = "[SECRET]"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"       # of candidates
+PART = 1000             # characters of a run that are walked together
+BLOCK = 256             # matches whose positions are summed up together
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: the variable of a lambda, not an expression to repeat."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def placed(rows: Column, width: Callable[[Column], Column], make: Callable[[Column, Column], Column], ddl: str) -> Column:
+    """All of ``make(row, start)``, arrays of ``ddl``, where ``start`` is the sum of the widths of the rows before."""
+    empty = F.array().cast(f"array<{ddl}>")
+
+    def in_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, r: a + width(r)))
+        starts = F.aggregate(totals, F.array(F.lit(0).cast("long")), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t)))
+        return let(starts, lambda at: F.flatten(F.transform(blocks, lambda b, j: F.aggregate(
+            b, F.struct(F.get(at, j).alias("at"), empty.alias("found")),
+            lambda a, r: F.struct((a["at"] + width(r)).alias("at"), F.concat(a["found"], make(r, a["at"])).alias("found")))["found"])))
+
+    return let(rows, lambda r: let(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(r) - 1) / BLOCK).cast("int")), lambda j: F.slice(r, j * BLOCK + 1, BLOCK)), in_blocks))
 
 
 def found_spans(text: Column, kind: str) -> Column:
@@ -61,60 +87,69 @@ def found_spans(text: Column, kind: str) -> Column:
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
     rows = F.arrays_zip(lengths(F.split(text, pattern, -1)).alias("gap"), lengths(matches).alias("size"),
                         lengths(values).alias("value"))
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    walked = F.aggregate(
-        rows, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda a, r: F.struct(
-            (a["at"] + r["gap"] + F.coalesce(r["size"], F.lit(0))).cast("long").alias("at"),
-            F.when(r["value"] >= least, F.concat(a["spans"], F.array(F.struct(
-                (a["at"] + r["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-                (a["at"] + r["gap"] + r["size"]).alias("end"))))).otherwise(a["spans"]).alias("spans")))
-    return F.when(text.rlike(HINTS[kind]), walked["spans"]).otherwise(empty)
+    ddl = "struct<start:bigint,kind:int,end:bigint>"
+    empty = F.array().cast(f"array<{ddl}>")
+    spans = placed(
+        rows, lambda r: r["gap"] + F.coalesce(r["size"], F.lit(0)),
+        lambda r, at: F.when(r["value"] >= least, F.array(F.struct(
+            (at + r["gap"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (at + r["gap"] + r["size"]).alias("end"))))
+        .otherwise(empty), ddl)
+    return F.when(text.rlike(HINTS[kind]), spans).otherwise(empty)
 
 
 def candidate_spans(text: Column) -> Column:
     """array<struct<start, value>> of the runs that may be keys."""
     matches = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    rows = F.arrays_zip(F.split(text, CANDIDATE, -1).alias("gap"), matches.alias("value"))
-    empty = F.array().cast("array<struct<start:bigint,value:string>>")
-    walked = F.aggregate(
-        rows, F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")),
-        lambda a, r: F.struct(
-            (a["at"] + F.length(r["gap"]) + F.coalesce(F.length(r["value"]), F.lit(0))).cast("long").alias("at"),
-            F.when(r["value"].isNotNull(), F.concat(a["spans"], F.array(F.struct(
-                (a["at"] + F.length(r["gap"])).cast("long").alias("start"), r["value"].alias("value")))))
-            .otherwise(a["spans"]).alias("spans")))
-    return F.when(text.rlike(r"[A-Za-z0-9+/_=-]{20}"), walked["spans"]).otherwise(empty)
+    rows = F.arrays_zip(F.transform(F.split(text, CANDIDATE, -1), lambda g: F.length(g).cast("long")).alias("gap"),
+                        matches.alias("value"))
+    ddl = "struct<start:bigint,value:string>"
+    empty = F.array().cast(f"array<{ddl}>")
+    spans = placed(
+        rows, lambda r: r["gap"] + F.coalesce(F.length(r["value"]), F.lit(0)),
+        lambda r, at: F.when(r["value"].isNotNull(), F.array(F.struct((at + r["gap"]).alias("start"), r["value"].alias("value"))))
+        .otherwise(empty), ddl)
+    return F.when(text.rlike(r"[A-Za-z0-9+/_=-]{20}"), spans).otherwise(empty)
 
 
-def window_entropy(value: Column, window: int = WINDOW) -> Column:
-    """Highest Shannon entropy, in bits, of any ``window`` consecutive characters.
+def least_total(part: Column, window: int) -> Column:
+    """The least ``sum(c * log2 c)`` of any ``window`` consecutive characters of a string over the ``ALPHABET``.
 
-    The state is ``sum(c * log2 c)``. ``count`` takes the number of one character in the window
-    from the length it loses when that character is removed.
+    The counts are one string with a character for each of the alphabet's: ``0`` and the characters after it.
     """
     terms = F.array(*[F.lit(0.0 if c < 2 else c * log2(c)) for c in range(window + 2)])
+    zero = ord("0")
 
     def term(c: Column) -> Column:
         return F.element_at(terms, (c + 1).cast("int"))
 
-    def count(char: Column, within: Column) -> Column:
-        return F.length(within) - F.length(F.replace(within, char, F.lit("")))
-
-    def step(a: Column, i: Column) -> Column:
-        before = F.substring(value, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))
-        entering = F.substring(value, i, F.lit(1))
-        leaving = F.substring(value, F.greatest(i - window, F.lit(1)), F.lit(1))
-        full = i > window
-        gone = F.when(full, count(leaving, before)).otherwise(1)
-        here = count(entering, before) - F.when(full & (leaving == entering), 1).otherwise(0)
-        total = (a["total"] + F.when(full, term(gone - 1) - term(gone)).otherwise(0.0)
-                 + term(here + 1) - term(here))
-        return F.struct(total.alias("total"), F.when((i >= window) & (total < a["least"]), total)
-                        .otherwise(a["least"]).alias("least"))
-
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
-    least = F.aggregate(F.sequence(F.lit(1), F.length(value)), start, step)["least"]
+    def count(counts: Column, slot: Column) -> Column:
+        return F.ascii(F.substring(counts, slot, F.lit(1))) - zero
+
+    def put(counts: Column, slot: Column, c: Column) -> Column:
+        return F.overlay(counts, F.char((c + zero).cast("long")), slot, F.lit(1))
+
+    def walk(slots: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            entering, leaving = F.element_at(slots, i), F.element_at(slots, F.greatest(i - window, F.lit(1)))
+            full = i > window
+            gone = count(a["counts"], leaving)
+            rest = F.when(full, put(a["counts"], leaving, gone - 1)).otherwise(a["counts"])
+            here = count(rest, entering)
+            total = (a["total"] + F.when(full, term(gone - 1) - term(gone)).otherwise(0.0) + term(here + 1) - term(here))
+            return F.struct(put(rest, entering, here + 1).alias("counts"), total.alias("total"),
+                            F.when((i >= window) & (total < a["least"]), total).otherwise(a["least"]).alias("least"))
+
+        start = F.struct(F.lit("0" * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(slots)), start, step)["least"]
+
+    return let(F.transform(F.split(part, ""), lambda c: F.position(c, F.lit(ALPHABET))), walk)
+
+
+def window_entropy(value: Column, window: int = WINDOW) -> Column:
+    """Highest Shannon entropy, in bits, of any ``window`` consecutive characters of a candidate."""
+    parts = F.regexp_extract_all(value, F.lit(f".{{1,{PART}}}"), F.lit(0))
+    least = let(parts, lambda p: F.array_min(F.transform(p, lambda x, i: least_total(
+        F.concat(x, F.substring(F.coalesce(F.get(p, i + 1), F.lit("")), F.lit(1), F.lit(window - 1))), window))))
     return F.when(F.length(value) >= window, F.log2(F.lit(float(window))) - least / window).otherwise(F.lit(0.0))
 
 

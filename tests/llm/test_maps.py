@@ -1,12 +1,16 @@
 """Operators that judge each document on its own, against plain Python."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter
+from math import log2
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from annoloom.llm import packing, quality_rules, secret_scan, token_counts
 from annoloom.llm.queries import QUERIES, tokenizer_path
@@ -121,6 +125,35 @@ def test_entropy_windows(spark):
         assert r.h == pytest.approx(plain(r.v), abs=1e-9)
 
 
+@pytest.mark.parametrize("window", [4, 20])
+def test_entropy_of_every_window(spark, window):
+    """Runs around the length of a part, against every window counted anew."""
+    draw = random.Random(12)
+    values = ["".join(draw.choices(secret_scan.ALPHABET[:k], k=n)) for n in (1, window - 1, window, 45, secret_scan.PART - 1, secret_scan.PART,
+                                                                           secret_scan.PART + 1, secret_scan.PART + window, 2500) for k in (2, 66)]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+
+    def entropy(text):
+        return -sum(c / window * log2(c / window) for c in Counter(text).values())
+
+    got = [r[0] for r in df.select(secret_scan.window_entropy(F.col("v"), window)).collect()]
+    want = [max((entropy(v[i:i + window]) for i in range(len(v) - window + 1)), default=0.0) for v in values]
+    assert got == pytest.approx(want)
+
+
+def test_long_runs_and_many_spans_take_linear_time(spark):
+    """A run of 200,000 characters, and thousands of spans in one text."""
+    draw = random.Random(13)
+    blob = "".join(draw.choices("GHJKLMNPghjkmnpq2345+", k=200_000))
+    hexes = ["".join(draw.choices("0123456789abcdef", k=18)) for _ in range(5000)]
+    df = spark.createDataFrame([(1, blob), (2, " ".join(hexes))], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secret_scan.secret_scan(df).collect()}
+    assert time.perf_counter() - start < 60
+    assert got[1].spans == "entropy:0:200000"
+    assert got[2].n_hex == 5000 and got[2].spans.split(",")[4999] == f"hex:{4999 * 19}:{4999 * 19 + 18}"
+
+
 def test_allow_list_and_redaction(spark, odd, nothing):
     cases = {1: "key q8Zr3Lw0Xc7Vn2Bm5Kj9Hg4F end", 2: "id 123e4567-e89b-12d3-a456-426614174000 end",
              3: "sha256-q8Zr3Lw0Xc7Vn2Bm5Kj9Hg4F", 4: "example_q8Zr3Lw0Xc7Vn2Bm5Kj9Hg4F", 5: "a plain text with antidisestablishmentarianism2"}
