@@ -1,10 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Substring dedup by a window-hash index of reference blocks, in place of relative Lempel-Ziv parsing.
 
 Reference blocks are ranges of documents in order of their ids, indexed by the hashes of all windows of
-``WINDOW`` words (``blocks``). A document is factored greedily from left to right: a factor begins at
-the first window that a reference block of smaller ids has, and goes on while the next window is in
-the same block. Where a factor ends, the windows across its boundary are looked up on their own,
-so a copy that continues in another block is not lost. Factors are at least ``WINDOW`` words long; all
+``WINDOW`` words (``blocks``). Each window of a document is looked up and gets the first reference block of smaller
+ids that has it; a run of windows with one block is called a factor. No factor is extended against a reference
+text, so it need not be a copy of one phrase; no greedy choice and no check at boundaries is made or needed, as every
+window is looked up on its own. Factors are at least ``WINDOW`` words long; all
 words inside them are removed, judged on the input and not on what is left.
 
 Hashes have 64 bits; in n windows the chance of any false match is about n * n / 2 ** 65.
