@@ -51,7 +51,7 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
         raise FileNotFoundError(f"no table at {path}")
     folders = state.folders()
     schema = _schema(state)
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders) if folders else generations.no_rows(spark, schema)
 
 
 def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, order: str, keep_old: bool = False) -> generations.Manifest:
@@ -68,7 +68,7 @@ def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, order: str,
         if not hit:
             return None
         known = [f"{path}/{f}" for b in hit for f in state.parts.get(b, ())]
-        old = spark.read.schema(schema).parquet(*known) if known else spark.createDataFrame([], schema)
+        old = spark.read.schema(schema).parquet(*known) if known else generations.no_rows(spark, schema)
         merged = tables.upsert(old, new, order, key).select(*schema.names)
         return {**state.parts, **_write(spark, path, merged, key, buckets)}, state.facts
 

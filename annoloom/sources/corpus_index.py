@@ -79,7 +79,7 @@ def indexed_lookup(spark: SparkSession, path: str, needed: DataFrame) -> DataFra
     folder = state.folders("rows")[0]
     files = files_of(spark, state, needed)
     if not files:
-        return spark.createDataFrame([], texts.LOOKUP).select(*texts.KEYS, "title", "text")
+        return generations.no_rows(spark, texts.LOOKUP).select(*texts.KEYS, "title", "text")
     rows = spark.read.schema(texts.LOOKUP).parquet(*[f"{folder}/{f}" for f in files])
     ids = [r["id"] for r in needed.select("id").distinct().limit(PUSHED_IDS + 1).collect()]
     if len(ids) <= PUSHED_IDS:

@@ -50,7 +50,7 @@ def read_ordered(spark: SparkSession, path: str, first: int = 1, last: int | Non
         files = files.filter(F.col("before") < last)
     names = [r["file"] for r in files.select("file").collect()]                 # at most MOST_FILES
     if not names:
-        return spark.createDataFrame([], schema.add("position", "long"))
+        return generations.no_rows(spark, schema.add("position", "long"))
     folder = state.folders("rows")[0]
     rows = spark.read.schema(schema).parquet(*[f"{folder}/{n}" for n in names]).select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
