@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoloom.llm import (
-    chat_format, decontaminate, html_extraction, language_id, ngram_join, packing, prefix_trie, quality_rules,
+    chat_format, conversation_sql, decontaminate, html_extraction, language_id, ngram_join, packing, prefix_trie, quality_rules,
     secret_scan, structure_repair, substring_dedup, token_counts, toxicity,
 )
 from annoloom.llm.rows import table
@@ -169,6 +169,12 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.structure_repair(table(spark, sf_dir, "conversations"))
 
 
+ORACLE["op12_structure_repair"] = conversation_sql.STRUCTURE_REPAIR
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = conversation_sql.PREFIX_TRIE
