@@ -38,8 +38,12 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _SCOPE.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -109,11 +113,12 @@ def as_named(schema: StructType, partition: str = "benchmark") -> StructType:
 
 
 def upsert_benchmark(spark: SparkSession, path: str, new: DataFrame, benchmark: str,
-                     benchmarks: DataFrame, order: str) -> str:
+                     benchmarks: DataFrame, order: str) -> None:
     """Rerun one benchmark of a table partitioned by ``benchmark``.
 
-    Only that partition is read. The merged partition is written next to the table first,
-    then put in its place, so a failed job leaves the table as it was.
+    Only that partition is read. The merged partition is written next to the table first, then put in its place and
+    deleted there, so a job that fails while merging leaves the table as it was. Readers may see the partition
+    change under them: ``buckets.upsert_bucketed`` commits an upsert at once.
     """
     schema = as_named(spark.read.parquet(path).schema)
     existing = only_benchmark(spark.read.schema(schema).parquet(path), benchmark, benchmarks)
@@ -124,7 +129,7 @@ def upsert_benchmark(spark: SparkSession, path: str, new: DataFrame, benchmark:
     (spark.read.schema(as_named(merged.schema)).parquet(staged).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("benchmark").parquet(path))
-    return staged
+    _delete(spark, staged)
 
 
 def write_jsonl(df: DataFrame, path: str, drop: tuple[str, ...] = ()) -> None:

@@ -237,6 +237,7 @@ def test_rerun_of_one_benchmark(spark, tmp_path):
     tables.upsert_benchmark(spark, path, new, "A", dim, "version")
     assert rows(spark.read.parquet(path), "record_id", "text") == [
         ("a1", "old"), ("a2", "new"), ("a3", "new"), ("b1", "old")]
+    assert [p.name for p in tmp_path.iterdir()] == ["records"]            # the merged copy is gone
     with pytest.raises(ValueError, match="unknown benchmark"):
         tables.upsert_benchmark(spark, path, new, "Q", dim, "version")
 
