@@ -344,6 +344,8 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, docs_per_block
                         .groupBy("fate_id", "fate_key", "stays").agg(F.count(F.lit(1)).alias("copies")), "fate")
 
     def among(some: DataFrame, how: str) -> DataFrame:
+        # rows to drop grow with the documents, so both sides are shuffled at every size and none is broadcast
+        some = some.hint("merge")
         return docs.join(some, doc_id.eqNullSafe(some["fate_id"]) & (text_key == some["fate_key"]), how)
 
     again = fate.filter(F.col("stays") & (F.col("copies") > 1)).select("fate_id", "fate_key")
