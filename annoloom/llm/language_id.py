@@ -136,13 +136,15 @@ def train(docs: DataFrame, learned: Column, sample: int = SAMPLE, id_col: str =
     Of rows with one id, the one with the least language and text is learned from, so ``sample`` bounds the rows.
     """
     ddl = "doc_id long, lang string, histogram binary"
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     usable = learned & F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull()
     ids = bounded_sample(docs.filter(usable).select(F.col(id_col).cast("long").alias("doc_id")).distinct(),
                          "doc_id", sample)
     rows = (docs.filter(usable).select(F.col(id_col).cast("long").alias("doc_id"),
                                        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
             .join(F.broadcast(ids), "doc_id", "left_semi")      # at most ``sample`` ids
-            .groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.lang", "r.text"))
+            .groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc_id", "r.lang", "r.text")
+            .repartition(tasks, "doc_id"))                      # few rows, but long work on each
 
     def run(batches):
         schema = arrow_schema(ddl)

@@ -170,10 +170,12 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...],
     ddl = "doc_id long, features array<int>, " + ", ".join(f"{c} int" for c in categories)
     one = labels.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")) \
         .agg(*[F.max(F.col(c).cast("int")).alias(c) for c in categories])
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))         # few rows, but long work on each
     chosen = bounded_sample(one, "doc_id", sample)          # so it may be broadcast: at most ``sample`` rows
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi") \
-        .groupBy("doc_id").agg(F.min("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id").agg(F.min("text").alias("text")).repartition(tasks, "doc_id") \
+        .join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
         schema = arrow_schema(ddl)
