@@ -175,3 +175,15 @@ def test_a_query_with_a_million_positives(spark):
     assert of_hot.count() == 100 and of_hot.agg(F.max(F.size("corpus_ids"))).first()[0] == 10_000
     assert of_hot.filter("chunk = 0").first()["corpus_ids"][:2] == [str(n - 1), str(n - 2)]
     assert chunks.agg(F.sum(F.size("corpus_ids"))).first()[0] == n + 1000
+
+
+def test_postings_are_not_shuffled(spark, annotations, tmp_path):
+    """Each segment is sorted on its own; its texts are in no other."""
+    records = annotations.select("record_id", "source_text", "target_text", "benchmark").distinct()
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(search_index, "CHARS_PER_SEGMENT", 2000)
+        state = search_index.build_index(spark, str(tmp_path / "i"), records, annotations)
+    postings = generations.read_part(spark, state, "postings", search_index.POSTINGS).withColumn("file", F.col("_metadata.file_name"))
+    assert postings.select("file").distinct().count() > 2
+    assert postings.groupBy("text_key").agg(F.count_distinct("file").alias("n")).filter("n > 1").isEmpty()
+    assert search_index.candidates(spark, str(tmp_path / "i"), "needle").count() == 1
