@@ -507,3 +507,14 @@ def test_export_legacy(spark, users):
 def test_access_roster(spark, users):
     members = spark.createDataFrame([("u2",), ("u2",), ("u0",)], "user_id string")
     assert rows(progress.access_roster(users, members)) == [("ana", "annotator", False), ("bo", "annotator", True)]
+
+
+def test_asked_pairs_are_not_shuffled(spark):
+    names = [f"n{i:02d}" for i in range(30)]
+    df = spark.createDataFrame([(n,) for n in [*names, None]], "annotator string")
+    asked = spark.createDataFrame([(n,) for n in ["n03", "n07", "n07", "elsewhere", None]], "annotator string")
+    known = spark.createDataFrame([("n03", "n07"), ("n07", "n03"), ("n03", "n01")], "one string, other string")
+    every = {tuple(sorted((a, b))) for a in ("n03", "n07", "elsewhere") for b in names if a != b}
+    got = agreement.asked_pairs(asked, df, 1, 4, but=known)
+    assert rows(got) == sorted(every - {("n03", "n07"), ("n01", "n03")}, key=repr)
+    assert "annotator_a" not in "".join(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x)
