@@ -1,6 +1,6 @@
 """Tables written in a total order, with the positions that each of their files holds.
 
-Rows are range-partitioned, sorted and written once, whole. How many rows a file has says which positions
+Rows are range-partitioned, sorted and written once, whole, by tasks that write several files each. How many rows a file has says which positions
 are in it, so a page of a report opens only the files that hold it, and the place of every row is known without any rank
 over the rows. The table of files has at most ``MOST_FILES`` rows.
 """
@@ -15,9 +15,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from annoloom.sources import generations
+from annoloom.sources import generations, tables
 
 ROWS_PER_FILE = 250_000
+ROWS_PER_TASK = 250_000   # tasks write several files where files are smaller
 MOST_FILES = 50_000
 FILES = "file string, rows long, before long"
 
@@ -25,13 +26,16 @@ FILES = "file string, rows long, before long"
 def write_ordered(spark: SparkSession, path: str, df: DataFrame, keys: Sequence[Column],
                   rows_per_file: int = ROWS_PER_FILE) -> generations.Manifest:
     """Store ``df`` at ``path`` in the order of ``keys``, which must tell rows apart, as a new generation."""
-    files = min(MOST_FILES, max(1, -(-df.count() // rows_per_file)))
+    tasks, per_file = tables.file_plan(df.count(), rows_per_file, ROWS_PER_TASK, MOST_FILES)
 
     def write(_: generations.Manifest | None):
         folder, table = generations.new_folder("rows"), generations.new_folder("files")
-        df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.parquet(f"{path}/{folder}")
+        (df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).write.option("maxRecordsPerFile", per_file)
+         .parquet(f"{path}/{folder}"))
         stored = spark.read.schema(df.schema).parquet(f"{path}/{folder}")
-        earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)       # a table of bounded size
+        # names are part-<task>-<job>-c<file of the task>; as numbers, since c1000 comes after c101
+        place = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"^part-(\d+)-", r"-c(\d+)\.")]
+        earlier = W.orderBy(*place, "file").rowsBetween(W.unboundedPreceding, -1)       # a table of bounded size
         (stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
          .withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).write.parquet(f"{path}/{table}"))
         return {"rows": [folder], "files": [table]}, {"schema": df.schema.json()}

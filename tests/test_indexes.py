@@ -177,6 +177,22 @@ def test_a_query_with_a_million_positives(spark):
     assert chunks.agg(F.sum(F.size("corpus_ids"))).first()[0] == n + 1000
 
 
+def test_small_files_are_not_a_task_each(spark, tmp_path):
+    """What a write sends to the driver grows with its tasks; file names past 999 of one task keep their order."""
+    assert tables.file_plan(0, 10, 100, 50) == (1, 10)
+    tasks, per_file = tables.file_plan(20_000_000, 500, 250_000, 50_000)
+    assert tasks == tables.SMALL_TASKS and per_file == 500
+    tasks, per_file = tables.file_plan(100_000_000, 500, 250_000, 50_000)
+    assert tasks <= 500 and 100_000_000 / per_file + tasks <= 50_000
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(tables, "SMALL_TASKS", 1)
+        path = str(tmp_path / "t")
+        state = ordered.write_ordered(spark, path, spark.range(1100).repartition(3), [F.desc("id")], rows_per_file=1)
+    files = generations.read_part(spark, state, "files", ordered.FILES)
+    assert files.count() == 1100 and files.select(F.regexp_extract("file", r"^part-(\d+)-", 1)).distinct().count() == 1
+    assert sorted(rows(ordered.read_ordered(spark, path, 991, 1010), "position", "id")) == [(p, 1100 - p) for p in range(991, 1011)]
+
+
 def test_postings_are_not_shuffled(spark, annotations, tmp_path):
     """Each segment is sorted on its own; its texts are in no other."""
     records = annotations.select("record_id", "source_text", "target_text", "benchmark").distinct()
