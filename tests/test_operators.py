@@ -518,3 +518,16 @@ def test_asked_pairs_are_not_shuffled(spark):
     got = agreement.asked_pairs(asked, df, 1, 4, but=known)
     assert rows(got) == sorted(every - {("n03", "n07"), ("n01", "n03")}, key=repr)
     assert "annotator_a" not in "".join(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x)
+
+
+def test_few_labels_are_bits(spark):
+    """The same numbers as with labels as rows, without a row for each label that differs."""
+    data = rating_rows(5, 20, 7, 0.6)
+    rated = spark.createDataFrame(data, RATED)
+    got = agreement.category_agreement(rated)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_except") == 0
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(agreement, "FEW_LABELS", 0)
+        want = rows(agreement.category_agreement(rated))
+    assert rows(got) == want and want
