@@ -1,6 +1,6 @@
 """A corpus stored in the order of its ids, of which a lookup opens only the files that can hold a needed id.
 
-The rows are range-partitioned and sorted by id; each file holds one range and has Parquet bloom filters on its ids. A
+The rows are range-partitioned and sorted by id, and a task writes several files; each file holds one range and has Parquet bloom filters on its ids. A
 table of these ranges (file, first id, last id, rows) is stored beside them, at most ``MOST_FILES`` rows however
 large the corpus is. Needed ids are mapped to files by binary search over the ranges' first ids, in the JVM.
 """
@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from annoloom.sources import generations, texts
+from annoloom.sources import generations, tables, texts
 
 ROWS_PER_FILE = 500_000
+ROWS_PER_TASK = 500_000   # tasks write several files where files are smaller
 MOST_FILES = 50_000       # rows of the range table, and file names that a lookup brings to the driver
 PUSHED_IDS = 1000         # needed ids that are also handed to the scan, for statistics and bloom filters
 RANGES = "file string, first_id string, last_id string, rows long"
@@ -23,13 +24,14 @@ def build_index(spark: SparkSession, path: str, corpus: DataFrame, rows_per_file
     """Store ``corpus`` at ``path``, the last row of an id first made the only one, and commit it with its ranges."""
     latest = texts.latest_texts(corpus.select(*texts.KEYS, "title", "text", "seq")).drop("seq")
     rows = corpus.count()
-    files = min(MOST_FILES, max(1, -(-rows // rows_per_file)))
+    tasks, per_file = tables.file_plan(rows, rows_per_file, ROWS_PER_TASK, MOST_FILES)
 
     def write(state: generations.Manifest | None):
         folder, ranges = generations.new_folder("rows"), generations.new_folder("ranges")
-        (latest.repartitionByRange(files, "id").sortWithinPartitions("id", "benchmark", "config").write
+        (latest.repartitionByRange(tasks, "id").sortWithinPartitions("id", "benchmark", "config").write
          .option("parquet.bloom.filter.enabled#id", "true").option("parquet.enable.dictionary#id", "false")
-         .option("parquet.bloom.filter.expected.ndv#id", str(min(rows_per_file, max(rows, 1)))).parquet(f"{path}/{folder}"))
+         .option("parquet.bloom.filter.expected.ndv#id", str(min(per_file, max(rows, 1))))
+         .option("maxRecordsPerFile", per_file).parquet(f"{path}/{folder}"))
         stored = spark.read.schema(texts.LOOKUP).parquet(f"{path}/{folder}")
         (stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(
             F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("rows"))
@@ -55,17 +57,19 @@ def _last_at_most(sorted_values: Column, value: Column, steps: int) -> Column:
 def files_of(spark: SparkSession, state: generations.Manifest, needed: DataFrame) -> list[str]:
     """Files that can hold one of the needed ids.
 
-    A range partition has all rows of an id, so ranges do not touch: an id can only be in the last range that starts
-    at or before it.
+    A range partition has all rows of an id, and its files follow one another: an id is in the last range that starts at or
+    before it and, where it is that range's first id, maybe in the ranges before that end with it.
     """
     ranges = generations.read_part(spark, state, "ranges", RANGES)
-    numbered = ranges.withColumn("number", F.row_number().over(W.orderBy("first_id")))      # a table of bounded size
+    numbered = ranges.withColumn("number", F.row_number().over(W.orderBy("first_id", "last_id")))      # a table of bounded size
     firsts = numbered.agg(F.transform(F.array_sort(F.collect_list(F.struct("number", "first_id"))), lambda r: r["first_id"])).scalar()
     place = _last_at_most(F.col("firsts"), F.col("id"), MOST_FILES.bit_length() + 1)
     least = (needed.select("id").distinct().withColumn("firsts", firsts).select(place.alias("number"), "id")
              .groupBy("number").agg(F.min("id").alias("least")))
     found = numbered.join(least, "number").filter(F.col("least") <= F.col("last_id"))
-    return sorted(r["file"] for r in found.select("file").collect())        # at most MOST_FILES names
+    ends = found.filter(F.col("least") == F.col("first_id")).select(F.col("first_id").alias("last_id"))
+    both = found.select("file").unionByName(ranges.join(ends, "last_id", "left_semi").select("file"))
+    return sorted({r["file"] for r in both.collect()})        # at most MOST_FILES names, twice
 
 
 def indexed_lookup(spark: SparkSession, path: str, needed: DataFrame) -> DataFrame:

@@ -231,3 +231,19 @@ def test_counters_follow_any_change(spark):
 def test_counters_of_nothing(spark):
     none = spark.createDataFrame([], RECORDS), spark.createDataFrame([], RESPONSES)
     assert counters.counters(*none).count() == 0 and counters.deltas(none, none).count() == 0
+
+
+def test_an_id_whose_rows_cross_files(spark, tmp_path):
+    """A task writes several files, so the rows of an id may end one file and begin the next."""
+    data = [(b, "corpus", f"{i:03d}", "t", f"{b}{i}", 1) for i in range(40) for b in "abcdefg"]
+    corpus = spark.createDataFrame(data, TEXTS)
+    path = str(tmp_path / "i")
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(tables, "SMALL_TASKS", 2)
+        state = corpus_index.build_index(spark, path, corpus, rows_per_file=5)
+    files = generations.read_part(spark, state, "ranges", corpus_index.RANGES)
+    assert files.count() >= 56 and files.select(F.regexp_extract("file", r"^part-(\d+)-", 1)).distinct().count() <= 2
+    for ids in (["000"], ["007", "013", "014"], ["039", "none"]):
+        needed = corpus.filter(F.col("id").isin(ids)).select("benchmark", "config", "id")
+        assert rows(corpus_index.indexed_lookup(spark, path, needed)) == rows(texts.corpus_lookup(corpus, needed))
+        assert len(corpus_index.files_of(spark, state, needed)) <= 3 * len(ids)
