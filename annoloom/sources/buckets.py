@@ -9,9 +9,11 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from annoloom.operators import heavy
 from annoloom.sources import generations, tables
 
 ROWS_PER_BUCKET = 500_000
@@ -22,10 +24,29 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _write(spark: SparkSession, path: str, rows: DataFrame, key: str, buckets: int) -> dict[str, list[str]]:
-    """Write rows bucket by bucket into a new folder; the folder of each bucket that has rows."""
+def _thinned(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """``rows`` with one row left, the last by ``order``, of each key that has more than a fair share of them.
+
+    Rows meet once, by bucket; a key with very many versions is cut to its last in the map tasks before that.
+    """
+    hot = [r["_key"] for r in heavy.heavy_keys(rows, [key]).select("_key").collect()]      # at most MOST_HEAVY numbers
+    if not hot:
+        return rows
+    is_hot = F.xxhash64(key).isin(hot)
+    return rows.filter(~is_hot).unionByName(tables.last_rows(rows.filter(is_hot), order, key))
+
+
+def _write(spark: SparkSession, path: str, old: DataFrame, new: DataFrame, key: str, order: str, buckets: int) -> dict[str, list[str]]:
+    """Write, bucket by bucket into a new folder, the last row by ``order`` of each key of ``new`` and the rows of ``old``
+    whose keys ``new`` lacks; the folder of each bucket that has rows. All rows are shuffled once."""
     folder = generations.new_folder("rows")
-    (rows.withColumn("_bucket", bucket_of(key, buckets)).repartition("_bucket").sortWithinPartitions("_bucket", key)
+    both = (old.withColumn("_new", F.lit(False)).unionByName(
+        _thinned(new, key, order).withColumns({"_new": F.lit(True), "_order": F.col(order)}), allowMissingColumns=True)
+        .select(*old.columns, "_new", "_order").withColumn("_bucket", bucket_of(key, buckets)).repartition("_bucket"))
+    newest = W.partitionBy("_bucket", key).orderBy(F.desc("_new"), F.desc("_order"))
+    placed = both.withColumns({"_rn": F.row_number().over(newest), "_replaced": F.first("_new").over(newest)})
+    kept = F.when(F.col("_new"), F.col("_rn") == 1).otherwise(~F.col("_replaced") | F.col(key).isNull())
+    (placed.filter(kept).drop("_new", "_order", "_rn", "_replaced").sortWithinPartitions("_bucket", key)
      .write.partitionBy("_bucket").parquet(f"{path}/{folder}"))
     return {name.partition("=")[2]: [f"{folder}/{name}"] for name in generations.folders_in(spark, f"{path}/{folder}")
             if name.startswith("_bucket=")}
@@ -35,8 +56,7 @@ def create_bucketed(spark: SparkSession, path: str, rows: DataFrame, key: str, o
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> generations.Manifest:
     """Store ``rows`` at ``path``, of each key the last by ``order``; an existing table is an error."""
     buckets = min(MOST_BUCKETS, max(1, -(-rows.count() // rows_per_bucket)))
-    only = tables.last_rows(rows, order, key)
-    parts = _write(spark, path, only, key, buckets)
+    parts = _write(spark, path, generations.no_rows(spark, rows.schema), rows, key, order, buckets)
     return generations.commit(spark, path, None, parts, {"key": key, "buckets": buckets, "schema": rows.schema.json()})
 
 
@@ -69,8 +89,7 @@ def upsert_bucketed(spark: SparkSession, path: str, new: DataFrame, order: str,
             return None
         known = [f"{path}/{f}" for b in hit for f in state.parts.get(b, ())]
         old = spark.read.schema(schema).parquet(*known) if known else generations.no_rows(spark, schema)
-        merged = tables.upsert(old, new, order, key).select(*schema.names)
-        return {**state.parts, **_write(spark, path, merged, key, buckets)}, state.facts
+        return {**state.parts, **_write(spark, path, old, new, key, order, buckets)}, state.facts
 
     state = generations.update(spark, path, change)
     if not keep_old:

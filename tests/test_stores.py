@@ -247,3 +247,17 @@ def test_an_id_whose_rows_cross_files(spark, tmp_path):
         needed = corpus.filter(F.col("id").isin(ids)).select("benchmark", "config", "id")
         assert rows(corpus_index.indexed_lookup(spark, path, needed)) == rows(texts.corpus_lookup(corpus, needed))
         assert len(corpus_index.files_of(spark, state, needed)) <= 3 * len(ids)
+
+
+def test_bucket_rows_are_shuffled_once(spark, tmp_path):
+    """An upsert meets its rows by bucket alone; keys with many versions and null keys keep their meaning."""
+    ddl = "k string, v string, o int"
+    old = spark.createDataFrame([("a", "old", 0), ("b", "old", 0), (None, "old", 0)], ddl)
+    new = spark.createDataFrame([("a", f"v{i}", i) for i in range(300)] + [(None, "n1", 1), (None, "n2", 2), ("c", "x", 0)], ddl)
+    path, seen = str(tmp_path / "t"), []
+    buckets.create_bucketed(spark, path, old, "k", "o", rows_per_bucket=1)
+    with pytest.MonkeyPatch.context() as monkey:
+        monkey.setattr(tables, "upsert", lambda *a: seen.append(a) or 1 / 0)
+        buckets.upsert_bucketed(spark, path, new, "o")
+    assert rows(buckets.read_bucketed(spark, path)) == sorted(
+        [("a", "v299", 299), ("b", "old", 0), ("c", "x", 0), (None, "n2", 2), (None, "old", 0)], key=repr)
