@@ -326,6 +326,31 @@ def test_pairs_without_overlap(spark):
     assert rows(agreement.overlap_counts(rated)) == [("a", 1, 1), ("b", 1, 1), ("c", 0, 2)]
 
 
+def test_pairs_with_others_by_gaps(spark):
+    """Any block sizes, with those asked about that are no annotators, and pairs left out."""
+    draw = random.Random(4)
+    names = [f"n{draw.randint(0, 999)}é" for _ in range(60)] + ["n", "", "N5"]
+    annotators = spark.createDataFrame([(n,) for n in [*names, *names[:9], None]], "annotator string")
+    for wanted, sizes in (([*names[:20], "stranger", "a", None], (3, 7)), (names, (256, 4096)), (["zz"], (1, 1))):
+        asked = spark.createDataFrame([(n,) for n in wanted], "annotator string")
+        but = [(a, b) for a in {*wanted} - {None} for b in {*names} if draw.random() < 0.3]
+        gone = {frozenset(p) for p in but} | {frozenset(p[::-1]) for p in but}
+        both = spark.createDataFrame([p for x in but for p in (x, x, x[::-1])], "one string, other string")
+        met = {tuple(sorted((a, b))) for a in {*wanted} - {None} for b in {*names} - {a}}
+        assert rows(agreement.asked_pairs(asked, annotators, *sizes, but=both)) == \
+            sorted((p for p in met if frozenset(p) not in gone), key=repr)
+
+
+def test_pairs_without_overlap_are_slices(spark):
+    """A row of a pair is made in generated code from a slice of names; nothing is compared with each name of a block."""
+    rated = spark.createDataFrame([("r1", "a", 1, []), ("r1", "b", 1, []), ("r2", "b", 1, []), ("r2", "c", 2, [])], RATED)
+    found = agreement.pairs_without_overlap(rated, rated.select("annotator"))
+    assert rows(found) == [("a", "c")]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    last = text[:text.index("Exchange")]
+    assert "Generate explode(rest" in last and "array_except" not in last and "lambda" not in last
+
+
 def test_last_rating_wins_and_drafts_do_not_count(spark, users):
     r = make_responses(spark, [("x", "u1", "submitted", "1", [], ""), ("x", "u1", "submitted", "4", [], ""),
                                ("x", "u1", "draft", "5", [], ""), ("x", "u2", "submitted", "n/a", [], "")])
