@@ -10,7 +10,7 @@ entry for each block, and an exchange moves a few bytes per n-gram.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,11 @@ DOCS_PER_BLOCK = 1024
 BYTES_PER_DOC = 4096        # of text, beyond which a hashed block takes fewer documents
 BYTES_PER_FRAGMENT = 24 << 20    # of text, about a sixth as many n-grams
 NO_BLOCK = -1               # blocks of rows without a document id have this number or a smaller one
+LONG_WORD = 64              # bytes of a word that are hashed with those of all others
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_LANE = 8
+_LANE_MASK = np.array([(1 << 8 * n) - 1 for n in range(_LANE + 1)], dtype=np.uint64)
+_BLANK = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
 
 
 def with_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: int, *more: Column) -> DataFrame:
@@ -66,24 +70,37 @@ def hashed_blocks(docs: DataFrame, id_col: str, text_col: str, docs_per_block: i
     return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")), size
 
 
+def word_hashes(texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of every word of the texts, laid end to end, and how many words each text has.
+
+    All words are hashed together, eight bytes at a time: the first lane of every word, then the second of those that have
+    one. Words of up to eight bytes and equal length have different hashes. The few long words take a hash of their own.
+    """
+    parts = list(texts)
+    laid = b" ".join([b"", *parts, b" " * _LANE])           # a blank before each text, and room to read a lane after the last
+    blank = _BLANK[np.frombuffer(laid, dtype=np.uint8)]
+    turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1     # words begin and end by turns
+    begin, end = turns[::2], turns[1::2]
+    size = end - begin
+    hashes = size.astype(np.uint64) * _BASE
+    lanes = np.ndarray(len(laid) - _LANE + 1, dtype="<u8", buffer=laid, strides=(1,))
+    rest = np.arange(len(begin))
+    for at in range(0, LONG_WORD, _LANE):
+        left = size[rest] - at
+        hashes[rest] = mix(hashes[rest] ^ lanes[begin[rest] + at] & _LANE_MASK[np.minimum(left, _LANE)])
+        rest = rest[left > _LANE]
+    for i in rest:
+        hashes[i] = xxhash.xxh64_intdigest(laid[begin[i]:end[i]])
+    edges = 1 + np.cumsum([0, *(len(p) + 1 for p in parts)])
+    return hashes, np.diff(np.searchsorted(begin, edges))
+
+
 class Grams:
-    """Rolling n-gram hashes of the documents of one block, laid end to end."""
-
-    def __init__(self, words: Iterable[list[bytes]], n: int, short_too: bool):
-        number: dict[bytes, int] = {}
-        lengths: list[int] = []
-
-        def numbers() -> Iterator[int]:
-            for ws in words:                # one document's words at a time
-                lengths.append(len(ws))
-                for w in ws:
-                    yield number.setdefault(w, len(number))
-
-        flat = np.fromiter(numbers(), dtype=np.int32)
-        sizes = np.array(lengths, dtype=np.int64)
-        total = len(flat)
-        values = np.fromiter(map(xxhash.xxh64_intdigest, number), dtype=np.uint64, count=len(number))
-        values = values[flat]
+    """Rolling n-gram hashes of the documents of one block, laid end to end; words are what ASCII blanks separate."""
+
+    def __init__(self, texts: Iterable[bytes], n: int, short_too: bool):
+        values, sizes = word_hashes(texts)
+        total = len(values)
         self.sizes, self.begins = sizes, np.cumsum(sizes) - sizes
         count = np.maximum(sizes - n + 1, 0)
         start = np.repeat(self.begins - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))

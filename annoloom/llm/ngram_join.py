@@ -71,9 +71,12 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
 
     def sets_of(texts: list) -> tuple[np.ndarray, np.ndarray]:
         """The distinct shingles of each document (hash, document), by document and hash."""
-        found = Grams(((t or "").encode().translate(LOWER).split() for t in texts), n, True)
-        order = np.lexsort((found.hashes, found.doc))
+        found = Grams(((t or "").encode().translate(LOWER) for t in texts), n, True)
+        order = np.argsort(found.doc, kind="stable")        # those of very short texts come last
         h, d = found.hashes[order], found.doc[order]
+        edges = np.searchsorted(d, np.arange(len(texts) + 1))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            h[a:b].sort()                                   # a document at a time, in place
         own = np.ones(len(h), dtype=bool)
         own[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
         return h[own], d[own]
@@ -97,11 +100,11 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, docs_per_block: int, id_
         used = (level > 0) & writes[d]
         h, d, level = h[used], d[used], level[used]
         fragment = fragment_of(level, h)
-        order = np.lexsort((h, level, d))                   # each set in the global order
+        order = np.argsort(d * 64 + level, kind="stable")   # each set in the global order; hashes are in order already
         lead_of, leading = d[order], h[order].view(np.int64)
-        order = np.lexsort((h, fragment, d))
-        h, d = h[order].view(np.int64), d[order]
-        slot = d * FRAGMENTS + fragment[order]
+        slot = d * FRAGMENTS + fragment
+        order = np.argsort(slot, kind="stable")
+        h, d, slot = h[order].view(np.int64), d[order], slot[order]
         begins = np.searchsorted(d, np.arange(size + 1))
         prefix = n_shared - least_overlap(n_set, percent) + 1
         first = np.arange(len(d)) - begins[lead_of] < prefix[lead_of]

@@ -57,7 +57,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
         return [ids[i] for i in order], [texts[i] or "" for i in order]
 
     def grams_of(texts: list) -> Grams:
-        return Grams((t.encode().split() for t in texts), window, False)
+        return Grams((t.encode() for t in texts), window, False)
 
     def distinct(ids: list, texts: list) -> np.ndarray:
         return np.unique(grams_of(in_order(ids, texts)[1]).hashes)

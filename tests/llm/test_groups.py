@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from annoloom.llm import chat_format, decontaminate, ngram_join, substring_dedup
+from annoloom.llm import blocks, chat_format, decontaminate, ngram_join, substring_dedup
 from annoloom.llm.queries import CONTROL_CASE, QUERIES
 from tests.llm.conftest import ODD
 
@@ -349,3 +349,16 @@ def test_leaks_odd_rows(spark, odd, nothing):
     assert decontaminate.drop_leaks(odd, empty).count() == len(ODD)
     assert decontaminate.drop_leaks(odd, items).columns == odd.columns
     assert decontaminate.drop_leaks(more, items).count() == 0
+
+
+def test_words_are_hashed_together():
+    """Hashes of all words of a block are equal where the words are, whatever their lengths and blanks."""
+    draw = random.Random(6)
+    texts = [b"", b" ", b"a", b"\0 \0\0 a\0", b"\xc2\x85x\xc2\xa0y", b"g\x1cg", b"\ta  b\r\n\x0bc\x0cd ",
+             *(b"x" * n + b" " + b"x" * n + b"y" for n in (7, 8, 9, 16, 63, 64, 65, 200))]
+    texts += [bytes(draw.choices(b"ab\0 \n", k=draw.randint(0, 90))) for _ in range(200)]
+    hashes, sizes = blocks.word_hashes(iter(texts))
+    words = [w for t in texts for w in t.split()]
+    assert sizes.tolist() == [len(t.split()) for t in texts] and len(hashes) == len(words)
+    assert len({*zip(words, hashes.tolist(), strict=True)}) == len({*words}) == len({*hashes.tolist()})
+    assert [len(x) for x in blocks.word_hashes([])] == [0, 0]
