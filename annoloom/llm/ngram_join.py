@@ -44,6 +44,7 @@ PERCENT = 75
 #: How the global order is cut: (first level, ranges of the hash) of each group of levels, rare shingles first.
 CUTS = ((1, 2), (2, 2), (4, 4), (7, 8))
 FRAGMENTS = sum(ranges for _, ranges in CUTS)
+CLASSES_PER_CELL = 256    # classes of one shingle that meet all its others in one task
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))      # A-Z to a-z
 
 _SETS = ("row long, doc_id long, text_key binary, n_shingles long, n_shared long, set_key binary, lead array<long>, "
@@ -185,21 +186,28 @@ def remaining_pairs(here: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes with a common leading shingle in different components that may have a link.
 
     ``here`` has the entries of shingles whose classes are in several components; classes outside a shingle's largest
-    component meet all others.
+    component meet all others. A pair needs to be found only at its first common shingle, where it shares no more than what either set
+    has from that place on; so a frequent shingle far back in two sets pairs them no more. The classes of a frequent
+    shingle are dealt over cells by their number, so the pairs that a task tests for one shingle are bounded by a cell times its classes.
     """
-    # no partner is smaller than the smallest class of the shingle
-    small = here.filter((F.col("label") != F.col("big"))
-                        & ((100 + percent) * F.col("s") >= percent * (F.col("n") + F.col("least"))))
-    other = here.select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("s").alias("s2"),
-                        F.col("parts").alias("parts2"), F.col("inner").alias("inner2"), F.col("label").alias("label2"))
+    tasks = int(here.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = F.ceil(F.col("size") / CLASSES_PER_CELL).cast("int")
+    rest = (F.col("s") - F.col("place")).alias("rest")
+    # no partner is smaller than the smallest class of the shingle; an explicit count keeps adaptive execution from merging tasks
+    small = (here.filter((F.col("label") != F.col("big"))
+                         & ((100 + percent) * rest >= percent * (F.col("n") + F.col("least"))))
+             .select("h", F.pmod(F.hash("rep"), cells).alias("cell"), "rep", "n", rest, "parts", "inner", "label", "big")
+             .repartition(tasks, "h", "cell"))
+    other = here.select("h", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.col("rep").alias("rep2"), F.col("n").alias("n2"),
+                        rest.alias("rest2"), F.col("parts").alias("parts2"), F.col("inner").alias("inner2"), F.col("label").alias("label2"))
     # in each fragment, what two sets share is inside the leader's set, or outside and shared with some class
     around = sum((F.least(F.col("inner")[f], F.col("inner2")[f])
                   + F.least(F.col("parts")[f] - F.col("inner")[f], F.col("parts2")[f] - F.col("inner2")[f])
                   for f in range(FRAGMENTS)), F.lit(0))
-    return (small.join(other, "h")
+    return (small.join(other, ["h", "cell"])
               .filter((F.col("label") != F.col("label2"))
                       & ((F.col("label2") == F.col("big")) | (F.col("rep") < F.col("rep2")))
-                      & possible(F.col("n"), F.col("s"), F.col("n2"), F.col("s2"), percent)
+                      & possible(F.col("n"), F.col("rest"), F.col("n2"), F.col("rest2"), percent)
                       & F.coalesce((100 + percent) * around >= percent * (F.col("n") + F.col("n2")), F.lit(True)))
               .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
 
@@ -207,7 +215,7 @@ def remaining_pairs(here: DataFrame, percent: int) -> DataFrame:
 def class_components(sets: DataFrame, percent: int) -> DataFrame:
     """(rep, label) of the classes that some link joins; ``sets`` is a staged table of ``class_sets``."""
     sizes = F.transform("parts", lambda p: F.size(p))
-    entries = tables.stage(sets.select("rep", "n", "s", F.explode("lead").alias("h")), "prefixes")
+    entries = tables.stage(sets.select("rep", "n", "s", F.posexplode("lead").alias("place", "h")), "prefixes")
 
     # of a shingle's classes the one with the largest shared part leads; a shingle of one class leads nowhere
     lead = tables.stage(entries.groupBy("h").agg(
@@ -224,13 +232,13 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
 
     # of a shingle's classes, those outside its largest component are paired with all others
     labelled = tables.stage(
-        led.select("rep", "n", "s", "h", "lead").join(labels, "rep", "left")
+        led.select("rep", "n", "s", "place", "h", "lead").join(labels, "rep", "left")
         .withColumn("label", F.coalesce("label", "rep")), "labelled")
     per_label = labelled.groupBy("h", "label").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
     mixed = tables.stage(
         per_label.groupBy("h").agg(F.max(F.struct("m", "label")).alias("big"), F.count(F.lit(1)).alias("labels"),
-                                   F.min("least").alias("least"))
-        .filter(F.col("labels") > 1).select("h", F.col("big.label").alias("big"), "least"), "mixed")
+                                   F.min("least").alias("least"), F.sum("m").alias("size"))
+        .filter(F.col("labels") > 1).select("h", F.col("big.label").alias("big"), "least", "size"), "mixed")
     if mixed.isEmpty():
         return labels
     # each entry there with its partial overlaps with the leader of its shingle, where they were counted
@@ -240,7 +248,7 @@ def class_components(sets: DataFrame, percent: int) -> DataFrame:
     here = tables.stage(
         spread_join(labelled, mixed, ["h"], deal_by=["rep"])
         .join(sets.select("rep", sizes.alias("parts")), "rep").join(with_leader, ["lead", "rep"], "left")
-        .select("rep", "n", "s", "parts", "h", inner.alias("inner"), "label", "big", "least"), "mixed-entries")
+        .select("rep", "n", "s", "place", "parts", "h", inner.alias("inner"), "label", "big", "least", "size"), "mixed-entries")
     second = tables.stage(remaining_pairs(here, percent).distinct().join(counted, ["a", "b"], "left_anti"), "pairs")
     more = tables.stage(linked(overlaps(second, sets), percent), "links")
     if more.isEmpty():
