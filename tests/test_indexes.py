@@ -59,6 +59,26 @@ def test_no_hit_is_lost(spark, annotations, search_path):
     assert rows(got) == rows(facts.search_annotations(annotations, query="ab", flagged_only=True, annotator="ana"))
 
 
+def test_texts_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Postings come from the one exchange that makes texts distinct, and the session's settings are as before."""
+    records = spark.createDataFrame([(f"r{i}", f"text {i}", "cilj", "A") for i in range(30)],
+                                    "record_id string, source_text string, target_text string, benchmark string")
+    own = spark.createDataFrame([("a", "c", "", "ana", ["x"])],
+                                "response_id string, correction string, comment string, annotator string, categories array<string>")
+    monkeypatch.setattr(search_index, "CHARS_PER_SEGMENT", 20)
+    monkeypatch.setattr(search_index, "CHARS_PER_ROUND", 100)
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    options = type(records.write).options
+    monkeypatch.setattr(type(records.write), "options", lambda self, **o: seen.append(self._df) or options(self, **o))
+    state = search_index.build_index(spark, str(tmp_path / "i"), records, own)
+    text = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in text and "Aggregate" in text
+    stored = spark.read.parquet(*state.folders("postings"))
+    assert len(state.folders("postings")) == 3 and len(stored.inputFiles()) > 5 and stored.distinct().count() == stored.count() > 100
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert {r.id for r in search_index.candidates(spark, str(tmp_path / "i"), "text 7").collect()} == {"r7"}
+
+
 def test_candidates_are_few(spark, annotations, search_path):
     found = search_index.candidates(spark, search_path, "needle").collect()
     assert [(r.field, r.id) for r in found] == [("target_text", "rec1")]
